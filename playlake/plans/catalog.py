@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,21 @@ from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType,
 from playlake.functions.columns import parse_instant
 from playlake.operators import reports
 from playlake.operators.bronze import to_bronze
-from playlake.operators.gold import build_gold
 from playlake.operators.silver import to_silver
 from playlake.plans import incremental, oracle
-from playlake.plans.refresh import counts_frame, full_refresh
+from playlake.plans.concurrent import run_all
+from playlake.plans.refresh import (
+    counts_frame,
+    full_refresh,
+    gold_tables,
+    load_gold,
+    run_gold,
+    run_silver,
+)
 from playlake.session import scratch_path, use_utc
 from playlake.sources import eventmap, schemas
 from playlake.sources.landing import build_envelopes, read_landing, write_landing
+from playlake.sources.layers import read_layer, write_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +57,16 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 # --- shared building blocks ---------------------------------------------------
+#
+# Queries run the way the deployed pipeline does: each layer reads the previous
+# layer from Parquet. The raw records mapped from ``events`` are written once
+# per (application, sf_dir) as the Bronze layer in the shared scratch folder;
+# Silver and Gold are materialised from it on first use by the same operators
+# the queries exercise. Silver queries then run their operator on Bronze
+# Parquet, Gold queries on Silver Parquet and reports on Gold Parquet, each
+# scan pruned to the columns it needs.
+
+_LAKES: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,19 +74,68 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eventmap.read_events(spark, sf_dir)
 
 
+def _lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:
+        app = "session"
+    key = (app, sf_dir.rstrip("/"))
+    if key not in _LAKES:
+        root = scratch_path(spark, "lake")
+        _LAKES[key] = {"root": root}
+    return _LAKES[key]
+
+
+def bronze_root(spark: SparkSession, sf_dir: str) -> str:
+    lake = _lake(spark, sf_dir)
+    if "bronze" not in lake:
+        ev = _events(spark, sf_dir)
+        path = f"{lake['root']}/bronze"
+        run_all({e: partial(write_layer, eventmap.raw_bronze(ev, e), path, e) for e in schemas.ENDPOINTS})
+        lake["bronze"] = path
+    use_utc(spark)
+    return lake["bronze"]
+
+
+def silver_root(spark: SparkSession, sf_dir: str) -> str:
+    lake = _lake(spark, sf_dir)
+    if "silver" not in lake:
+        path = f"{lake['root']}/silver"
+        run_silver(spark, bronze_root(spark, sf_dir), path)
+        lake["silver"] = path
+    use_utc(spark)
+    return lake["silver"]
+
+
+def gold_root(spark: SparkSession, sf_dir: str) -> str:
+    lake = _lake(spark, sf_dir)
+    if "gold" not in lake:
+        path = f"{lake['root']}/gold"
+        run_gold(spark, silver_root(spark, sf_dir), path)
+        lake["gold"] = path
+    use_utc(spark)
+    return lake["gold"]
+
+
+def build_lake(spark: SparkSession, sf_dir: str) -> None:
+    """Materialise Bronze, Silver and Gold for ``sf_dir`` (idempotent per session)."""
+    gold_root(spark, sf_dir)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    ev = _events(spark, sf_dir)
-    return {e: to_silver(eventmap.raw_bronze(ev, e), e) for e in schemas.ENDPOINTS}
+    """Silver tables computed now from the Bronze layer."""
+    root = bronze_root(spark, sf_dir)
+    return {e: to_silver(read_layer(spark, root, e), e) for e in schemas.ENDPOINTS}
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    s = _silver(spark, sf_dir)
-    return build_gold(s[schemas.MEDIA_METADATA], s[schemas.EVENTS], s[schemas.BY_DATE])
+    """Gold tables computed now from the Silver layer."""
+    return gold_tables(spark, silver_root(spark, sf_dir))
 
 
 def _report(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(fn(_gold(spark, sf_dir)))
+        return portable(fn(load_gold(spark, gold_root(spark, sf_dir))))
 
     return run
 
@@ -78,6 +146,16 @@ FACT, DIM_MEDIA, DIM_VISITOR = schemas.FACT_MEDIA_ENGAGEMENT, schemas.DIM_MEDIA,
 # --- Bronze and landing --------------------------------------------------------
 
 
+def _land_all(ev: DataFrame, root: str) -> None:
+    """Land every endpoint's raw records as envelopes (concurrent write jobs)."""
+    run_all(
+        {
+            e: partial(write_landing, build_envelopes(eventmap.raw_bronze(ev, e), e), e, root)
+            for e in schemas.ENDPOINTS
+        }
+    )
+
+
 def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events -> envelopes (chunked ``collect_list``) -> flattened Bronze rows."""
     raw = eventmap.raw_bronze(_events(spark, sf_dir), schemas.EVENTS)
@@ -89,9 +167,7 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three endpoints landed as JSON in the shared scratch folder, scanned back."""
     ev = _events(spark, sf_dir)
     root = scratch_path(spark, "landing")
-    for endpoint in schemas.ENDPOINTS:
-        raw = eventmap.raw_bronze(ev, endpoint)
-        write_landing(build_envelopes(raw, endpoint), endpoint, root)
+    _land_all(ev, root)
     parts = []
     for endpoint in schemas.ENDPOINTS:
         envelopes = read_landing(spark, endpoint, root)
@@ -137,8 +213,7 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     root = scratch_path(spark, "lake")
     landing = f"{root}/landing"
-    for endpoint in schemas.ENDPOINTS:
-        write_landing(build_envelopes(eventmap.raw_bronze(ev, endpoint), endpoint), endpoint, landing)
+    _land_all(ev, landing)
     counts = full_refresh(spark, landing, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
     return counts_frame(spark, counts)
 
@@ -155,15 +230,15 @@ INCREMENTAL_CLOCK = incremental.RunClock(
 def incremental_inputs(spark: SparkSession, sf_dir: str):
     """Sources (run-1 records; events whose timestamp parses), media list and a
     state with marks for media m0..m29, all derived from the events table."""
-    ev = _events(spark, sf_dir)
+    root = bronze_root(spark, sf_dir)
     first = F.col("ingest_timestamp") == eventmap.RUN_STAMPS[1]
     sources = {}
     for endpoint in schemas.ENDPOINTS:
-        raw = eventmap.raw_bronze(ev, endpoint).where(first)
+        raw = read_layer(spark, root, endpoint).where(first)
         if endpoint == schemas.EVENTS:
             raw = raw.where(parse_instant("received_at").isNotNull())
         sources[endpoint] = raw.select("media_id", *schemas.record_fields(endpoint))
-    media = eventmap.raw_bronze(ev, schemas.EVENTS).select("media_id").distinct()
+    media = read_layer(spark, root, schemas.EVENTS).select("media_id").distinct()
     tracked = media.where(F.substring("media_id", 2, 10).cast("int") < oracle.INC_STATE_MEDIA_BELOW)
     state = tracked.select(
         F.lit(schemas.EVENTS).alias("endpoint"),

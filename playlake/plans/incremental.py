@@ -30,6 +30,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,7 @@ from pyspark.sql.types import (
 )
 
 from playlake.functions.columns import is_zone_aware, parse_day, parse_instant
+from playlake.plans.concurrent import run_all
 from playlake.session import scratch_path, use_utc
 from playlake.sources import schemas
 from playlake.sources.landing import PULL_KEYS, build_envelopes, write_landing
@@ -291,17 +293,21 @@ def run_load(
     state = read_state(spark, state_root)
     plan = plan_load(sources, media, state, clock)
     stage_root = scratch_path(spark, "load-stage")
-    staged: dict[str, DataFrame] = {}
-    for endpoint, records in plan.pulls.items():
-        write_layer(records, stage_root, endpoint)
-        staged[endpoint] = read_layer(spark, stage_root, endpoint)
+    run_all({e: partial(write_layer, records, stage_root, e) for e, records in plan.pulls.items()})
+    staged = {e: read_layer(spark, stage_root, e) for e in plan.pulls}
     pulls_made = _with_run(plan.loaded, clock).select(*PULL_KEYS)
-    for endpoint, records in staged.items():
-        envelopes = build_envelopes(
-            _with_run(records, clock), endpoint, pulls=pulls_made,
-            **({"max_records": max_records} if max_records else {}),
-        )
-        write_landing(envelopes, endpoint, landing_root)
+    sizing = {"max_records": max_records} if max_records else {}
+    run_all(
+        {
+            e: partial(
+                write_landing,
+                build_envelopes(_with_run(records, clock), e, pulls=pulls_made, **sizing),
+                e,
+                landing_root,
+            )
+            for e, records in staged.items()
+        }
+    )
     new_state = advance_state(state, plan.loaded, staged[schemas.EVENTS], clock)
     save_state(new_state, state_root, re.sub(r"[^0-9A-Za-z]", "", clock.run_at))
     return summarize(plan, staged)

@@ -1,7 +1,8 @@
 """Layer runs and the full refresh: landing -> Bronze -> Silver -> Gold.
 
 Each run reads the previous layer from storage, builds its tables lazily and
-overwrites them, returning ``{table: rows written}``. Counting rides on the
+overwrites them, returning ``{table: rows written}``. The tables of a layer are
+independent and are written as concurrent jobs. Counting rides on the
 write (``Observation``), so every table is computed once. Silver events are
 not cached for Gold: each Gold builder reads only the Parquet columns it
 needs, which at scale is cheaper than materialising the whole table.
@@ -12,12 +13,14 @@ Entry point: ``python -m playlake.plans.refresh <landing> <bronze> <silver> <gol
 from __future__ import annotations
 
 import sys
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from playlake.operators.bronze import to_bronze
 from playlake.operators.gold import build_gold
 from playlake.operators.silver import to_silver
+from playlake.plans.concurrent import run_all
 from playlake.session import use_utc
 from playlake.sources import schemas
 from playlake.sources.landing import read_landing
@@ -26,22 +29,32 @@ from playlake.sources.layers import read_layer, write_layer
 
 def run_bronze(spark: SparkSession, landing_root: str, bronze_root: str) -> dict[str, int]:
     use_utc(spark)
-    return {
-        endpoint: write_layer(
-            to_bronze(read_landing(spark, endpoint, landing_root)), bronze_root, endpoint
-        )
-        for endpoint in schemas.ENDPOINTS
-    }
+    return run_all(
+        {
+            endpoint: partial(
+                write_layer,
+                to_bronze(read_landing(spark, endpoint, landing_root)),
+                bronze_root,
+                endpoint,
+            )
+            for endpoint in schemas.ENDPOINTS
+        }
+    )
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> dict[str, int]:
     use_utc(spark)
-    return {
-        endpoint: write_layer(
-            to_silver(read_layer(spark, bronze_root, endpoint), endpoint), silver_root, endpoint
-        )
-        for endpoint in schemas.ENDPOINTS
-    }
+    return run_all(
+        {
+            endpoint: partial(
+                write_layer,
+                to_silver(read_layer(spark, bronze_root, endpoint), endpoint),
+                silver_root,
+                endpoint,
+            )
+            for endpoint in schemas.ENDPOINTS
+        }
+    )
 
 
 def gold_tables(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
@@ -54,10 +67,12 @@ def gold_tables(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str) -> dict[str, int]:
     use_utc(spark)
-    return {
-        name: write_layer(df, gold_root, name)
-        for name, df in gold_tables(spark, silver_root).items()
-    }
+    return run_all(
+        {
+            name: partial(write_layer, df, gold_root, name)
+            for name, df in gold_tables(spark, silver_root).items()
+        }
+    )
 
 
 def full_refresh(
