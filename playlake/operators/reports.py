@@ -160,9 +160,10 @@ def recent_engagement(fact: DataFrame, dim_media: DataFrame, days: int) -> DataF
 def top_visitors(fact: DataFrame, dim_visitor: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` visitors by plays (ties: smaller visitor id first), with country.
 
-    The ranking is cut to ``n`` rows first; the join then keeps ``dim_visitor``
-    on the streamed side (right outer join, the n rows broadcast) so the
-    dimension is neither shuffled nor collected.
+    The ranking is cut to ``n`` rows first. ``dim_visitor`` is then streamed
+    through a semi join against the broadcast top-n ids, which leaves at most
+    ``n`` rows (the dimension is unique per visitor); those are joined back to
+    the ranking. The dimension is never shuffled or collected.
     """
     if n < 0:
         raise ValueError("n must be non-negative")
@@ -176,8 +177,9 @@ def top_visitors(fact: DataFrame, dim_visitor: DataFrame, n: int = 10) -> DataFr
         .orderBy(F.col("plays").desc(), F.col("visitor_id").asc())
         .limit(n)
     )
-    countries = dim_visitor.select("visitor_id", "country")
-    joined = countries.join(bounded_broadcast(ranked, n), on="visitor_id", how="right")
+    top_ids = bounded_broadcast(ranked.select("visitor_id"), n)
+    countries = dim_visitor.select("visitor_id", "country").join(top_ids, "visitor_id", "left_semi")
+    joined = ranked.join(bounded_broadcast(countries, n), on="visitor_id", how="left")
     return joined.select("visitor_id", "plays", "avg_watched_percent", "country").orderBy(
         F.col("plays").desc(), F.col("visitor_id").asc()
     )

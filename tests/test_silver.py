@@ -1,0 +1,149 @@
+"""Silver: required keys, keep filters, try-casts and latest-per-key, in order."""
+
+import datetime as dt
+
+from conftest import plan_text
+from playlake.operators import silver
+from playlake.sources import schemas
+
+RUN1 = "2024-02-01T06:00:00+00:00"
+RUN2 = "2024-02-02T06:00:00.500000+00:00"
+EVENT_COLS = schemas.bronze_columns(schemas.EVENTS)
+BY_DATE_COLS = schemas.bronze_columns(schemas.BY_DATE)
+META_COLS = schemas.bronze_columns(schemas.MEDIA_METADATA)
+
+
+def event(key="e1", visitor="v1", media="m1", received="2024-01-05T10:00:00.000Z",
+          conversion="", pct=0.5, ip="1.1.1.1", country="US", ingest=RUN1, url="u"):
+    return {
+        "received_at": received, "event_key": key, "ip": ip, "country": country,
+        "percent_viewed": pct, "conversion_type": conversion, "visitor_key": visitor,
+        "media_name": "Media", "media_url": url, "ingest_timestamp": ingest,
+        "ingest_date": ingest[:10], "media_id": media,
+    }
+
+
+def bronze_events(spark, rows):
+    return spark.createDataFrame([tuple(r[c] for c in EVENT_COLS) for r in rows], _event_schema())
+
+
+def _event_schema():
+    return (
+        "received_at string, event_key string, ip string, country string, percent_viewed double, "
+        "conversion_type string, visitor_key string, media_name string, media_url string, "
+        "ingest_timestamp string, ingest_date string, media_id string"
+    )
+
+
+def by_date(spark, rows):
+    schema = (
+        "date string, load_count bigint, play_count bigint, hours_watched double, "
+        "ingest_timestamp string, ingest_date string, media_id string"
+    )
+    full = [(d, lc, pc, h, ing, ing[:10], m) for (m, d, lc, pc, h, ing) in rows]
+    return spark.createDataFrame(full, schema)
+
+
+def metadata(spark, rows):
+    schema = "hashed_id string, name string, created string, ingest_timestamp string, ingest_date string, media_id string"
+    return spark.createDataFrame([(h, n, c, ing, ing[:10], m) for (h, n, c, ing, m) in rows], schema)
+
+
+def test_latest_ingest_wins_and_casts(spark):
+    rows = [event(ip="old", ingest=RUN1), event(ip="new", ingest=RUN2)]
+    out = silver.to_silver_events(bronze_events(spark, rows)).collect()
+    assert len(out) == 1
+    assert out[0]["ip"] == "new"
+    assert out[0]["received_at"] == dt.datetime(2024, 1, 5, 10, 0)
+    assert list(out[0].asDict()) == [
+        "event_key", "visitor_key", "media_id", "media_name", "media_url",
+        "received_at", "ip", "country", "percent_viewed",
+    ]
+
+
+def test_each_null_key_drops_the_row(spark):
+    rows = [
+        event(key=None), event(key="e2", visitor=None), event(key="e3", media=None),
+        event(key="e4", received=None), event(key="e5"),
+    ]
+    keys = [r["event_key"] for r in silver.to_silver_events(bronze_events(spark, rows)).collect()]
+    assert keys == ["e5"]
+
+
+def test_plays_only_null_and_empty_conversion_kept(spark):
+    rows = [event(key="a", conversion=None), event(key="b", conversion=""),
+            event(key="c", conversion="form-submit"), event(key="d", conversion="purchase")]
+    keys = sorted(r["event_key"] for r in silver.to_silver_events(bronze_events(spark, rows)).collect())
+    assert keys == ["a", "b"]
+
+
+def test_filter_before_dedupe_older_play_survives_newer_conversion(spark):
+    rows = [event(ip="play", ingest=RUN1), event(ip="conv", conversion="form-submit", ingest=RUN2)]
+    out = silver.to_silver_events(bronze_events(spark, rows)).collect()
+    assert [r["ip"] for r in out] == ["play"]
+
+
+def test_unparseable_timestamp_passes_key_check_and_becomes_null(spark):
+    out = silver.to_silver_events(bronze_events(spark, [event(received="bad")])).collect()
+    assert len(out) == 1 and out[0]["received_at"] is None
+
+
+def test_ingest_order_is_by_parsed_instant(spark):
+    # Text order would put "...06:00:00+05:00" after "...03:00:00+00:00"; as
+    # instants it is earlier (01:00 UTC).
+    rows = [event(ip="later", ingest="2024-02-02T03:00:00+00:00"),
+            event(ip="earlier", ingest="2024-02-02T06:00:00+05:00")]
+    out = silver.to_silver_events(bronze_events(spark, rows)).collect()
+    assert out[0]["ip"] == "later"
+    # Whole-second and fractional stamps of the same run family order correctly.
+    rows = [event(ip="whole", ingest="2024-02-02T06:00:00+00:00"),
+            event(ip="frac", ingest="2024-02-02T06:00:00.500000+00:00")]
+    assert silver.to_silver_events(bronze_events(spark, rows)).collect()[0]["ip"] == "frac"
+
+
+def test_ties_are_broken_deterministically(spark):
+    rows = [event(ip="a"), event(ip="b"), event(ip="c")]
+    for _ in range(3):
+        out = silver.to_silver_events(bronze_events(spark, rows).repartition(3)).collect()
+        assert out[0]["ip"] == "c"
+
+
+def test_by_date_zero_and_null_loads_dropped_boundary(spark):
+    rows = [("m1", "2024-01-01", 0, 0, 0.0, RUN1), ("m1", "2024-01-02", 1, 1, 0.1, RUN1),
+            ("m1", "2024-01-03", None, 1, 0.1, RUN1), (None, "2024-01-04", 5, 1, 0.1, RUN1),
+            ("m1", None, 5, 1, 0.1, RUN1)]
+    out = silver.to_silver_by_date(by_date(spark, rows)).collect()
+    assert [(r["date"], r["load_count"]) for r in out] == [(dt.date(2024, 1, 2), 1)]
+
+
+def test_by_date_dedupe_per_media_and_day_after_zero_filter(spark):
+    rows = [("m1", "2024-01-01", 10, 5, 1.0, RUN1), ("m1", "2024-01-01", 0, 0, 0.0, RUN2),
+            ("m2", "2024-01-01", 3, 1, 0.5, RUN1), ("m2", "2024-01-01", 4, 2, 0.7, RUN2)]
+    out = {r["media_id"]: r["load_count"] for r in silver.to_silver_by_date(by_date(spark, rows)).collect()}
+    # m1: the later zero row is filtered first, so the earlier real day survives.
+    assert out == {"m1": 10, "m2": 4}
+
+
+def test_by_date_bad_dates_collapse_to_one_null_row(spark):
+    rows = [("m1", "bad", 3, 1, 0.1, RUN1), ("m1", "also-bad", 5, 2, 0.2, RUN1),
+            ("m1", "2024-01-01", 2, 1, 0.1, RUN1)]
+    out = silver.to_silver_by_date(by_date(spark, rows)).collect()
+    nulls = [r for r in out if r["date"] is None]
+    assert len(out) == 2 and len(nulls) == 1 and nulls[0]["load_count"] == 5
+
+
+def test_media_metadata_rename_cast_latest(spark):
+    rows = [("m1", "Old", "2024-01-01T00:00:00+00:00", RUN1, "m1"),
+            ("m1", "New", "2024-01-01T00:00:00+00:00", RUN2, "m1"),
+            (None, "Orphan", "2024-01-01T00:00:00+00:00", RUN1, "m9")]
+    out = silver.to_silver_media_metadata(metadata(spark, rows)).collect()
+    assert [(r["media_id"], r["name"]) for r in out] == [("m1", "New")]
+    assert out[0]["created"] == dt.datetime(2024, 1, 1)
+    assert list(out[0].asDict()) == ["media_id", "name", "created"]
+
+
+def test_dedupe_plan_uses_partial_group_limit(spark):
+    rows = [event(key=f"e{i % 5}") for i in range(20)]
+    plan = plan_text(silver.to_silver_events(bronze_events(spark, rows)))
+    # Partial top-1 before the shuffle, final after it.
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
