@@ -105,17 +105,13 @@ def media_day_totals(fact: DataFrame) -> DataFrame:
 def daily_trends(fact: DataFrame, dim_media: DataFrame | None = None) -> DataFrame:
     """Gap-filled daily series per media, ordered by (media, day).
 
-    The grid is generated per media row with ``explode(sequence(first, last))``
-    — first/last are one scalar subquery — and left-joined to the media-day
-    totals. With ``dim_media`` the media's channel is added.
+    The grid is generated per media row by exploding the day range, which is
+    one scalar subquery (``sequence(min(date), max(date))``), and left-joined to
+    the media-day totals. With ``dim_media`` the media's channel is added.
     """
     keyed = _keyed(fact, "media_id", "date")
-    span = keyed.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
-    grid = (
-        keyed.select("media_id")
-        .distinct()
-        .select("media_id", F.explode(F.sequence(span.getField("lo"), span.getField("hi"))).alias("date"))
-    )
+    days = keyed.select(F.sequence(F.min("date"), F.max("date")).alias("days")).scalar()
+    grid = keyed.select("media_id").distinct().select("media_id", F.explode(days).alias("date"))
     trends = grid.join(media_day_totals(fact), on=["media_id", "date"], how="left").select(
         "media_id",
         "date",

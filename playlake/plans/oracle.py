@@ -159,8 +159,14 @@ _cte(
                    ELSE 'Unknown' END AS channel,
               m.created AS created_at
        FROM silver_media m
-       LEFT JOIN (SELECT media_id, max(media_url) AS url FROM silver_events
-                  WHERE media_url IS NOT NULL GROUP BY media_id) u
+       LEFT JOIN (
+         SELECT media_id, url FROM (
+           SELECT media_id, media_url AS url,
+                  row_number() OVER (PARTITION BY media_id
+                                     ORDER BY max(received_at) DESC NULLS LAST, media_url DESC) AS rn
+           FROM silver_events WHERE media_url IS NOT NULL
+           GROUP BY media_id, media_url)
+         WHERE rn = 1) u
          ON u.media_id = m.media_id""",
     "silver_media", "silver_events",
 )
