@@ -18,7 +18,12 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from playlake.operators.bronze import to_bronze
-from playlake.operators.gold import build_gold
+from playlake.operators.gold import (
+    DIM_MEDIA_COLUMNS,
+    DIM_VISITOR_COLUMNS,
+    FACT_COLUMNS,
+    build_gold,
+)
 from playlake.operators.silver import to_silver
 from playlake.plans.concurrent import run_all
 from playlake.session import use_utc
@@ -27,6 +32,11 @@ from playlake.sources.landing import read_landing
 from playlake.sources.layers import read_layer, write_layer
 
 
+# The fact is partitioned by day: the recent-window reports then read only the
+# newest day directories (the cut-off is a partition filter evaluated at run time).
+GOLD_PARTITIONING = {schemas.FACT_MEDIA_ENGAGEMENT: "date"}
+
+
 def run_bronze(spark: SparkSession, landing_root: str, bronze_root: str) -> dict[str, int]:
     use_utc(spark)
     return run_all(
@@ -69,7 +79,7 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str) -> dict[str,
     use_utc(spark)
     return run_all(
         {
-            name: partial(write_layer, df, gold_root, name)
+            name: partial(write_layer, df, gold_root, name, GOLD_PARTITIONING.get(name))
             for name, df in gold_tables(spark, silver_root).items()
         }
     )
@@ -87,8 +97,17 @@ def full_refresh(
 
 
 def load_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
-    """The three Gold tables as lazy DataFrames, keyed by table name."""
-    return {name: read_layer(spark, gold_root, name) for name in schemas.GOLD_TABLES}
+    """The three Gold tables as lazy DataFrames, keyed by table name, in their
+    declared column order (a partition column is read back last otherwise)."""
+    order = {
+        schemas.DIM_MEDIA: DIM_MEDIA_COLUMNS,
+        schemas.DIM_VISITOR: DIM_VISITOR_COLUMNS,
+        schemas.FACT_MEDIA_ENGAGEMENT: FACT_COLUMNS,
+    }
+    return {
+        name: read_layer(spark, gold_root, name).select(*order[name])
+        for name in schemas.GOLD_TABLES
+    }
 
 
 def counts_frame(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:

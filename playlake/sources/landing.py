@@ -57,15 +57,18 @@ def build_envelopes(
     fields = schemas.record_fields(endpoint)
     sizes = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     n_chunks = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("__n") / F.lit(max_records)))
-    # The task's partition id joins the record hash, so even identical records
-    # spread across chunks; a retried task keeps its partition id.
+    # The spread hash is taken before the join, on the input partitioning: the
+    # task's partition id joins the record hash, so even identical records of
+    # one pull spread across chunks (a retried task keeps its partition id).
+    # Taken after a shuffle on the pull keys, all rows of a pull would share it.
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fields])
     chunked = (
-        records.join(sizes, on=keys, how="inner")
-        .withColumn("__chunk", F.pmod(spread, n_chunks))
+        records.withColumn("__spread", spread)
+        .join(sizes, on=keys, how="inner")
+        .withColumn("__chunk", F.pmod(F.col("__spread"), n_chunks))
         .groupBy(*keys, "__chunk")
         .agg(F.collect_list(_record_struct(endpoint)).alias("records"))
-        .drop("__chunk")
+        .drop("__chunk", "__spread")
     )
     if pulls is not None:
         empty_type = ArrayType(schemas.RECORD_SCHEMAS[endpoint])

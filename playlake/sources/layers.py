@@ -20,9 +20,18 @@ def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(layer_path(root, name))
 
 
-def write_layer(df: DataFrame, root: str, name: str) -> int:
-    """Overwrite ``root/name`` with ``df``; return the number of rows written."""
+def write_layer(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> int:
+    """Overwrite ``root/name`` with ``df``; return the number of rows written.
+
+    With ``partition_by``, rows are first rebalanced on that column (AQE keeps
+    one column value per task where it can and splits values that are too
+    large), then written one directory per value, so readers filtering on the
+    column skip whole directories.
+    """
     observation = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
     counted = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(layer_path(root, name))
+    writer = counted.write.mode("overwrite")
+    if partition_by:
+        writer = counted.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
+    writer.parquet(layer_path(root, name))
     return int(observation.get["rows"])

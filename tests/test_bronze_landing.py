@@ -147,3 +147,18 @@ def test_one_envelope_per_file_so_multiline_scan_reads_all(spark, lake_dir):
 def test_layer_path_single_slash():
     assert layer_path("s3://bucket/lake/", "/events") == "s3://bucket/lake/events"
     assert layer_path("/tmp/lake", "gold/") == "/tmp/lake/gold"
+
+
+def test_identical_records_spread_under_sort_merge_join(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        test_identical_records_still_spread(spark)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
