@@ -79,10 +79,19 @@ class RunClock:
     def __post_init__(self) -> None:
         if not re.search(r"(Z|[+-]\d{2}:?\d{2})$", self.run_at):
             raise ValueError(f"run_at must carry a UTC offset: {self.run_at!r}")
+        dt.datetime.fromisoformat(self.run_at)  # reject malformed stamps early
 
     @property
     def ingest_date(self) -> str:
-        return self.run_at[:10]
+        """UTC calendar date of the run instant (the landing partition)."""
+        instant = dt.datetime.fromisoformat(self.run_at)
+        return instant.astimezone(dt.timezone.utc).date().isoformat()
+
+    @property
+    def version(self) -> str:
+        """State version stamp: the run instant in UTC, sortable as text."""
+        instant = dt.datetime.fromisoformat(self.run_at).astimezone(dt.timezone.utc)
+        return instant.strftime("%Y%m%dT%H%M%S%fZ")
 
     @property
     def floor_instant(self) -> Column:
@@ -309,5 +318,5 @@ def run_load(
         }
     )
     new_state = advance_state(state, plan.loaded, staged[schemas.EVENTS], clock)
-    save_state(new_state, state_root, re.sub(r"[^0-9A-Za-z]", "", clock.run_at))
+    save_state(new_state, state_root, clock.version)
     return summarize(plan, staged)

@@ -151,3 +151,10 @@ def test_read_state_missing_is_empty(spark, lake_dir):
 def test_run_clock_requires_offset():
     with pytest.raises(ValueError):
         inc.RunClock(dt.date(2024, 1, 1), dt.date(2024, 1, 2), "2024-01-02T00:00:00")
+
+
+def test_ingest_date_is_the_utc_day_of_the_run():
+    late = inc.RunClock(dt.date(2024, 1, 1), dt.date(2024, 1, 30), "2024-01-30T23:00:00-05:00")
+    assert late.ingest_date == "2024-01-31"
+    assert CLOCK.ingest_date == "2024-01-30"
+    assert late.version == "20240131T040000000000Z" and CLOCK.version < late.version
