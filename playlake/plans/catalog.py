@@ -36,6 +36,7 @@ from playlake.session import scratch_path, use_utc
 from playlake.sources import eventmap, schemas
 from playlake.sources.landing import build_envelopes, read_landing, write_landing
 from playlake.sources.layers import read_layer, write_layer
+from playlake.streaming.bronze_stream import start_bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -191,6 +192,23 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze kept by the ``availableNow`` stream: run 1 landed and streamed,
+    then run 2 landed and streamed again (only its new files are read)."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "stream")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    raw = eventmap.raw_bronze(ev, schemas.EVENTS)
+    for stamp in (eventmap.RUN_STAMPS[1], eventmap.RUN_STAMPS[2]):
+        run = raw.where(F.col("ingest_timestamp") == stamp)
+        write_landing(build_envelopes(run, schemas.EVENTS), schemas.EVENTS, landing)
+        query = start_bronze_stream(spark, schemas.EVENTS, landing, bronze)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return portable(read_layer(spark, bronze, schemas.EVENTS))
+
+
 # --- Silver and Gold -------------------------------------------------------------
 
 
@@ -299,6 +317,7 @@ def queries() -> dict[str, Query]:
     return {
         "bronze_flatten": bronze_flatten,
         "landing_roundtrip": landing_roundtrip,
+        "bronze_incremental": bronze_incremental,
         "silver_events": _silver_query(schemas.EVENTS),
         "silver_by_date": _silver_query(schemas.BY_DATE),
         "silver_media": _silver_query(schemas.MEDIA_METADATA),

@@ -334,6 +334,7 @@ def _layer_counts() -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "bronze_flatten": with_ctes(_bronze_select("raw_events"), "raw_events"),
+        "bronze_incremental": with_ctes(_bronze_select("raw_events"), "raw_events"),
         "landing_roundtrip": with_ctes(
             """SELECT endpoint, media_id, ingest_timestamp, ingest_date,
                       count(*) AS records, count(*) AS bronze_rows
