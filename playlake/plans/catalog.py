@@ -11,6 +11,7 @@ final projection here is made engine-neutral.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 from functools import partial
 
@@ -68,6 +69,8 @@ def portable(df: DataFrame) -> DataFrame:
 # scan pruned to the columns it needs.
 
 _LAKES: dict[tuple[str, str], dict[str, str]] = {}
+# Queries may be called from several driver threads; one lake build at a time.
+_LAKE_LOCK = threading.RLock()
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +91,11 @@ def _lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def bronze_root(spark: SparkSession, sf_dir: str) -> str:
+    with _LAKE_LOCK:
+        return _bronze_root(spark, sf_dir)
+
+
+def _bronze_root(spark: SparkSession, sf_dir: str) -> str:
     lake = _lake(spark, sf_dir)
     if "bronze" not in lake:
         ev = _events(spark, sf_dir)
@@ -99,6 +107,11 @@ def bronze_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def silver_root(spark: SparkSession, sf_dir: str) -> str:
+    with _LAKE_LOCK:
+        return _silver_root(spark, sf_dir)
+
+
+def _silver_root(spark: SparkSession, sf_dir: str) -> str:
     lake = _lake(spark, sf_dir)
     if "silver" not in lake:
         path = f"{lake['root']}/silver"
@@ -109,6 +122,11 @@ def silver_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def gold_root(spark: SparkSession, sf_dir: str) -> str:
+    with _LAKE_LOCK:
+        return _gold_root(spark, sf_dir)
+
+
+def _gold_root(spark: SparkSession, sf_dir: str) -> str:
     lake = _lake(spark, sf_dir)
     if "gold" not in lake:
         path = f"{lake['root']}/gold"

@@ -64,6 +64,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job),
+# passed with ``--conf`` or ``build_session(extra=...)``. Shuffle partitions
+# start high and AQE coalesces them to ~advisory size; skewed join partitions
+# are split; dimensions up to the adaptive threshold become broadcast joins
+# only after their stage has run and their real size is known.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": UTC,
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "playlake",
