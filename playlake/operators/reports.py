@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from playlake.functions.columns import as_percent, month_key
 from playlake.operators.joins import bounded_broadcast, lookup
 
+# Columns of the recent-window report, in order.
 RECENT_COLUMNS = (
     "media_id", "title", "channel", "plays",
     "unique_visitors", "active_days", "avg_watched_percent",

@@ -51,6 +51,8 @@ def _has_loads() -> Column:
     return F.col("load_count") > 0
 
 
+# Per endpoint, the business key, the required fields and the
+# Silver output columns in order.
 REFINEMENTS: dict[str, Refinement] = {
     schemas.EVENTS: Refinement(
         key=("event_key",),

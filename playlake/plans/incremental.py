@@ -274,6 +274,16 @@ def summarize(plan: LoadPlan, pulls: dict[str, DataFrame] | None = None) -> Data
     )
 
 
+def run_status(summary: DataFrame) -> DataFrame:
+    """One row: media in the run, media that failed, and whether any failed."""
+    failed = F.col("error").isNotNull()
+    return summary.agg(
+        F.count(F.lit(1)).alias("media"),
+        F.count_if(failed).alias("failed"),
+        F.coalesce(F.bool_or(failed), F.lit(False)).alias("had_errors"),
+    )
+
+
 # --- the run ----------------------------------------------------------------
 
 

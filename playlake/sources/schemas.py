@@ -29,7 +29,7 @@ DIM_VISITOR = "dim_visitor"
 FACT_MEDIA_ENGAGEMENT = "fact_media_engagement"
 GOLD_TABLES = (DIM_MEDIA, DIM_VISITOR, FACT_MEDIA_ENGAGEMENT)
 
-# Lineage columns appended to every Bronze row, in this order.
+# Lineage columns appended to every Bronze row, in this order.
 LINEAGE = ("ingest_timestamp", "ingest_date", "media_id")
 
 
@@ -37,6 +37,8 @@ def _strings(*names: str) -> list[StructField]:
     return [StructField(n, StringType()) for n in names]
 
 
+# Envelope header fields and, below, the record fields each
+# endpoint declares (in record order, with their types).
 HEADER = StructType(
     _strings("endpoint", "media_id", "ingest_timestamp", "ingest_date")
     + [StructField("record_count", LongType())]

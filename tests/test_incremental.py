@@ -96,6 +96,8 @@ def test_bad_media_is_isolated_and_reported(spark):
     assert summary["m1"]["media_metadata"] == 0
     assert summary["m2"]["error"] is None and summary["m2"]["events"] == 1
     assert summary["m2"]["media_metadata"] == 1
+    status = inc.run_status(inc.summarize(plan)).collect()[0]
+    assert (status["media"], status["failed"], status["had_errors"]) == (2, 1, True)
     new_state = inc.advance_state(inc.empty_state(spark), plan.loaded, plan.pulls[schemas.EVENTS], CLOCK)
     marks = {(r["endpoint"], r["media_id"]) for r in new_state.collect()}
     assert ("events", "m1") not in marks and ("by_date", "m1") not in marks
