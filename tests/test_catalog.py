@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle (small scale), and entry()."""
 
 import math
-import os
 
 import duckdb
 import pytest
