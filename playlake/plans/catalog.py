@@ -190,24 +190,23 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for endpoint in schemas.ENDPOINTS:
         envelopes = read_landing(spark, endpoint, root)
-        flat = to_bronze(envelopes).groupBy(*schemas.LINEAGE).agg(F.count(F.lit(1)).alias("bronze_rows"))
-        headers = envelopes.groupBy(
-            *[F.col(f"ingestion_metadata.{c}").alias(c) for c in schemas.LINEAGE]
-        ).agg(F.sum("ingestion_metadata.record_count").cast("long").alias("records"))
-        parts.append(
-            headers.join(flat, list(schemas.LINEAGE), "full_outer").select(
-                F.lit(endpoint).alias("endpoint"),
-                "media_id",
-                "ingest_timestamp",
-                "ingest_date",
-                F.coalesce("records", F.lit(0).cast("long")).alias("records"),
-                F.coalesce("bronze_rows", F.lit(0).cast("long")).alias("bronze_rows"),
-            )
+        # Header counts and flattened rows, unioned and aggregated once per pull.
+        flat = to_bronze(envelopes).select(
+            *schemas.LINEAGE, F.lit(0).cast("long").alias("records"), F.lit(1).cast("long").alias("bronze_rows")
         )
+        headers = envelopes.select(
+            *[F.col(f"ingestion_metadata.{c}").alias(c) for c in schemas.LINEAGE],
+            F.col("ingestion_metadata.record_count").alias("records"),
+            F.lit(0).cast("long").alias("bronze_rows"),
+        )
+        parts.append(flat.unionByName(headers).withColumn("endpoint", F.lit(endpoint)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.groupBy("endpoint", *schemas.LINEAGE).agg(
+        F.sum("records").cast("long").alias("records"),
+        F.sum("bronze_rows").cast("long").alias("bronze_rows"),
+    )
 
 
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:

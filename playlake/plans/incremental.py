@@ -226,51 +226,80 @@ def plan_load(
 
 
 def advance_state(state: DataFrame, loaded: DataFrame, pulled_events: DataFrame, clock: RunClock) -> DataFrame:
-    """State after the run: full outer merge of the old marks with the new ones."""
-    newest = pulled_events.groupBy("media_id").agg(
-        F.max(parse_instant("received_at")).alias("new_ts")
+    """State after the run: old marks merged with the new ones, new winning.
+
+    The merge is a union of old and new rows followed by one aggregate per
+    (endpoint, media) — a single shuffle, no full outer join.
+    """
+    old = state.select(
+        "endpoint", "media_id", "watermark_ts", "watermark_date",
+        F.lit(None).cast("timestamp").alias("new_ts"), F.lit(None).cast("date").alias("new_date"),
     )
-    events_state = (
-        _marks(state, schemas.EVENTS, "watermark_ts")
-        .join(newest, "media_id", "full_outer")
-        .select(
-            F.lit(schemas.EVENTS).alias("endpoint"),
-            "media_id",
-            F.coalesce("new_ts", "watermark_ts").alias("watermark_ts"),
-            F.lit(None).cast("date").alias("watermark_date"),
-        )
+    new_events = pulled_events.select(
+        F.lit(schemas.EVENTS).alias("endpoint"),
+        "media_id",
+        F.lit(None).cast("timestamp").alias("watermark_ts"),
+        F.lit(None).cast("date").alias("watermark_date"),
+        parse_instant("received_at").alias("new_ts"),
+        F.lit(None).cast("date").alias("new_date"),
     )
-    by_date_state = (
-        _marks(state, schemas.BY_DATE, "watermark_date")
-        .join(loaded.select("media_id", F.lit(clock.today).alias("new_date")), "media_id", "full_outer")
-        .select(
-            F.lit(schemas.BY_DATE).alias("endpoint"),
-            "media_id",
-            F.lit(None).cast("timestamp").alias("watermark_ts"),
-            F.coalesce("new_date", "watermark_date").alias("watermark_date"),
+    new_by_date = loaded.select(
+        F.lit(schemas.BY_DATE).alias("endpoint"),
+        "media_id",
+        F.lit(None).cast("timestamp").alias("watermark_ts"),
+        F.lit(None).cast("date").alias("watermark_date"),
+        F.lit(None).cast("timestamp").alias("new_ts"),
+        F.lit(clock.today).alias("new_date"),
+    )
+    merged = (
+        old.unionByName(new_events)
+        .unionByName(new_by_date)
+        .groupBy("endpoint", "media_id")
+        .agg(
+            F.max("watermark_ts").alias("old_ts"),
+            F.max("watermark_date").alias("old_date"),
+            F.max("new_ts").alias("new_ts"),
+            F.max("new_date").alias("new_date"),
         )
     )
-    return events_state.unionByName(by_date_state)
+    return merged.select(
+        "endpoint",
+        "media_id",
+        F.coalesce("new_ts", "old_ts").alias("watermark_ts"),
+        F.coalesce("new_date", "old_date").alias("watermark_date"),
+    )
 
 
 def summarize(plan: LoadPlan, pulls: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One row per media: records pulled per endpoint, and the error if it failed."""
+    """One row per media: records pulled per endpoint, and the error if it failed.
+
+    Media list, pulled records and failures are unioned and aggregated once per
+    media (no joins). Only fixed-width values are aggregated — counts and a
+    failure flag — so it stays a hash aggregate; the message is attached after.
+    """
     pulls = pulls or plan.pulls
-    tagged = None
+    parts = [
+        plan.media.select("media_id", F.lit(None).cast("string").alias("endpoint"),
+                          F.lit(False).alias("failed")),
+        plan.failures.select("media_id", F.lit(None).cast("string").alias("endpoint"),
+                             F.lit(True).alias("failed")),
+    ]
     for endpoint in schemas.ENDPOINTS:
-        part = pulls[endpoint].select("media_id", F.lit(endpoint).alias("endpoint"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    counts = tagged.groupBy("media_id").agg(
-        *[F.count_if(F.col("endpoint") == e).alias(e) for e in schemas.ENDPOINTS]
-    )
-    return (
-        plan.media.join(counts, "media_id", "left")
-        .join(plan.failures, "media_id", "left")
-        .select(
-            "media_id",
-            *[F.coalesce(F.col(e), F.lit(0).cast("long")).alias(e) for e in schemas.ENDPOINTS],
-            "error",
+        parts.append(
+            pulls[endpoint].select("media_id", F.lit(endpoint).alias("endpoint"),
+                                   F.lit(False).alias("failed"))
         )
+    tagged = parts[0]
+    for part in parts[1:]:
+        tagged = tagged.unionByName(part)
+    counted = tagged.groupBy("media_id").agg(
+        *[F.count_if(F.col("endpoint") == e).alias(e) for e in schemas.ENDPOINTS],
+        F.bool_or("failed").alias("failed"),
+    )
+    return counted.select(
+        "media_id",
+        *schemas.ENDPOINTS,
+        F.when(F.col("failed"), F.lit(NAIVE_OR_BAD)).alias("error"),
     )
 
 
