@@ -61,3 +61,19 @@ def test_envelope_schema_wraps_record_schema():
     ]
     assert env["records"].dataType.elementType == schemas.RECORD_SCHEMAS[schemas.BY_DATE]
     assert "media_id" not in schemas.RECORD_SCHEMAS[schemas.EVENTS].names
+
+
+def test_dashboard_frames_over_gold(spark):
+    from playlake.plans import catalog
+    from playlake.plans.dashboard import dashboard_frames
+
+    frames = dashboard_frames(spark, catalog.gold_root(spark, SF_SMALL))
+    assert list(frames) == [
+        "kpi", "last_7_days", "last_30_days", "by_media", "daily_trends", "monthly", "top_visitors"
+    ]
+    kpi = frames["kpi"].collect()[0]
+    assert kpi["total_plays"] == 466 and abs(kpi["total_watch_hours"] - 5.7712333) < 1e-6
+    by_media = frames["by_media"].collect()
+    assert all(r["avg_watched_percent"] is None or r["avg_watched_percent"] > 1 for r in by_media)
+    assert "channel" in frames["daily_trends"].columns
+    assert frames["top_visitors"].count() == 10
