@@ -78,12 +78,16 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eventmap.read_events(spark, sf_dir)
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _session_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     try:
         app = spark.sparkContext.applicationId
     except Exception:
         app = "session"
-    key = (app, sf_dir.rstrip("/"))
+    return app, sf_dir.rstrip("/")
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    key = _session_key(spark, sf_dir)
     if key not in _LAKES:
         root = scratch_path(spark, "lake")
         _LAKES[key] = {"root": root}
@@ -182,22 +186,24 @@ def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(to_bronze(envelopes))
 
 
-def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three endpoints landed as JSON in the shared scratch folder, scanned back."""
-    ev = _events(spark, sf_dir)
-    root = scratch_path(spark, "landing")
-    _land_all(ev, root)
+def landed_counts(landing_root: str, spark: SparkSession) -> DataFrame:
+    """Per (endpoint, pull): records announced by the envelope headers, rows the
+    flatten gives back, and whether an empty pull landed. Header and flattened
+    rows are unioned and aggregated once per pull (no join)."""
     parts = []
     for endpoint in schemas.ENDPOINTS:
-        envelopes = read_landing(spark, endpoint, root)
-        # Header counts and flattened rows, unioned and aggregated once per pull.
+        envelopes = read_landing(spark, endpoint, landing_root)
         flat = to_bronze(envelopes).select(
-            *schemas.LINEAGE, F.lit(0).cast("long").alias("records"), F.lit(1).cast("long").alias("bronze_rows")
+            *schemas.LINEAGE,
+            F.lit(0).cast("long").alias("records"),
+            F.lit(1).cast("long").alias("bronze_rows"),
+            F.lit(False).alias("empty"),
         )
         headers = envelopes.select(
             *[F.col(f"ingestion_metadata.{c}").alias(c) for c in schemas.LINEAGE],
             F.col("ingestion_metadata.record_count").alias("records"),
             F.lit(0).cast("long").alias("bronze_rows"),
+            (F.col("ingestion_metadata.record_count") == 0).alias("empty"),
         )
         parts.append(flat.unionByName(headers).withColumn("endpoint", F.lit(endpoint)))
     out = parts[0]
@@ -206,9 +212,18 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("endpoint", *schemas.LINEAGE).agg(
         F.sum("records").cast("long").alias("records"),
         F.sum("bronze_rows").cast("long").alias("bronze_rows"),
+        F.bool_or("empty").alias("empty_pull"),
     )
 
 
+def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three endpoints landed as JSON in the shared scratch folder, scanned back."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    _land_all(ev, root)
+    return landed_counts(root, spark).drop("empty_pull")
+
+
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze kept by the ``availableNow`` stream: run 1 landed and streamed,
     then run 2 landed and streamed again (only its new files are read)."""
@@ -327,6 +342,50 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.summarize(plan)
 
 
+# The end-to-end run: the initial state is saved as its own version, then
+# ``run_load`` pulls, lands every pull (empty ones too), appends the advanced
+# state and returns the summary. One run per (application, sf_dir); its
+# landing tree, state table and summary sit in the shared scratch folder.
+INITIAL_STATE_VERSION = "20240120T000000000000Z"
+_RUNS: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _incremental_run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    with _LAKE_LOCK:
+        key = _session_key(spark, sf_dir)
+        if key not in _RUNS:
+            sources, media, state = incremental_inputs(spark, sf_dir)
+            root = scratch_path(spark, "incremental")
+            landing, state_root = f"{root}/landing", f"{root}/state"
+            incremental.save_state(state, state_root, INITIAL_STATE_VERSION)
+            summary = incremental.run_load(
+                spark, sources, media, landing, state_root, INCREMENTAL_CLOCK
+            )
+            write_layer(summary, root, "summary")
+            _RUNS[key] = {"root": root, "landing": landing, "state": state_root}
+        use_utc(spark)
+        return _RUNS[key]
+
+
+def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary returned by the end-to-end run (records pulled per media and endpoint)."""
+    run = _incremental_run(spark, sf_dir)
+    return read_layer(spark, run["root"], "summary")
+
+
+def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the run landed, scanned back: per endpoint and media, the records,
+    the flattened rows and whether an empty pull landed as an empty envelope."""
+    run = _incremental_run(spark, sf_dir)
+    return landed_counts(run["landing"], spark).drop("ingest_timestamp")
+
+
+def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state version the run saved, read back as the next run would."""
+    run = _incremental_run(spark, sf_dir)
+    return portable(incremental.read_state(spark, run["state"]))
+
+
 # --- registry -------------------------------------------------------------------------
 
 
@@ -353,6 +412,9 @@ def queries() -> dict[str, Query]:
         "incremental_by_date": incremental_by_date,
         "state_advance": state_advance,
         "load_summary": load_summary,
+        "incremental_run": incremental_run,
+        "incremental_landing": incremental_landing,
+        "incremental_state": incremental_state,
     }
 
 
