@@ -66,7 +66,8 @@ def portable(df: DataFrame) -> DataFrame:
 # Silver and Gold are materialised from it on first use by the same operators
 # the queries exercise. Silver queries then run their operator on Bronze
 # Parquet, Gold queries on Silver Parquet and reports on Gold Parquet, each
-# scan pruned to the columns it needs.
+# scan pruned to the columns it needs. The landing, stream and incremental
+# queries take that same raw record table as their source of pulls.
 
 _LAKES: dict[tuple[str, str], dict[str, str]] = {}
 # Queries may be called from several driver threads; one lake build at a time.
@@ -169,11 +170,17 @@ FACT, DIM_MEDIA, DIM_VISITOR = schemas.FACT_MEDIA_ENGAGEMENT, schemas.DIM_MEDIA,
 # --- Bronze and landing --------------------------------------------------------
 
 
-def _land_all(ev: DataFrame, root: str) -> None:
+def _raw(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
+    """The endpoint's raw records (record fields + lineage), as mapped from the
+    events table and written once per session with the lake."""
+    return read_layer(spark, bronze_root(spark, sf_dir), endpoint)
+
+
+def _land_all(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Land every endpoint's raw records as envelopes (concurrent write jobs)."""
     run_all(
         {
-            e: partial(write_landing, build_envelopes(eventmap.raw_bronze(ev, e), e), e, root)
+            e: partial(write_landing, build_envelopes(_raw(spark, sf_dir, e), e), e, root)
             for e in schemas.ENDPOINTS
         }
     )
@@ -181,7 +188,7 @@ def _land_all(ev: DataFrame, root: str) -> None:
 
 def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events -> envelopes (chunked ``collect_list``) -> flattened Bronze rows."""
-    raw = eventmap.raw_bronze(_events(spark, sf_dir), schemas.EVENTS)
+    raw = _raw(spark, sf_dir, schemas.EVENTS)
     envelopes = build_envelopes(raw, schemas.EVENTS)
     return portable(to_bronze(envelopes))
 
@@ -218,19 +225,17 @@ def landed_counts(landing_root: str, spark: SparkSession) -> DataFrame:
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three endpoints landed as JSON in the shared scratch folder, scanned back."""
-    ev = _events(spark, sf_dir)
     root = scratch_path(spark, "landing")
-    _land_all(ev, root)
+    _land_all(spark, sf_dir, root)
     return landed_counts(root, spark).drop("empty_pull")
 
 
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze kept by the ``availableNow`` stream: run 1 landed and streamed,
     then run 2 landed and streamed again (only its new files are read)."""
-    ev = _events(spark, sf_dir)
+    raw = _raw(spark, sf_dir, schemas.EVENTS)
     root = scratch_path(spark, "stream")
     landing, bronze = f"{root}/landing", f"{root}/bronze"
-    raw = eventmap.raw_bronze(ev, schemas.EVENTS)
     for stamp in (eventmap.RUN_STAMPS[1], eventmap.RUN_STAMPS[2]):
         run = raw.where(F.col("ingest_timestamp") == stamp)
         write_landing(build_envelopes(run, schemas.EVENTS), schemas.EVENTS, landing)
@@ -260,10 +265,9 @@ def _gold_query(table: str) -> Query:
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full refresh landing -> Bronze -> Silver -> Gold in the shared scratch folder."""
-    ev = _events(spark, sf_dir)
     root = scratch_path(spark, "lake")
     landing = f"{root}/landing"
-    _land_all(ev, landing)
+    _land_all(spark, sf_dir, landing)
     counts = full_refresh(spark, landing, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
     return counts_frame(spark, counts)
 

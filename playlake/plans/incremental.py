@@ -115,7 +115,10 @@ def check_state(state: DataFrame) -> DataFrame:
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STATE_SCHEMA)
+    """A state without marks (first run), typed like a saved one."""
+    return spark.range(0).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in STATE_SCHEMA.fields]
+    )
 
 
 def read_state(spark: SparkSession, state_root: str) -> DataFrame:

@@ -8,7 +8,8 @@ Sink (``build_envelopes`` + ``write_landing``)
   * A pull's records are gathered with ``collect_list`` per chunk, never per
     whole pull: a pull of ``n`` records is spread over ``ceil(n / max_records)``
     envelopes by a hash, so one hot media cannot put its whole history in one
-    row or one task. Pull sizes come from a partial aggregate (one row per
+    row or one task. The flat records are hash-partitioned on the envelope key
+    and collected only after that exchange (no map-side partial collect). Pull sizes come from a partial aggregate (one row per
     pull) joined back; AQE broadcasts that side when it is measured small.
   * A pull that returned nothing still lands, as one envelope with an empty
     array and ``record_count = 0``.
@@ -66,6 +67,10 @@ def build_envelopes(
         records.withColumn("__spread", spread)
         .join(sizes, on=keys, how="inner")
         .withColumn("__chunk", F.pmod(F.col("__spread"), n_chunks))
+        # Flat rows are shuffled on the envelope key and collected after the
+        # exchange: a map-side partial collect_list would not shrink the data,
+        # only hold each task's records as object buffers before shipping them.
+        .repartition(*keys, "__chunk")
         .groupBy(*keys, "__chunk")
         .agg(F.collect_list(_record_struct(endpoint)).alias("records"))
         .drop("__chunk", "__spread")

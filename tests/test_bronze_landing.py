@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from conftest import plan_text
 from playlake.operators.bronze import to_bronze
 from playlake.sources import schemas
 from playlake.sources.landing import build_envelopes, read_landing, write_landing
@@ -107,6 +108,15 @@ def test_envelopes_are_chunked_and_keep_every_record(spark):
     assert len(cold) == 1 and cold[0]["n"] == 3
 
 
+def test_records_are_collected_only_after_the_exchange(spark):
+    raw = _raw_events(spark, {"hot": 50, "cold": 3})
+    lines = plan_text(build_envelopes(raw, schemas.EVENTS), "simple").splitlines()
+    partial = [i for i, line in enumerate(lines) if "partial_collect_list" in line]
+    exchange = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line and "__chunk" in line]
+    # One partial collect, printed above (so run after) the shuffle of flat rows.
+    assert len(partial) == 1 and len(exchange) == 1 and partial[0] < exchange[0]
+
+
 def test_identical_records_still_spread(spark):
     raw = _raw_events(spark, {"hot": 1}).unionByName(_raw_events(spark, {"hot": 1}))
     for _ in range(6):
