@@ -25,6 +25,7 @@ from playlake.operators.bronze import to_bronze
 from playlake.operators.silver import to_silver
 from playlake.plans import incremental, oracle
 from playlake.plans.concurrent import run_all
+from playlake.plans.dashboard import dashboard_frames
 from playlake.plans.refresh import (
     counts_frame,
     full_refresh,
@@ -157,6 +158,11 @@ def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return gold_tables(spark, silver_root(spark, sf_dir))
 
 
+def dashboard_by_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard's by-media table: the report with the mean in percent (P9)."""
+    return portable(dashboard_frames(spark, gold_root(spark, sf_dir))["by_media"])
+
+
 def _report(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return portable(fn(load_gold(spark, gold_root(spark, sf_dir))))
@@ -411,6 +417,7 @@ def queries() -> dict[str, Query]:
         "recent_7d": _report(lambda g: reports.recent_engagement(g[FACT], g[DIM_MEDIA], 7)),
         "recent_30d": _report(lambda g: reports.recent_engagement(g[FACT], g[DIM_MEDIA], 30)),
         "top_visitors": _report(lambda g: reports.top_visitors(g[FACT], g[DIM_VISITOR], 10)),
+        "dashboard_by_media": dashboard_by_media,
         "layer_counts": layer_counts,
         "incremental_cutoff": incremental_cutoff,
         "incremental_by_date": incremental_by_date,

@@ -504,4 +504,12 @@ def oracle_sql() -> dict[str, str]:
     sql["incremental_run"] = sql["load_summary"]
     sql["incremental_state"] = sql["state_advance"]
     sql["incremental_landing"] = _incremental_landing()
+    sql["dashboard_by_media"] = with_ctes(
+        f"""SELECT a.media_id, a.plays, a.unique_visitors,
+                   {r6('a.avg_watched_percent * 100.0', 'avg_watched_percent')}, d.title, d.channel
+            FROM (SELECT media_id, {_ENGAGEMENT} FROM fact
+                  WHERE media_id IS NOT NULL GROUP BY media_id) a
+            LEFT JOIN dim_media d ON d.media_id = a.media_id""",
+        "fact", "dim_media",
+    )
     return sql
