@@ -9,7 +9,8 @@ Sink (``build_envelopes`` + ``write_landing``)
     whole pull: a pull of ``n`` records is spread over ``ceil(n / max_records)``
     envelopes by a hash, so one hot media cannot put its whole history in one
     row or one task. The flat records are hash-partitioned on the envelope key
-    and collected only after that exchange (no map-side partial collect). Pull sizes come from a partial aggregate (one row per
+    and collected only after that exchange (no map-side partial collect), into
+    a fixed number of tasks so that the envelope files are written in parallel. Pull sizes come from a partial aggregate (one row per
     pull) joined back; AQE broadcasts that side when it is measured small.
   * A pull that returned nothing still lands, as one envelope with an empty
     array and ``record_count = 0``.
@@ -44,6 +45,7 @@ def build_envelopes(
     endpoint: str,
     pulls: DataFrame | None = None,
     max_records: int = DEFAULT_MAX_RECORDS,
+    write_tasks: int | None = None,
 ) -> DataFrame:
     """Envelopes (``ingestion_metadata``, ``records``) from pulled records.
 
@@ -51,9 +53,14 @@ def build_envelopes(
     ``ingest_timestamp``, ``ingest_date`` (one row per pulled record).
     ``pulls``: every pull that ran (same three columns), so that empty pulls
     land too; when omitted only pulls with records are written.
+    ``write_tasks``: tasks the envelopes are spread over (default: the
+    session's ``spark.sql.shuffle.partitions``).
     """
     if max_records < 1:
         raise ValueError("max_records must be positive")
+    tasks = write_tasks or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if tasks < 1:
+        raise ValueError("write_tasks must be positive")
     keys = list(PULL_KEYS)
     fields = schemas.record_fields(endpoint)
     sizes = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
@@ -70,7 +77,10 @@ def build_envelopes(
         # Flat rows are shuffled on the envelope key and collected after the
         # exchange: a map-side partial collect_list would not shrink the data,
         # only hold each task's records as object buffers before shipping them.
-        .repartition(*keys, "__chunk")
+        # The count is fixed, not coalesced by bytes: landing costs per
+        # envelope file, so small envelopes are spread over every task instead
+        # of being packed into a few that then create files one by one.
+        .repartition(tasks, *keys, "__chunk")
         .groupBy(*keys, "__chunk")
         .agg(F.collect_list(_record_struct(endpoint)).alias("records"))
         .drop("__chunk", "__spread")
