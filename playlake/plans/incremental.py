@@ -211,11 +211,17 @@ class LoadPlan:
 
 
 def plan_load(
-    sources: dict[str, DataFrame], media: DataFrame, state: DataFrame, clock: RunClock
+    sources: dict[str, DataFrame],
+    media: DataFrame,
+    state: DataFrame,
+    clock: RunClock,
+    failures: DataFrame | None = None,
 ) -> LoadPlan:
+    """The run's pulls; ``failures`` (media_id, error) may be given precomputed."""
     check_state(state)
     media = media.select("media_id").distinct()
-    failures = event_failures(sources[schemas.EVENTS]).join(media, "media_id", "left_semi")
+    if failures is None:
+        failures = event_failures(sources[schemas.EVENTS]).join(media, "media_id", "left_semi")
     loaded = media.join(failures, "media_id", "left_anti")
     pulls = {
         schemas.EVENTS: pull_events(sources[schemas.EVENTS], loaded, state, clock),
@@ -336,14 +342,31 @@ def run_load(
 ) -> DataFrame:
     """Pull, land, advance the state; return the per-media summary (lazy).
 
-    Pulled records are staged once as Parquet under the shared scratch folder:
-    landing, state and summary then read the staged delta instead of joining
-    the source again, and a lost executor re-runs only the stage it was in.
+    Two rounds of staging under the shared scratch folder. First the run's
+    media list and validation failures (one row per media each), which every
+    later step uses: the validation scans the source events once, not once
+    per pull, landing write, state merge and summary. Then the pulled records:
+    landing, state and summary read the staged delta instead of joining the
+    source again. A lost executor re-runs only the stage it was in.
     """
     use_utc(spark)
     state = read_state(spark, state_root)
-    plan = plan_load(sources, media, state, clock)
     stage_root = scratch_path(spark, "load-stage")
+    run_media = media.select("media_id").distinct()
+    run_failures = event_failures(sources[schemas.EVENTS]).join(run_media, "media_id", "left_semi")
+    run_all(
+        {
+            "media": partial(write_layer, run_media, stage_root, "media"),
+            "failures": partial(write_layer, run_failures, stage_root, "failures"),
+        }
+    )
+    plan = plan_load(
+        sources,
+        read_layer(spark, stage_root, "media"),
+        state,
+        clock,
+        failures=read_layer(spark, stage_root, "failures"),
+    )
     run_all({e: partial(write_layer, records, stage_root, e) for e, records in plan.pulls.items()})
     staged = {e: read_layer(spark, stage_root, e) for e in plan.pulls}
     pulls_made = _with_run(plan.loaded, clock).select(*PULL_KEYS)
