@@ -16,7 +16,7 @@ CHANNEL_RULES = (("youtube", "Youtube"), ("facebook", "Facebook"))
 UNKNOWN_CHANNEL = "Unknown"
 
 # An ISO-8601 instant must carry an explicit offset to be time-zone aware.
-_OFFSET_SUFFIX = r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+OFFSET_SUFFIX = r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
 def col(c: str | Column) -> Column:
@@ -40,7 +40,7 @@ def utc_day(c: str | Column) -> Column:
 
 def is_zone_aware(c: str | Column) -> Column:
     """True when the ISO text ends in ``Z`` or a numeric offset."""
-    return col(c).rlike(_OFFSET_SUFFIX)
+    return col(c).rlike(OFFSET_SUFFIX)
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:

@@ -287,15 +287,16 @@ INCREMENTAL_CLOCK = incremental.RunClock(
 )
 
 
-def incremental_inputs(spark: SparkSession, sf_dir: str):
-    """Sources (run-1 records; events whose timestamp parses), media list and a
-    state with marks for media m0..m29, all derived from the events table."""
+def incremental_inputs(spark: SparkSession, sf_dir: str, parsable_only: bool = True):
+    """Sources (run-1 records; with ``parsable_only``, only events whose
+    timestamp parses), media list and a state with marks for media m0..m29,
+    all derived from the events table."""
     root = bronze_root(spark, sf_dir)
     first = F.col("ingest_timestamp") == eventmap.RUN_STAMPS[1]
     sources = {}
     for endpoint in schemas.ENDPOINTS:
         raw = read_layer(spark, root, endpoint).where(first)
-        if endpoint == schemas.EVENTS:
+        if endpoint == schemas.EVENTS and parsable_only:
             raw = raw.where(parse_instant("received_at").isNotNull())
         sources[endpoint] = raw.select("media_id", *schemas.record_fields(endpoint))
     media = read_layer(spark, root, schemas.EVENTS).select("media_id").distinct()
@@ -352,6 +353,13 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.summarize(plan)
 
 
+def incremental_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load over every run-1 event, unparseable timestamps included: a
+    media holding one is reported as failed and pulls nothing, the others load."""
+    sources, media, state = incremental_inputs(spark, sf_dir, parsable_only=False)
+    return incremental.summarize(incremental.plan_load(sources, media, state, INCREMENTAL_CLOCK))
+
+
 # The end-to-end run: the initial state is saved as its own version, then
 # ``run_load`` pulls, lands every pull (empty ones too), appends the advanced
 # state and returns the summary. One run per (application, sf_dir); its
@@ -423,6 +431,7 @@ def queries() -> dict[str, Query]:
         "incremental_by_date": incremental_by_date,
         "state_advance": state_advance,
         "load_summary": load_summary,
+        "incremental_validation": incremental_validation,
         "incremental_run": incremental_run,
         "incremental_landing": incremental_landing,
         "incremental_state": incremental_state,

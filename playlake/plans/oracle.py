@@ -9,6 +9,8 @@ doubles rounded to 6 decimals, sums and counts as BIGINT.
 
 from __future__ import annotations
 
+from playlake.functions.columns import OFFSET_SUFFIX
+from playlake.plans.incremental import NAIVE_OR_BAD
 from playlake.sources.eventmap import CREATED, RUN_STAMPS, URL_PREFIX
 
 # Fixed values of the incremental scenario (see ``catalog``).
@@ -347,6 +349,31 @@ def _incremental_landing() -> str:
     return with_ctes(per_endpoint, "inc_media", "inc_events", "inc_by_date", "inc_meta")
 
 
+def _incremental_validation() -> str:
+    """Media with any unparseable or zone-less run-1 event fail and pull nothing."""
+    return with_ctes(
+        f"""SELECT m.media_id,
+                   CAST(CASE WHEN f.media_id IS NULL THEN coalesce(e.n, 0) ELSE 0 END AS BIGINT) AS events,
+                   CAST(CASE WHEN f.media_id IS NULL THEN coalesce(b.n, 0) ELSE 0 END AS BIGINT) AS by_date,
+                   CAST(CASE WHEN f.media_id IS NULL THEN coalesce(x.n, 0) ELSE 0 END AS BIGINT)
+                     AS media_metadata,
+                   CASE WHEN f.media_id IS NOT NULL THEN '{NAIVE_OR_BAD}' END AS error
+            FROM inc_media m
+            LEFT JOIN (SELECT DISTINCT media_id FROM raw_events
+                       WHERE ingest_timestamp = '{RUN_STAMPS[1]}'
+                         AND (TRY_CAST(received_at AS TIMESTAMP) IS NULL
+                              OR NOT regexp_matches(received_at, '{OFFSET_SUFFIX}'))) f
+              ON f.media_id = m.media_id
+            LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_events GROUP BY media_id) e
+              ON e.media_id = m.media_id
+            LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_by_date GROUP BY media_id) b
+              ON b.media_id = m.media_id
+            LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_meta GROUP BY media_id) x
+              ON x.media_id = m.media_id""",
+        "raw_events", "inc_media", "inc_events", "inc_by_date", "inc_meta",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "bronze_flatten": with_ctes(_bronze_select("raw_events"), "raw_events"),
@@ -504,6 +531,7 @@ def oracle_sql() -> dict[str, str]:
     sql["incremental_run"] = sql["load_summary"]
     sql["incremental_state"] = sql["state_advance"]
     sql["incremental_landing"] = _incremental_landing()
+    sql["incremental_validation"] = _incremental_validation()
     sql["dashboard_by_media"] = with_ctes(
         f"""SELECT a.media_id, a.plays, a.unique_visitors,
                    {r6('a.avg_watched_percent * 100.0', 'avg_watched_percent')}, d.title, d.channel
