@@ -199,7 +199,7 @@ def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(to_bronze(envelopes))
 
 
-def landed_counts(landing_root: str, spark: SparkSession) -> DataFrame:
+def landed_counts(spark: SparkSession, landing_root: str) -> DataFrame:
     """Per (endpoint, pull): records announced by the envelope headers, rows the
     flatten gives back, and whether an empty pull landed. Header and flattened
     rows are unioned and aggregated once per pull (no join)."""
@@ -233,7 +233,7 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three endpoints landed as JSON in the shared scratch folder, scanned back."""
     root = scratch_path(spark, "landing")
     _land_all(spark, sf_dir, root)
-    return landed_counts(root, spark).drop("empty_pull")
+    return landed_counts(spark, root).drop("empty_pull")
 
 
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,7 +395,7 @@ def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the run landed, scanned back: per endpoint and media, the records,
     the flattened rows and whether an empty pull landed as an empty envelope."""
     run = _incremental_run(spark, sf_dir)
-    return landed_counts(run["landing"], spark).drop("ingest_timestamp")
+    return landed_counts(spark, run["landing"]).drop("ingest_timestamp")
 
 
 def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
