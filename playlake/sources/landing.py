@@ -8,10 +8,12 @@ Sink (``build_envelopes`` + ``write_landing``)
   * A pull's records are gathered with ``collect_list`` per chunk, never per
     whole pull: a pull of ``n`` records is spread over ``ceil(n / max_records)``
     envelopes by a hash, so one hot media cannot put its whole history in one
-    row or one task. The flat records are hash-partitioned on the envelope key
-    and collected only after that exchange (no map-side partial collect), into
-    a fixed number of tasks so that the envelope files are written in parallel. Pull sizes come from a partial aggregate (one row per
-    pull) joined back; AQE broadcasts that side when it is measured small.
+    row or one task. Pull sizes come from a partial aggregate (one row per
+    pull); only pulls over ``max_records`` are joined back to the records, and
+    AQE broadcasts that side when it is measured small.
+  * The flat records are hash-partitioned on the envelope key and collected
+    only after that exchange (no map-side partial collect), into a fixed
+    number of tasks so that the envelope files are written in parallel.
   * A pull that returned nothing still lands, as one envelope with an empty
     array and ``record_count = 0``.
   * One envelope per file (``maxRecordsPerFile = 1``): the multi-line reader
@@ -64,16 +66,22 @@ def build_envelopes(
     keys = list(PULL_KEYS)
     fields = schemas.record_fields(endpoint)
     sizes = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    n_chunks = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("__n") / F.lit(max_records)))
+    # Only pulls larger than one envelope need a chunk count; there are at most
+    # (records / max_records) of them, usually few, so the side joined back is
+    # small and AQE broadcasts it once measured. Every other pull is chunk 0.
+    split = sizes.where(F.col("__n") > max_records).select(
+        *keys, F.ceil(F.col("__n") / F.lit(max_records)).alias("__chunks")
+    )
     # The spread hash is taken before the join, on the input partitioning: the
     # task's partition id joins the record hash, so even identical records of
     # one pull spread across chunks (a retried task keeps its partition id).
     # Taken after a shuffle on the pull keys, all rows of a pull would share it.
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fields])
+    chunk = F.coalesce(F.pmod(F.col("__spread"), F.col("__chunks")), F.lit(0).cast("long"))
     chunked = (
         records.withColumn("__spread", spread)
-        .join(sizes, on=keys, how="inner")
-        .withColumn("__chunk", F.pmod(F.col("__spread"), n_chunks))
+        .join(split, on=keys, how="left")
+        .withColumn("__chunk", chunk)
         # Flat rows are shuffled on the envelope key and collected after the
         # exchange: a map-side partial collect_list would not shrink the data,
         # only hold each task's records as object buffers before shipping them.
@@ -83,7 +91,7 @@ def build_envelopes(
         .repartition(tasks, *keys, "__chunk")
         .groupBy(*keys, "__chunk")
         .agg(F.collect_list(_record_struct(endpoint)).alias("records"))
-        .drop("__chunk", "__spread")
+        .drop("__chunk")
     )
     if pulls is not None:
         empty_type = ArrayType(schemas.RECORD_SCHEMAS[endpoint])
