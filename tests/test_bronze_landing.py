@@ -172,3 +172,11 @@ def test_identical_records_spread_under_sort_merge_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_records_of_a_null_pull_key_are_kept(spark):
+    raw = _raw_events(spark, {"m1": 3}).unionByName(
+        _raw_events(spark, {"m2": 2}).withColumn("media_id", F.lit(None).cast("string"))
+    )
+    env = build_envelopes(raw, schemas.EVENTS, max_records=2)
+    assert to_bronze(env).count() == 5

@@ -160,3 +160,9 @@ def test_ingest_date_is_the_utc_day_of_the_run():
     assert late.ingest_date == "2024-01-31"
     assert CLOCK.ingest_date == "2024-01-30"
     assert late.version == "20240131T040000000000Z" and CLOCK.version < late.version
+
+
+def test_empty_state_is_typed_like_a_saved_one(spark):
+    state = inc.empty_state(spark)
+    assert state.schema == inc.STATE_SCHEMA and state.count() == 0
+    inc.check_state(state)

@@ -77,3 +77,11 @@ def test_dashboard_frames_over_gold(spark):
     assert all(r["avg_watched_percent"] is None or r["avg_watched_percent"] > 1 for r in by_media)
     assert "channel" in frames["daily_trends"].columns
     assert frames["top_visitors"].count() == 10
+
+
+def test_counts_frame_types_and_empty(spark):
+    df = refresh.counts_frame(spark, {"bronze": {"events": 3, "by_date": 2}})
+    assert df.schema.simpleString() == "struct<layer:string,table_name:string,row_count:bigint>"
+    assert sorted(tuple(r) for r in df.collect()) == [("bronze", "by_date", 2), ("bronze", "events", 3)]
+    empty = refresh.counts_frame(spark, {})
+    assert empty.schema.simpleString() == df.schema.simpleString() and empty.count() == 0
