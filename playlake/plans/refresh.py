@@ -136,12 +136,12 @@ def counts_frame(spark: SparkSession, counts: dict[str, dict[str, int]]) -> Data
 
 
 def main(argv: list[str]) -> int:
-    from playlake.session import build_session
+    from playlake import session
 
     if len(argv) != 4:
         print("usage: python -m playlake.plans.refresh LANDING BRONZE SILVER GOLD", file=sys.stderr)
         return 2
-    spark = build_session()
+    spark = session.job_session("playlake-refresh")
     try:
         print(full_refresh(spark, *argv))
     finally:

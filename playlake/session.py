@@ -83,13 +83,23 @@ CLUSTER_SETTINGS = {
 }
 
 
+def job_session(app_name: str = "playlake") -> SparkSession:
+    """Session for a submitted job (``spark-submit``, or plain ``python``).
+
+    Master, resources and shuffle sizing come from the submission and
+    ``spark-defaults.conf`` (see ``CLUSTER_SETTINGS``); nothing local is forced.
+    Only the clock is fixed: dates are derived in UTC.
+    """
+    return SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", UTC).getOrCreate()
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "playlake",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Local session with the settings the pipeline expects (tests, bench, CLI).
+    """Local session with the settings the pipeline expects (tests, bench).
 
     AQE stays on: it coalesces small shuffle partitions, turns joins whose
     measured build side is small into broadcast joins, and splits skewed join

@@ -41,7 +41,7 @@ def test_main_stops_the_session_on_failure(monkeypatch):
 
     import playlake.session as session_mod
 
-    monkeypatch.setattr(session_mod, "build_session", lambda *a, **k: FakeSession())
+    monkeypatch.setattr(session_mod, "job_session", lambda *a, **k: FakeSession())
 
     def boom(*args, **kwargs):
         raise RuntimeError("layer failed")
