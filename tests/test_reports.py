@@ -142,6 +142,17 @@ def test_top_visitors_limits_before_join_and_streams_dim(spark, fact):
     assert "SortMergeJoin" not in plan
 
 
+def test_top_visitors_aggregates_the_fact_once(spark, fact):
+    dim = spark.createDataFrame([("v1", "ip", "US")], DIM_VISITOR)
+    out = reports.top_visitors(fact, dim, 10)
+    out.collect()
+    # The outer final plan ends where the outer (unindented) initial plan starts.
+    plan = plan_text(out, "simple").split("\n+- == Initial Plan ==")[0]
+    # Both uses of the ranking (the ids for the semi join, the result rows)
+    # read the one cached relation instead of aggregating the fact again.
+    assert plan.count("InMemoryTableScan") == 2
+
+
 def test_in_percent(spark, fact, dim_media):
     base = reports.engagement_by_media(fact, dim_media)
     pct = {r["media_id"]: r["avg_watched_percent"] for r in reports.in_percent(base).collect()}
