@@ -157,3 +157,19 @@ def test_in_percent(spark, fact, dim_media):
     base = reports.engagement_by_media(fact, dim_media)
     pct = {r["media_id"]: r["avg_watched_percent"] for r in reports.in_percent(base).collect()}
     assert abs(pct["m1"] - 30.0) < 1e-9
+
+
+def test_plan_summary_counts_a_cached_relation_once(spark, fact):
+    import os
+    import re
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_summary import final_plan
+
+    dim = spark.createDataFrame([("v1", "ip", "US")], DIM_VISITOR)
+    out = reports.top_visitors(fact, dim, 10)
+    out.collect()
+    text = final_plan(plan_text(out, "simple"))
+    assert len(re.findall(r"TakeOrderedAndProject", text)) == 1
+    assert "== Initial Plan ==" not in text
