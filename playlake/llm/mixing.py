@@ -7,8 +7,10 @@ without replacement: every document has the key -ln(u) / weight, with u from a
 hash of its id and weight from its quality, and documents are taken by
 increasing key until their words reach the rest.
 
-The running sum by key is worked out in two levels (sums over key ranges, then
-inside a range), so a source with a third of all rows is never one task's work.
+The running sum by key is worked out in two levels: sums over key ranges, then, in
+the one range where a source's target ends, document by document. So a source
+with a third of all rows is never one task's work, and what decides about a
+document is one row per source: where its draw ends.
 
 Defined results
   * null or empty text: size 0, taken 0; null source: a source of its own, last;
@@ -33,6 +35,8 @@ MOST_EPOCHS = 3
 SEED = "mix-1"
 #: Key ranges of the two-level running sum.
 RANGES = 4096
+#: Sources whose figures may be broadcast (about 100 bytes each); beyond, the join is a plain one.
+BROADCAST_ROWS = 100_000
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
@@ -84,23 +88,9 @@ def targets(sizes: DataFrame, most_epochs: int = MOST_EPOCHS) -> DataFrame:
     )
 
 
-def mix(
-    docs: DataFrame,
-    weights: DataFrame | None = None,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    keep: tuple[str, ...] = (),
-    seed: str = SEED,
-    ranges: int = RANGES,
-) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken, and ``keep``.
-
-    ``copies`` is how often the mix holds the document, ``taken`` its words
-    there. ``weights`` has doc_id and weight.
-    """
-    spark = docs.sparkSession
-    shared_dir(spark)  # the checkpoint below goes there
+def _keyed(docs: DataFrame, weights: DataFrame | None, columns: tuple[str, str, str], keep: tuple[str, ...], seed: str, ranges: int) -> DataFrame:
+    """doc_id, source, size, sampling key and key range of every document, and ``keep`` by number."""
+    id_col, text_col, source_col = columns
     sized = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
@@ -113,12 +103,16 @@ def mix(
     else:
         sized = sized.withColumn("weight", F.lit(1.0))
     weight = F.when(F.col("weight") > 0, F.col("weight")).otherwise(F.lit(1.0))
-    key = -F.log(_uniform(F.col("doc_id"), seed)) / weight
-    keyed = sized.withColumn("key", key).drop("weight")
-    if not keep:  # ids and numbers only: kept, so that the texts are read once
-        keyed = keyed.checkpoint()
-    keyed = keyed.withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * ranges))
+    keyed = sized.withColumn("key", -F.log(_uniform(F.col("doc_id"), seed)) / weight).drop("weight")
+    return keyed.withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * ranges))
+
 
+def cuts(keyed: DataFrame) -> DataFrame:
+    """One row per source: its size, target, whole epochs, and the last place (range, key) that the draw takes.
+
+    Sums over key ranges find the range in which the rest of the target ends;
+    only the documents of that range are put in order.
+    """
     sizes = keyed.groupBy("source", "range").agg(F.sum("size").alias("n"))
     goal = targets(sizes.groupBy("source").agg(F.sum("n").alias("source_size")))
     goal = goal.withColumn(
@@ -126,22 +120,58 @@ def mix(
     ).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
 
     ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("source", "range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before_range"))
-    starts = starts.join(
-        goal.withColumnRenamed("source", "_gs"), F.col("source").eqNullSafe(F.col("_gs"))
-    ).select(
-        F.col("source").alias("_s"), F.col("range").alias("_r"), "before_range", "source_size", "target", "epochs", "rest"
+    starts = sizes.withColumn("before_range", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    starts = starts.join(goal.withColumnRenamed("source", "_gs"), F.col("source").eqNullSafe(F.col("_gs")))
+    # the last range that begins within the rest
+    border = starts.where(F.col("before_range") <= F.col("rest")).groupBy(F.col("source").alias("_s")).agg(
+        F.max(F.struct("range", "before_range", "rest")).alias("b")
+    ).select("_s", F.col("b.range").alias("_r"), "b.before_range", "b.rest")
+    inside = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    last = (
+        keyed.select("source", "range", "key", "doc_id", "size")
+        .join(border, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r")))
+        .withColumn("before", F.col("before_range") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        # The document at the border is in if at least half of it fits: no bias either way.
+        .where(2 * F.col("before") + F.col("size") <= 2 * F.col("rest"))
+        .groupBy(F.col("source").alias("_l"))
+        .agg(F.max(F.struct("key", "doc_id", "size")).alias("last"))
     )
-    inside = (
-        Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        goal.join(border.select("_s", "_r"), F.col("source").eqNullSafe(F.col("_s")), "left")
+        .join(last, F.col("source").eqNullSafe(F.col("_l")), "left")
+        .select(F.col("source").alias("_source"), "source_size", "target", "epochs", F.col("_r").alias("last_range"), "last")
     )
-    placed = keyed.withColumn("before_row", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
-        starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r"))
+
+
+def mix(
+    docs: DataFrame,
+    weights: DataFrame | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    keep: tuple[str, ...] = (),
+    seed: str = SEED,
+    ranges: int = RANGES,
+) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, copies, taken, and ``keep``.
+
+    ``copies`` is how often the mix holds the document, ``taken`` its words
+    there. ``weights`` has doc_id and weight.
+    """
+    spark = docs.sparkSession
+    shared_dir(spark)  # the checkpoints go there
+    columns = (id_col, text_col, source_col)
+    # ids and numbers only, kept so that the texts are read once for them
+    keyed = _keyed(docs, weights, columns, (), seed, ranges).checkpoint()
+    found = cuts(keyed).checkpoint()
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    rows = _keyed(docs, weights, columns, keep, seed, ranges) if keep else keyed
+    placed = rows.join(found, F.col("source").eqNullSafe(F.col("_source")))
+    drawn = (F.col("range") < F.col("last_range")) | (
+        (F.col("range") == F.col("last_range")) & (F.struct("key", "doc_id", "size") <= F.col("last"))
     )
-    # The document at the border is in if at least half of it fits: no bias either way.
-    drawn = 2 * (F.col("before_range") + F.col("before_row")) + F.col("size") <= 2 * F.col("rest")
-    copies = F.col("epochs") + F.when(drawn, 1).otherwise(0)
-    copies = F.least(copies, F.lit(MOST_EPOCHS))
+    copies = F.least(F.col("epochs") + F.when(drawn, 1).otherwise(0), F.lit(MOST_EPOCHS))
     return placed.select(
         "doc_id",
         "size",

@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlake.llm import byte_dedup, chat, mixing, pii_boost, quality_llr, word_dedup
+from playlake.llm import (
+    byte_dedup,
+    chat,
+    fingerprint,
+    lang_filter,
+    mixing,
+    near_dup,
+    packing,
+    pii_boost,
+    quality_llr,
+    word_dedup,
+)
 from playlake.llm._columns import read_table
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = pii_boost.fit(docs)
@@ -38,12 +53,23 @@ def op3_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op5_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = quality_llr.fit(docs, read_table(spark, sf_dir, "labels"))
     return quality_llr.assess(docs, model)
 
 
+def op6_lang_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lang_filter.predict(docs, lang_filter.fit(docs))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = mixing.quality_weights(read_table(spark, sf_dir, "labels"))
     return mixing.mix(read_table(spark, sf_dir, "documents"), weights)
@@ -53,6 +79,10 @@ def op8_rotate_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(read_table(spark, sf_dir, "conversations"))
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op10_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = word_dedup.dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -60,11 +90,15 @@ def op10_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_dup": op1_near_dup,
         "op2_pii_boost": op2_pii_boost,
         "op3_byte_dedup": op3_byte_dedup,
+        "op4_packing": op4_packing,
         "op5_quality_llr": op5_quality_llr,
+        "op6_lang_filter": op6_lang_filter,
         "op7_mix_sources": op7_mix_sources,
         "op8_rotate_speakers": op8_rotate_speakers,
+        "op9_fingerprint": op9_fingerprint,
         "op10_word_dedup": op10_word_dedup,
     }
 
