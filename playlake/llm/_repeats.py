@@ -9,20 +9,24 @@ together the places that share an anchor. Only about 2 in W-K+2 grams are
 anchors. Documents are dealt to *blocks* of a bounded number of bytes by a hash;
 a block is the unit of every step, and what leaves it is aggregated first:
 
-1. each block sends the hashes of its distinct anchors to buckets (by hash);
-2. a bucket answers each block which of them occur in two documents or more;
-3. for those the block sends the distinct *contexts* of the anchor: all tokens
-   that any window around it can cover, with the least document id in the block;
-4. a bucket finds, for each context and each window in it, whether the window
-   occurs with a smaller id elsewhere, and answers with one bit per window;
-5. the block marks the windows and removes what they cover.
-
-The texts are exchanged once (Spark reuses the exchange for steps 1, 3 and 5),
-everything else is hashes, contexts of shared anchors and bits. A *hot* anchor,
-of which there are contexts in very many blocks, would make one group grow with
-the corpus: its windows are sent by their own 128-bit digests instead (the
-longest prefix a window has), each once per block with its least id, so a group
-of those is one number per block however often the passage occurs.
+1. each block sends the hashes of its distinct anchors to buckets (by hash), and
+   learns which of them occur in two documents or more;
+2. for those it sends digests of their distinct *contexts* (all tokens that any
+   window around the anchor can cover) with the least document id in the block.
+   It learns which contexts occur with a smaller id elsewhere: all their windows
+   go. Of each other context one block is the owner; where the same anchor has
+   further contexts that agree with it for half a window on one side (else no
+   window can be common), it is asked for the tokens;
+3. it sends those contexts, and gets one bit per window: it also occurs with a
+   smaller id, in another context. Finding these is the operator's own method;
+4. the block marks the windows and removes what they cover.
+
+The texts are exchanged once (Spark reuses the exchange for all steps), the rest
+is hashes, digests, contexts that differ at one end, and bits. A *hot* anchor, of
+which there are contexts in very many blocks, would make one group grow with the
+corpus: its windows are sent by their own 128-bit digests instead (the longest
+prefix a window has), each once per block with its least id, so a group of those
+is one number per block however often the passage occurs.
 """
 
 from __future__ import annotations
@@ -49,7 +53,8 @@ PASS_BYTES = 256 << 10
 HOT_BLOCKS, HOT_CROWDED, CROWD = 1024, 24, 64
 
 NO_ID = np.iinfo(np.int64).max
-SHARED, CONTEXTS, WINDOWS = 0, 1, 2
+#: Kinds of messages: bits of shared anchors, of contexts, of contexts' windows, of hot windows.
+SHARED, DIGESTS, CONTEXTS, WINDOWS = 0, 1, 2, 3
 
 
 @dataclass(frozen=True)
@@ -64,6 +69,8 @@ class Plan:
     hot_blocks: int = HOT_BLOCKS
     hot_crowded: int = HOT_CROWDED
     crowd: int = CROWD
+    #: Tokens of contexts that one search covers (whole anchors, at least one).
+    search_tokens: int = 256 << 10
 
     @property
     def offsets(self) -> int:
@@ -73,6 +80,11 @@ class Plan:
     def context(self) -> int:
         return 2 * self.window - self.gram
 
+    @property
+    def half(self) -> int:
+        """A window covers this many tokens on one side of its anchor at least."""
+        return -(-(self.window - self.gram) // 2)
+
 
 class Block:
     """One block's texts as tokens, with its anchors."""
@@ -105,13 +117,14 @@ class Block:
         for a, b in k.slices(self.of_text, per_pass):
             if found := self._anchors_of(a, b):
                 parts.append(found)
-        empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-        self.hash, self.doc, self.at, self.context_hash = (
+        none = np.zeros(0, np.uint64)
+        empty = (none, np.zeros(0, np.int64), np.zeros(0, np.int64), none, np.zeros((0, 2), np.uint32))
+        self.hash, self.doc, self.at, self.context_hash, self.sides = (
             [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else empty
         )
 
     def _anchors_of(self, a: int, b: int):
-        """Anchors of texts a..b: hash, text, place in the block's tokens, hash of the context."""
+        """Anchors of texts a..b: hash, text, place in the block's tokens, hashes of the context and of its halves."""
         p = self.plan
         low, high = self.of_text[a], self.of_text[b]
         sizes = np.diff(self.of_text[a : b + 1])
@@ -128,7 +141,7 @@ class Block:
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(tokens * powers[:n], out=total[1:])
         g = k.mix((total[p.gram :] - total[: n + 1 - p.gram]) * inverses[: n + 1 - p.gram])
-        g |= np.uint64(4)  # the low two bits carry flags later; never zero
+        g |= np.uint64(1)  # never zero
         starts = np.arange(1, len(sizes) + 1) * pad + (self.of_text[a:b] - low)
         # windows that lie inside one text
         valid = np.zeros(n - p.window + 2, np.int32)
@@ -144,11 +157,17 @@ class Block:
             return None
         left = places - (p.offsets - 1)
         context = k.mix((total[left + p.context] - total[left]) * inverses[left])
+        before, after = places - p.half, places + p.gram
+        sides = np.stack(
+            [(total[after] - total[before]) * inverses[before], (total[after + p.half] - total[places]) * inverses[places]], axis=1
+        )
+        sides = (k.mix(sides) >> np.uint64(32)).astype(np.uint32)
         doc = np.searchsorted(starts, places, side="right") - 1
-        return g[places], doc + a, places - (doc + 1) * pad + low, context
+        # Least values crowd at the low end: mixed anew, so that buckets by hash are even.
+        return k.mix(g[places] ^ np.uint64(0xA0761D6478BD642F)), doc + a, places - (doc + 1) * pad + low, context, sides
 
     def shared_first(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct anchors (sorted) and, for each occurrence, which it is."""
+        """Distinct anchors (sorted, the low two bits kept free for flags) and, for each occurrence, which it is."""
         hashes = self.hash & ~np.uint64(3)
         return np.unique(hashes, return_inverse=True)
 
@@ -232,7 +251,7 @@ def _anchor_messages(block: Block, number: int, buckets: int) -> list:
 
 
 def _answer_shared(table: pa.Table, plan: Plan) -> pa.Table:
-    """Step 2: for each block, bits of which anchors are shared, and of which are hot."""
+    """For each block, bits of which anchors are shared, and of which are hot."""
     payloads = table.column("payload").to_pylist()
     arrays = [np.frombuffer(x, np.uint64) for x in payloads]
     flagged = np.concatenate(arrays)
@@ -262,7 +281,7 @@ def _read_shared(block: Block, answers: dict, buckets: int) -> tuple[np.ndarray,
 
 
 def _plan_messages(block: Block, answers: dict, buckets: int):
-    """What step 3 sends and step 5 reads, in the same order both times."""
+    """What step 2 sends and later steps read, in the same order each time."""
     occurrences, hot = _read_shared(block, answers, buckets)
     example, least, group = block.contexts(occurrences[~hot])
     order = np.argsort(block.hash[example] & ~np.uint64(3), kind="stable")
@@ -278,41 +297,62 @@ def _plan_messages(block: Block, answers: dict, buckets: int):
     return (occurrences[~hot], example, least, group), (starts, doc, keys, window_least, of_window)
 
 
-def _context_messages(block: Block, number: int, answers: dict, buckets: int) -> list:
-    """Step 3: contexts of shared anchors (anchor, least id, tokens) and digests of hot windows."""
+def _forward(number: int, answers: dict) -> list:
+    """Answers that later steps need again go along, in a bucket of the block's own."""
+    return [(-1 - number, kind, bucket, payload) for (kind, bucket), payload in answers.items()]
+
+
+def _echo(table: pa.Table) -> pa.Table:
+    rows = zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "block", "payload")), strict=True)
+    return _messages([(bucket, kind, -1 - own, payload) for own, kind, bucket, payload in rows])
+
+
+def _digest_messages(block: Block, number: int, answers: dict, buckets: int) -> list:
+    """Step 2: digests of the shared anchors' contexts and of hot windows, with their least ids."""
     (_, example, least, _), (_, _, keys, window_least, _) = _plan_messages(block, answers, buckets)
     anchors = block.hash[example] & ~np.uint64(3)
-    out = []
+    out = _forward(number, answers)
     for bucket, a, b in _runs(_bucket(anchors, buckets)):
-        parts = (anchors[a:b], least[a:b], block.content(example[a:b]))
-        out.append((bucket, CONTEXTS, number, b"".join(x.tobytes() for x in parts)))
+        parts = (anchors[a:b], block.context_hash[example[a:b]], least[a:b], block.sides[example[a:b]])
+        out.append((bucket, DIGESTS, number, b"".join(x.tobytes() for x in parts)))
     for bucket, a, b in _runs(_bucket(keys[:, 0], buckets)):
         out.append((bucket, WINDOWS, number, keys[a:b].tobytes() + window_least[a:b].tobytes()))
     return out
 
 
-def _answer_contexts(table: pa.Table, plan: Plan) -> pa.Table:
-    """Step 4: one bit for each window of each context: it also occurs with a smaller id."""
+def _answer_digests(table: pa.Table, plan: Plan) -> pa.Table:
+    """Two bits for each context: a smaller id has the same one; its owner is to send it. One bit for each hot window."""
     kinds = table.column("kind").to_pylist()
     blocks = table.column("block").to_pylist()
     payloads = table.column("payload").to_pylist()
-    bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
+    bucket = table.column("bucket")[0].as_py()
     out = []
-    if at := [i for i, kind in enumerate(kinds) if kind == CONTEXTS]:
-        width = plan.context * (8 if plan.words else 1)
-        sizes = [len(payloads[i]) // (16 + width) for i in at]
-        anchors = np.concatenate([np.frombuffer(payloads[i], np.uint64, n) for i, n in zip(at, sizes, strict=True)])
-        least = np.concatenate([np.frombuffer(payloads[i], np.int64, n, 8 * n) for i, n in zip(at, sizes, strict=True)])
-        kind = np.uint64 if plan.words else np.uint8
-        tokens = np.concatenate(
-            [np.frombuffer(payloads[i], kind, n * plan.context, 16 * n).reshape(n, plan.context) for i, n in zip(at, sizes, strict=True)]
-        )
-        for i in at:
-            payloads[i] = None
-        masks = _masks(anchors, least, tokens, plan)
+    if at := [i for i, kind in enumerate(kinds) if kind == DIGESTS]:
+        sizes = [len(payloads[i]) // 32 for i in at]
+
+        def gather(kind, start: int, width: int = 1) -> np.ndarray:
+            return np.concatenate(
+                [np.frombuffer(payloads[i], kind, width * n, start * n) for i, n in zip(at, sizes, strict=True)]
+            )
+
+        anchors, digests, least = gather(np.uint64, 0), gather(np.uint64, 8), gather(np.int64, 16)
+        sides = gather(np.uint32, 24, 2).reshape(-1, 2)
+        # equal contexts of several blocks are one, with its least id
+        _, example, which = np.unique(digests, return_index=True, return_inverse=True)
+        overall = np.full(len(example), NO_ID, np.int64)
+        np.minimum.at(overall, which, least)
+        smaller = overall[which] < least
+        # contexts that another one of the same anchor agrees with on a side
+        similar = np.zeros(len(example), bool)
+        for side in (0, 1):
+            one = k.mix(anchors[example] + sides[example, side].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            _, group, count = np.unique(one, return_inverse=True, return_counts=True)
+            similar |= count[group] > 1
+        wanted = similar[which] & ~smaller
         done = 0
         for i, n in zip(at, sizes, strict=True):
-            out.append((bucket, CONTEXTS, blocks[i], masks[done : done + n].tobytes()))
+            bits = np.packbits(np.concatenate([smaller[done : done + n], wanted[done : done + n]]))
+            out.append((bucket, DIGESTS, blocks[i], bits.tobytes()))
             done += n
     if at := [i for i, kind in enumerate(kinds) if kind == WINDOWS]:
         sizes = [len(payloads[i]) // 24 for i in at]
@@ -329,54 +369,80 @@ def _answer_contexts(table: pa.Table, plan: Plan) -> pa.Table:
     return _messages(out)
 
 
-def _masks(anchors: np.ndarray, least: np.ndarray, tokens: np.ndarray, plan: Plan) -> np.ndarray:
-    """Bit o of a context: its window at offset o occurs with an id below the context's own."""
-    powers, _ = k._grow(plan.context + 1)
-    digest = np.empty(len(tokens), np.uint64)
+def _digest_bits(anchors: np.ndarray, answers: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """For contexts sorted by anchor: a smaller id has it; it was asked for."""
+    smaller, wanted = np.zeros(len(anchors), bool), np.zeros(len(anchors), bool)
+    for bucket, a, b in _runs(_bucket(anchors, buckets)):
+        bits = np.unpackbits(np.frombuffer(answers[DIGESTS, bucket], np.uint8), count=2 * (b - a)).astype(bool)
+        smaller[a:b], wanted[a:b] = bits[: b - a], bits[b - a :]
+    return smaller, wanted
+
+
+def _context_messages(block: Block, number: int, answers: dict, buckets: int) -> list:
+    """Step 3: the contexts asked for: anchor, least id, tokens."""
+    (_, example, least, _), _ = _plan_messages(block, answers, buckets)
+    anchors = block.hash[example] & ~np.uint64(3)
+    _, wanted = _digest_bits(anchors, answers, buckets)
+    example, least, anchors = example[wanted], least[wanted], anchors[wanted]
+    out = _forward(number, answers)
+    for bucket, a, b in _runs(_bucket(anchors, buckets)):
+        out.append((bucket, CONTEXTS, number, least[a:b].tobytes() + block.content(example[a:b]).tobytes()))
+    return out
+
+
+def _answer_contexts(table: pa.Table, plan: Plan) -> pa.Table:
+    """One bit for each window of each context: it also occurs with a smaller id."""
+    blocks = table.column("block").to_pylist()
+    payloads = table.column("payload").to_pylist()
+    bucket = table.column("bucket")[0].as_py()
+    width = plan.context * (8 if plan.words else 1)
+    kind = np.uint64 if plan.words else np.uint8
+    sizes = [len(x) // (8 + width) for x in payloads]
+    least = np.concatenate([np.frombuffer(x, np.int64, n) for x, n in zip(payloads, sizes, strict=True)])
+    tokens = np.concatenate(
+        [np.frombuffer(x, kind, n * plan.context, 8 * n).reshape(n, plan.context) for x, n in zip(payloads, sizes, strict=True)]
+    )
+    del payloads
+    anchors = tokens[:, plan.offsets - 1 : plan.offsets - 1 + plan.gram]
+    powers, _ = k._grow(plan.gram + 1)
+    group = np.empty(len(tokens), np.uint64)
     for a in range(0, len(tokens), 1 << 14):
-        part = tokens[a : a + (1 << 14)]
-        digest[a : a + (1 << 14)] = k.mix(((part if plan.words else k.BYTE_CODE[part]) * powers[: plan.context]).sum(axis=1))
-    # equal contexts of several blocks are one context with its least id
-    _, example, which = np.unique(digest, return_index=True, return_inverse=True)
-    overall = np.full(len(example), NO_ID, np.int64)
-    np.minimum.at(overall, which, least)
-    every = np.uint32((1 << plan.offsets) - 1)
-    masks = np.where(overall[which] < least, every, np.uint32(0))
-    # anchors with more than one context: their windows are searched
-    of_anchor = anchors[example]
-    order = np.argsort(of_anchor, kind="stable")
-    _, first, count = np.unique(of_anchor[order], return_index=True, return_counts=True)
-    many = np.repeat(count > 1, count)
-    chosen = order[many]
-    if len(chosen):
-        windows = np.full((len(example), plan.offsets), NO_ID, np.int64)
-        edges = np.concatenate([[0], np.cumsum(count[count > 1])])
-        for a, b in k.slices(edges * plan.context, 1 << 20):
-            part = chosen[edges[a] : edges[b]]
-            windows[part] = plan.resolve(tokens[example[part]], overall[part])
-        searched = np.zeros(len(example), bool)
-        searched[chosen] = True
-        at = np.flatnonzero(searched[which])
-        bits = windows[which[at]] < least[at][:, None]
-        masks[at] |= (bits.astype(np.uint32) << np.arange(plan.offsets, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
-    return masks
+        part = anchors[a : a + (1 << 14)]
+        group[a : a + (1 << 14)] = ((part if plan.words else k.BYTE_CODE[part]) * powers[: plan.gram]).sum(axis=1)
+    order = np.argsort(group, kind="stable")
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(group[order])) + 1, [len(order)]])
+    masks = np.zeros(len(tokens), np.uint32)
+    bit = np.arange(plan.offsets, dtype=np.uint32)
+    for a, b in k.slices(edges * plan.context, plan.search_tokens):
+        rows = order[edges[a] : edges[b]]
+        lowest = plan.resolve(tokens[rows], least[rows])
+        masks[rows] = ((lowest < least[rows][:, None]).astype(np.uint32) << bit).sum(axis=1, dtype=np.uint32)
+    done, out = 0, []
+    for block, n in zip(blocks, sizes, strict=True):
+        out.append((bucket, CONTEXTS, block, masks[done : done + n].tobytes()))
+        done += n
+    return _messages(out)
 
 
 def covered_tokens(block: Block, answers: dict, buckets: int) -> np.ndarray:
-    """Step 5: which of the block's tokens lie in a window that starts in a smaller id."""
+    """Step 4: which of the block's tokens lie in a window that starts in a smaller id."""
     p = block.plan
     (occurrences, _, least, group), (starts, doc, keys, window_least, of_window) = _plan_messages(block, answers, buckets)
     anchors = block.hash[occurrences] & ~np.uint64(3)
-    masks = np.zeros(len(least), np.uint32)
+    every = np.uint32((1 << p.offsets) - 1)
     # contexts are sorted by anchor: each bucket's answer covers one run of them
-    example_anchor = np.zeros(len(least), np.uint64)
-    example_anchor[group] = anchors
-    for bucket, a, b in _runs(_bucket(example_anchor, buckets)):
-        masks[a:b] = np.frombuffer(answers[CONTEXTS, bucket], np.uint32)
+    of_context = np.zeros(len(least), np.uint64)
+    of_context[group] = anchors
+    smaller_has, wanted = _digest_bits(of_context, answers, buckets)
+    masks = np.where(smaller_has, every, np.uint32(0))
+    sent = np.zeros(int(wanted.sum()), np.uint32)
+    for bucket, a, b in _runs(_bucket(of_context[wanted], buckets)):
+        sent[a:b] = np.frombuffer(answers[CONTEXTS, bucket], np.uint32)
+    masks[wanted] = sent
     mark = np.zeros(len(block.tokens) + 1, bool)
     if len(occurrences):
         ids = block.ids[block.doc[occurrences]]
-        mask = np.where(ids > least[group], np.uint32((1 << p.offsets) - 1), masks[group])
+        mask = np.where(ids > least[group], every, masks[group])
         low, high = block.of_text[block.doc[occurrences]], block.of_text[block.doc[occurrences] + 1]
         some = np.flatnonzero(mask)
         mask, low, high, at = mask[some], low[some], high[some], block.at[occurrences][some]
@@ -411,7 +477,7 @@ def dedup(
     block_bytes: int = BLOCK_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
-    """All five steps; ``finish`` turns a block and its covered tokens into result rows."""
+    """All steps; ``finish`` turns a block and its covered tokens into result rows."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -425,20 +491,31 @@ def dedup(
     def answer_shared(table: pa.Table) -> pa.Table:
         return _answer_shared(table, plan)
 
+    def send_digests(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows or not answers.num_rows:
+            return _messages([])
+        return _messages(_digest_messages(Block(table, plan), key[0].as_py(), _answers(answers), buckets))
+
+    def answer_digests(key: tuple, table: pa.Table) -> pa.Table:
+        return _echo(table) if key[0].as_py() < 0 else _answer_digests(table, plan)
+
     def send_contexts(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows or not answers.num_rows:
             return _messages([])
         return _messages(_context_messages(Block(table, plan), key[0].as_py(), _answers(answers), buckets))
 
-    def answer_contexts(table: pa.Table) -> pa.Table:
-        return _answer_contexts(table, plan)
+    def answer_contexts(key: tuple, table: pa.Table) -> pa.Table:
+        return _echo(table) if key[0].as_py() < 0 else _answer_contexts(table, plan)
 
     def remove(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(table, plan)
         return finish(block, covered_tokens(block, _answers(answers), buckets))
 
+    def ask(answers: DataFrame, send, answer) -> DataFrame:
+        """Blocks send to buckets by what they know; the answers, by block."""
+        sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(send, MESSAGE_DDL)
+        return sent.groupBy("bucket").applyInArrow(answer, MESSAGE_DDL)
+
     shared = by_block.applyInArrow(send_anchors, MESSAGE_DDL).groupBy("bucket").applyInArrow(answer_shared, MESSAGE_DDL)
-    contexts = by_block.cogroup(shared.groupBy("block")).applyInArrow(send_contexts, MESSAGE_DDL)
-    found = contexts.groupBy("bucket").applyInArrow(answer_contexts, MESSAGE_DDL)
-    answers = shared.unionByName(found)
+    answers = ask(ask(shared, send_digests, answer_digests), send_contexts, answer_contexts)
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(remove, schema)

@@ -36,69 +36,76 @@ MIN_BYTES = 50
 GRAM = 20
 
 
-def suffix_array(contexts: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of the rows of a byte matrix.
+def suffix_array(contexts: np.ndarray, depth: int) -> np.ndarray:
+    """Order of all suffixes of the rows of a byte matrix by their first ``depth`` characters.
 
-    A suffix ends with its row; the row's number breaks ties (each row ends in
-    its own, smallest character). Prefixes of 8 bytes are ranked, then doubled.
+    A suffix ends with its row, and the row's number breaks ties. Prefixes of 7
+    characters are ranked, then doubled until they reach the depth.
     """
     n, width = contexts.shape
-    span = 8
-    padded = np.zeros((n, width + span), np.uint16)
-    padded[:, :width] = contexts.astype(np.uint16) + 1  # 0: past the end
-    # 8 characters of 9 bits do not fit 64 bits: rank 4 and 4
-    key = np.zeros((n, width + span), np.uint64)
-    for i in range(4):
-        key[:, : width + 4] |= padded[:, i : width + 4 + i].astype(np.uint64) << np.uint64(9 * (3 - i))
-    rank = np.unique(key.ravel(), return_inverse=True)[1].reshape(key.shape)[:, : width + 1].astype(np.int64)
-    step = 4
-    while step < width:
-        after = np.full_like(rank, rank[0, width])
-        after[:, : width + 1 - step] = rank[:, step:]
-        pair = rank * (rank.max() + 1) + after
-        rank = np.unique(pair.ravel(), return_inverse=True)[1].reshape(rank.shape)
+    key = np.zeros((n, width + 1), np.uint64)
+    for i in range(7):  # 9 bits each: 0 is past the end
+        key[:, : width - i] |= (contexts[:, i:].astype(np.uint64) + np.uint64(1)) << np.uint64(9 * (6 - i))
+    step = 7
+    while step < depth:
+        rank = np.unique(key.ravel(), return_inverse=True)[1].reshape(n, width + 1).astype(np.uint64)
+        key = rank << np.uint64(32)
+        key[:, : width + 1 - step] |= rank[:, step:]
+        key[:, width + 1 - step :] |= rank[0, width]
         step *= 2
-    body = rank[:, :width]
-    return np.argsort(body.ravel(), kind="stable")
+    return np.argsort(key[:, :width].ravel(), kind="stable").astype(np.int32)
 
 
 def expand_intervals(contexts: np.ndarray, order: np.ndarray, threshold: int) -> np.ndarray:
     """For each neighbour pair in suffix order: do they share ``threshold`` characters or more?
 
-    Breadth-first backward extension. ``parted[p]``: the suffixes p-1 and p are in
-    different intervals of the strings of the present length. Backward extension
-    by a character maps the interval of w to that of cw: a suffix p goes with its
-    predecessor in the order exactly if both start with the same character and
-    their remainders (one character shorter) lie in one interval of the round
-    before. Only pairs that no round has parted yet are looked at.
+    Breadth-first backward extension. After round n the suffixes that share n
+    characters form intervals; ``label`` names each suffix's interval by its
+    first place. Backward extension by a character maps the interval of w to that
+    of cw: two neighbours that start with the same character share n + 1
+    characters exactly if their remainders, one character shorter, lie in one
+    interval of n. Only pairs that no round has parted yet are looked at.
     """
     n, width = contexts.shape
     size = n * width
-    place = np.empty(size, np.int64)
-    place[order] = np.arange(size)
+    place = np.empty(size, np.int32)
+    place[order] = np.arange(size, dtype=np.int32)
     text = contexts.ravel()
-    # The transform as a map: where the suffix after this one (its remainder) stands; -1 past the row's end.
-    remainder = np.where(order % width == width - 1, -1, place[np.minimum(order + 1, size - 1)])
+    # The transform as a map: where a suffix's remainder stands; past the row's end nothing equals anything.
+    remainder = place[np.minimum(order + 1, size - 1)]
+    last = order % width == width - 1
     first = text[order]
-    parted = np.ones(size, bool)
-    parted[1:] = first[1:] != first[:-1]
-    active = np.flatnonzero(~parted)
+    alike = np.zeros(size, bool)
+    alike[1:] = first[1:] == first[:-1]
+    active = np.flatnonzero(alike).astype(np.int32)
+    label = _first_places(size, active)
+    # where a row ends, a pair shares one character and no more
+    active = active[~(last[active] | last[active - 1])]
     for _ in range(threshold - 1):
         if not len(active):
             break
-        interval = np.cumsum(parted)
-        a, b = remainder[active - 1], remainder[active]
-        now = (a < 0) | (b < 0) | (interval[a] != interval[b])
-        parted[active[now]] = True
-        active = active[~now]
-    return ~parted
+        active = active[label[remainder[active - 1]] == label[remainder[active]]]
+        label = _first_places(size, active)
+    together = np.zeros(size, bool)
+    together[active] = True
+    return together
+
+
+def _first_places(size: int, active: np.ndarray) -> np.ndarray:
+    """First place of each suffix's interval; ``active`` are the places that share one with the place before."""
+    label = np.arange(size, dtype=np.int32)
+    if len(active):
+        begins = np.ones(len(active), bool)
+        begins[1:] = active[1:] != active[:-1] + 1
+        label[active] = np.maximum.accumulate(np.where(begins, active - 1, 0))
+    return label
 
 
 def resolve(contexts: np.ndarray, least: np.ndarray, window: int = MIN_BYTES) -> np.ndarray:
     """Least id over all occurrences of each window of each context."""
     n, width = contexts.shape
     offsets = width - window + 1
-    order = suffix_array(contexts)
+    order = suffix_array(contexts, window)
     together = expand_intervals(contexts, order, window)
     run = np.cumsum(~together) - 1
     ids = least[order // width]
