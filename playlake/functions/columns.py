@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 CHANNEL_RULES = (("youtube", "Youtube"), ("facebook", "Facebook"))
 UNKNOWN_CHANNEL = "Unknown"
 
-# An ISO-8601 instant must carry an explicit offset to be time-zone aware.
-OFFSET_SUFFIX = r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# An ISO-8601 instant is time-zone aware if an explicit offset follows a time of
+# day: the "-20" that ends "2024-01-20" is a day, not an offset.
+OFFSET_SUFFIX = r"[0-9]:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?\s*(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
 def col(c: str | Column) -> Column:
@@ -39,7 +40,7 @@ def utc_day(c: str | Column) -> Column:
 
 
 def is_zone_aware(c: str | Column) -> Column:
-    """True when the ISO text ends in ``Z`` or a numeric offset."""
+    """True when the ISO text has a time of day that ends in ``Z`` or a numeric offset."""
     return col(c).rlike(OFFSET_SUFFIX)
 
 

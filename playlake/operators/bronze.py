@@ -1,10 +1,8 @@
-"""Bronze: flatten landing envelopes into one row per raw record.
+"""Bronze: one row per landed record.
 
-No cleaning or typing: Bronze keeps the raw values. Lineage (ingest stamp,
-ingest date, media id) is copied from the envelope header, so every endpoint —
-including ``by_date``, whose records have no media id — gets the same columns.
-``explode`` (not ``explode_outer``): an empty or null records array yields no
-row. The plan is narrow: no shuffle between the scan and the write.
+The header's lineage columns go onto every record of its envelope; the record's
+declared fields stay as they landed, unparsed. Envelopes without records give
+nothing. Scan, flatten and write are one stage: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -16,8 +14,6 @@ from playlake.sources.schemas import LINEAGE
 
 
 def to_bronze(envelopes: DataFrame) -> DataFrame:
-    header = F.col("ingestion_metadata")
-    lineage = [header.getField(name).alias(name) for name in LINEAGE]
-    return envelopes.select(*lineage, F.explode("records").alias("__record")).select(
-        "__record.*", *LINEAGE
-    )
+    """Declared record fields, then the lineage columns."""
+    flat = envelopes.selectExpr("ingestion_metadata AS __header", "explode(records) AS __record")
+    return flat.select("__record.*", *(F.col(f"__header.{name}").alias(name) for name in LINEAGE))

@@ -106,19 +106,25 @@ def media_day_totals(fact: DataFrame) -> DataFrame:
 def daily_trends(fact: DataFrame, dim_media: DataFrame | None = None) -> DataFrame:
     """Gap-filled daily series per media, ordered by (media, day).
 
-    The grid is generated per media row by exploding the day range, which is
-    one scalar subquery (``sequence(min(date), max(date))``), and left-joined to
-    the media-day totals. With ``dim_media`` the media's channel is added.
+    The media-day totals (the only read of the fact's measures) are gathered as
+    one day -> totals map per media, which has as many entries as there are days;
+    the day range is one scalar subquery over the fact's day column. Each media
+    row then expands over the range and looks its days up: no grid is joined.
+    With ``dim_media`` the media's channel is added.
     """
-    keyed = _keyed(fact, "media_id", "date")
-    days = keyed.select(F.sequence(F.min("date"), F.max("date")).alias("days")).scalar()
-    grid = keyed.select("media_id").distinct().select("media_id", F.explode(days).alias("date"))
-    trends = grid.join(media_day_totals(fact), on=["media_id", "date"], how="left").select(
+    range_ = _keyed(fact, "media_id", "date").select(
+        F.sequence(F.min("date").cast("date"), F.max("date").cast("date")).alias("days")
+    ).scalar()
+    entry = F.struct("date", F.struct("plays", "play_rate", "total_watch_time"))
+    per_media = media_day_totals(fact).groupBy("media_id").agg(F.map_from_entries(F.collect_list(entry)).alias("known"))
+    days = per_media.select("media_id", "known", F.explode(range_).alias("date"))
+    found = F.try_element_at(F.col("known"), F.col("date"))
+    trends = days.select(
         "media_id",
         "date",
-        F.coalesce(F.col("plays"), F.lit(0)).cast("long").alias("plays"),
-        "play_rate",
-        "total_watch_time",
+        F.coalesce(found["plays"], F.lit(0)).cast("long").alias("plays"),
+        found["play_rate"].alias("play_rate"),
+        found["total_watch_time"].alias("total_watch_time"),
     )
     if dim_media is not None:
         trends = lookup(trends, _media_labels(dim_media, "channel"), ["media_id"])
@@ -157,13 +163,11 @@ def recent_engagement(fact: DataFrame, dim_media: DataFrame, days: int) -> DataF
 def top_visitors(fact: DataFrame, dim_visitor: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` visitors by plays (ties: smaller visitor id first), with country.
 
-    The ranking is cut to ``n`` rows first. ``dim_visitor`` is then streamed
-    through a semi join against the broadcast top-n ids, which leaves at most
-    ``n`` rows (the dimension is unique per visitor); those are joined back to
-    the ranking. The dimension is never shuffled or collected, and the fact is
-    aggregated once: the n-row ranking is cached for its two uses. Spark
-    refreshes that cache when it overwrites the fact's path itself; a Gold table
-    rewritten by another application is seen after ``spark.catalog.clearCache()``.
+    The ranking is cut to ``n`` rows and gathered into one array by a scalar
+    subquery, so the fact is aggregated once for both uses of it: the array's ids
+    filter ``dim_visitor`` as it is scanned, and its rows are the result that the
+    at most ``n`` rows left of the dimension (unique per visitor) are joined to.
+    Nothing is cached: every call reads Gold as it is.
     """
     if n < 0:
         raise ValueError("n must be non-negative")
@@ -176,15 +180,13 @@ def top_visitors(fact: DataFrame, dim_visitor: DataFrame, n: int = 10) -> DataFr
         )
         .orderBy(F.col("plays").desc(), F.col("visitor_id").asc())
         .limit(n)
-        # Used twice below (ids that filter the dimension, rows of the result).
-        # The two uses prune different columns, so without the cache Spark
-        # would aggregate the whole fact twice; cached, it runs once and only
-        # the n ranked rows are kept.
-        .cache()
     )
-    top_ids = bounded_broadcast(ranked.select("visitor_id"), n)
-    countries = dim_visitor.select("visitor_id", "country").join(top_ids, "visitor_id", "left_semi")
-    joined = ranked.join(bounded_broadcast(countries, n), on="visitor_id", how="left")
+    top = ranked.agg(F.collect_list(F.struct("visitor_id", "plays", "avg_watched_percent")).alias("top")).scalar()
+    listed = fact.sparkSession.range(1).select(top.alias("top"))
+    countries = dim_visitor.select("visitor_id", "country").where(
+        F.array_contains(top.getField("visitor_id"), F.col("visitor_id"))
+    )
+    joined = listed.select(F.inline("top")).join(bounded_broadcast(countries, n), on="visitor_id", how="left")
     return joined.select("visitor_id", "plays", "avg_watched_percent", "country").orderBy(
         F.col("plays").desc(), F.col("visitor_id").asc()
     )

@@ -109,7 +109,3 @@ def to_silver_by_date(bronze: DataFrame) -> DataFrame:
 
 def to_silver_media_metadata(bronze: DataFrame) -> DataFrame:
     return refine(bronze, REFINEMENTS[schemas.MEDIA_METADATA])
-
-
-def silver_key(endpoint: str) -> Sequence[str]:
-    return REFINEMENTS[endpoint].key

@@ -17,9 +17,20 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    FloatType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
-from playlake.functions.columns import parse_instant
+from playlake.functions.columns import parse_day, parse_instant
 from playlake.operators import reports
 from playlake.operators.bronze import to_bronze
 from playlake.operators.silver import to_silver
@@ -31,6 +42,7 @@ from playlake.plans.refresh import (
     full_refresh,
     gold_tables,
     load_gold,
+    run_bronze,
     run_gold,
     run_silver,
 )
@@ -70,7 +82,7 @@ def portable(df: DataFrame) -> DataFrame:
 # scan pruned to the columns it needs. The landing, stream and incremental
 # queries take that same raw record table as their source of pulls.
 
-_LAKES: dict[tuple[str, str], dict[str, str]] = {}
+_LAKES: dict[tuple, dict[str, str]] = {}
 # Queries may be called from several driver threads; one lake build at a time.
 _LAKE_LOCK = threading.RLock()
 
@@ -80,12 +92,16 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eventmap.read_events(spark, sf_dir)
 
 
-def _session_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:
-        app = "session"
-    return app, sf_dir.rstrip("/")
+def _session_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """The application, the folder, and the files that the events table has now:
+    after a change of the source nothing built from it earlier is used."""
+    files = (
+        spark.read.format("binaryFile")
+        .load(f"{sf_dir.rstrip('/')}/events.parquet")
+        .select("path", "length", F.unix_micros("modificationTime").alias("modified"))
+    )
+    seen = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modified").cast("decimal(38,0)"))).first()
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), *seen
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -182,6 +198,11 @@ def _raw(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
     return read_layer(spark, bronze_root(spark, sf_dir), endpoint)
 
 
+def _records(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
+    """Whole records, undeclared and mistyped fields included, straight from the events table."""
+    return eventmap.raw_records(_events(spark, sf_dir), endpoint)
+
+
 def _land_all(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Land every endpoint's raw records as envelopes (concurrent write jobs)."""
     run_all(
@@ -192,6 +213,57 @@ def _land_all(spark: SparkSession, sf_dir: str, root: str) -> None:
     )
 
 
+def _landed(spark: SparkSession, sf_dir: str, endpoint: str) -> str:
+    """The endpoint's whole records landed as JSON; the landing root."""
+    root = scratch_path(spark, "landing")
+    write_landing(build_envelopes(_records(spark, sf_dir, endpoint), endpoint), endpoint, root)
+    return root
+
+
+def landing_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records landed whole and read back with a schema of all their fields."""
+    root = _landed(spark, sf_dir, schemas.EVENTS)
+    declared = schemas.RECORD_SCHEMAS[schemas.EVENTS]
+    wide = StructType(
+        [
+            *declared.fields,
+            StructField("city", StringType()),
+            StructField(
+                "user_agent_details",
+                StructType(
+                    [
+                        StructField("browser", StringType()),
+                        StructField(
+                            "platform", StructType([StructField("mobile", BooleanType()), StructField("build", LongType())])
+                        ),
+                    ]
+                ),
+            ),
+        ]
+    )
+    flat = to_bronze(read_landing(spark, schemas.EVENTS, root, wide))
+    details = F.col("user_agent_details")
+    return portable(
+        flat.select(
+            *declared.names,
+            "city",
+            details["browser"].alias("browser"),
+            details["platform"]["mobile"].alias("mobile"),
+            details["platform"]["build"].alias("build"),
+            *schemas.LINEAGE,
+        )
+    )
+
+
+def _bronze_landed(endpoint: str) -> Query:
+    """Bronze rows of an endpoint's whole records, through the JSON files."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(to_bronze(read_landing(spark, endpoint, _landed(spark, sf_dir, endpoint))))
+
+    return run
+
+
 def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events -> envelopes (chunked ``collect_list``) -> flattened Bronze rows."""
     raw = _raw(spark, sf_dir, schemas.EVENTS)
@@ -201,31 +273,25 @@ def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_counts(spark: SparkSession, landing_root: str) -> DataFrame:
     """Per (endpoint, pull): records announced by the envelope headers, rows the
-    flatten gives back, and whether an empty pull landed. Header and flattened
-    rows are unioned and aggregated once per pull (no join)."""
+    flatten gives back, and whether an empty pull landed. One scan per endpoint:
+    an envelope's header counts at its first record, or alone if it has none."""
     parts = []
     for endpoint in schemas.ENDPOINTS:
-        envelopes = read_landing(spark, endpoint, landing_root)
-        flat = to_bronze(envelopes).select(
-            *schemas.LINEAGE,
-            F.lit(0).cast("long").alias("records"),
-            F.lit(1).cast("long").alias("bronze_rows"),
-            F.lit(False).alias("empty"),
-        )
-        headers = envelopes.select(
+        flat = read_landing(spark, endpoint, landing_root).select(
+            F.lit(endpoint).alias("endpoint"),
             *[F.col(f"ingestion_metadata.{c}").alias(c) for c in schemas.LINEAGE],
-            F.col("ingestion_metadata.record_count").alias("records"),
-            F.lit(0).cast("long").alias("bronze_rows"),
-            (F.col("ingestion_metadata.record_count") == 0).alias("empty"),
+            F.col("ingestion_metadata.record_count").alias("announced"),
+            F.posexplode_outer(F.transform("records", lambda r: F.lit(True))).alias("pos", "row"),
         )
-        parts.append(flat.unionByName(headers).withColumn("endpoint", F.lit(endpoint)))
+        parts.append(flat)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
     return out.groupBy("endpoint", *schemas.LINEAGE).agg(
-        F.sum("records").cast("long").alias("records"),
-        F.sum("bronze_rows").cast("long").alias("bronze_rows"),
-        F.bool_or("empty").alias("empty_pull"),
+        F.sum(F.when(first, F.col("announced")).otherwise(0)).cast("long").alias("records"),
+        F.count("row").cast("long").alias("bronze_rows"),
+        F.bool_or(F.col("announced") == 0).alias("empty_pull"),
     )
 
 
@@ -278,6 +344,15 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_frame(spark, counts)
 
 
+def landed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as a full refresh builds it from the landing files, by value."""
+    root = scratch_path(spark, "lake")
+    landing = f"{root}/landing"
+    _land_all(spark, sf_dir, landing)
+    full_refresh(spark, landing, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    return portable(load_gold(spark, f"{root}/gold")[FACT])
+
+
 # --- incremental load ---------------------------------------------------------------
 
 INCREMENTAL_CLOCK = incremental.RunClock(
@@ -287,18 +362,13 @@ INCREMENTAL_CLOCK = incremental.RunClock(
 )
 
 
-def incremental_inputs(spark: SparkSession, sf_dir: str, parsable_only: bool = True):
-    """Sources (run-1 records; with ``parsable_only``, only events whose
-    timestamp parses), media list and a state with marks for media m0..m29,
-    all derived from the events table."""
+def incremental_inputs(spark: SparkSession, sf_dir: str):
+    """Sources (all records, redelivered and unparseable ones included), media list
+    and a state with marks for media m0..m29, all derived from the events table."""
     root = bronze_root(spark, sf_dir)
-    first = F.col("ingest_timestamp") == eventmap.RUN_STAMPS[1]
-    sources = {}
-    for endpoint in schemas.ENDPOINTS:
-        raw = read_layer(spark, root, endpoint).where(first)
-        if endpoint == schemas.EVENTS and parsable_only:
-            raw = raw.where(parse_instant("received_at").isNotNull())
-        sources[endpoint] = raw.select("media_id", *schemas.record_fields(endpoint))
+    sources = {
+        e: read_layer(spark, root, e).select("media_id", *schemas.record_fields(e)) for e in schemas.ENDPOINTS
+    }
     media = read_layer(spark, root, schemas.EVENTS).select("media_id").distinct()
     tracked = media.where(F.substring("media_id", 2, 10).cast("int") < oracle.INC_STATE_MEDIA_BELOW)
     state = tracked.select(
@@ -354,9 +424,13 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The load over every run-1 event, unparseable timestamps included: a
-    media holding one is reported as failed and pulls nothing, the others load."""
-    sources, media, state = incremental_inputs(spark, sf_dir, parsable_only=False)
+    """The load with contradicting marks for the first media: those fail and pull
+    nothing, the others load, past their unparseable events."""
+    sources, media, state = incremental_inputs(spark, sf_dir)
+    doubled = state.where(F.substring("media_id", 2, 10).cast("int") < oracle.INC_AMBIGUOUS_BELOW).withColumn(
+        "watermark_ts", F.col("watermark_ts") + F.expr("INTERVAL 1 DAY")
+    )
+    state = state.unionByName(doubled.where(F.col("endpoint") == schemas.EVENTS))
     return incremental.summarize(incremental.plan_load(sources, media, state, INCREMENTAL_CLOCK))
 
 
@@ -365,7 +439,7 @@ def incremental_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # state and returns the summary. One run per (application, sf_dir); its
 # landing tree, state table and summary sit in the shared scratch folder.
 INITIAL_STATE_VERSION = "20240120T000000000000Z"
-_RUNS: dict[tuple[str, str], dict[str, str]] = {}
+_RUNS: dict[tuple, dict[str, str]] = {}
 
 
 def _incremental_run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -395,7 +469,7 @@ def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the run landed, scanned back: per endpoint and media, the records,
     the flattened rows and whether an empty pull landed as an empty envelope."""
     run = _incremental_run(spark, sf_dir)
-    return landed_counts(spark, run["landing"]).drop("ingest_timestamp")
+    return landed_counts(spark, run["landing"])
 
 
 def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,6 +478,56 @@ def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(incremental.read_state(spark, run["state"]))
 
 
+# Two loads in a row, as on two days: the first sees the source as it was before
+# ``INC_SPLIT``, the second all of it; then Bronze and Silver over what both landed.
+FIRST_CLOCK = incremental.RunClock(
+    floor=INCREMENTAL_CLOCK.floor,
+    today=dt.date.fromisoformat(oracle.INC_SPLIT),
+    run_at=f"{oracle.INC_SPLIT}T06:00:00+00:00",
+)
+
+
+def _first_sources(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The sources before the split day; what cannot be placed in time was there already."""
+    split = F.lit(oracle.INC_SPLIT).cast("date")
+    early = {
+        schemas.EVENTS: F.coalesce(F.to_date(parse_instant("received_at")) < split, F.lit(True)),
+        schemas.BY_DATE: F.coalesce(parse_day("date") < split, F.lit(True)),
+    }
+    return {e: df.where(early[e]) if e in early else df for e, df in sources.items()}
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, retry: bool = False) -> str:
+    """Run both loads (``retry``: the first one twice); the root of landing and state."""
+    sources, media, state = incremental_inputs(spark, sf_dir)
+    root = scratch_path(spark, "two-runs")
+    incremental.save_state(state, f"{root}/state", INITIAL_STATE_VERSION)
+    for _ in range(2 if retry else 1):
+        incremental.run_load(spark, _first_sources(sources), media, f"{root}/landing", f"{root}/state", FIRST_CLOCK)
+    summary = incremental.run_load(spark, sources, media, f"{root}/landing", f"{root}/state", INCREMENTAL_CLOCK)
+    write_layer(summary, root, "summary")
+    return root
+
+
+def _two_runs_silver(endpoint: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _two_runs(spark, sf_dir)
+        run_bronze(spark, f"{root}/landing", f"{root}/bronze")
+        return portable(to_silver(read_layer(spark, f"{root}/bronze", endpoint), endpoint))
+
+    return run
+
+
+def incremental_two_runs_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marks after both loads."""
+    return portable(incremental.read_state(spark, f"{_two_runs(spark, sf_dir)}/state"))
+
+
+def incremental_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load's summary after the first was run twice: as if it had run once."""
+    return read_layer(spark, _two_runs(spark, sf_dir, retry=True), "summary")
+
+
 # --- registry -------------------------------------------------------------------------
 
 
@@ -427,6 +551,10 @@ def queries() -> dict[str, Query]:
         "top_visitors": _report(lambda g: reports.top_visitors(g[FACT], g[DIM_VISITOR], 10)),
         "dashboard_by_media": dashboard_by_media,
         "layer_counts": layer_counts,
+        "landed_fact": landed_fact,
+        "landing_raw_records": landing_raw_records,
+        "bronze_by_date": _bronze_landed(schemas.BY_DATE),
+        "bronze_media": _bronze_landed(schemas.MEDIA_METADATA),
         "incremental_cutoff": incremental_cutoff,
         "incremental_by_date": incremental_by_date,
         "state_advance": state_advance,
@@ -435,6 +563,10 @@ def queries() -> dict[str, Query]:
         "incremental_run": incremental_run,
         "incremental_landing": incremental_landing,
         "incremental_state": incremental_state,
+        "incremental_two_runs_silver": _two_runs_silver(schemas.EVENTS),
+        "incremental_two_runs_by_date": _two_runs_silver(schemas.BY_DATE),
+        "incremental_two_runs_state": incremental_two_runs_state,
+        "incremental_retry": incremental_retry,
     }
 
 

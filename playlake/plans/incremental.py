@@ -13,16 +13,27 @@ Policy per endpoint:
   stored day is pulled again, since its totals may have grown.
 * ``media_metadata``: re-read in full every run.
 
+Records are pulled whole, with all fields of the source. A source partitioned by
+day (``day_column``: the UTC day of ``received_at``, null where that cannot be
+told) is pruned: one scalar, the least mark of the run's media, is a partition
+filter, and the exact test per media follows.
+
+Bad records: an event whose ``received_at`` is unparseable or has no UTC offset
+cannot be placed in time. It is *rejected*: set aside whole, counted per media in
+the summary, and neither lands nor moves a mark. All other records of its media
+load as usual. ``error`` is for a media whose mark is unusable: state in which
+one media has several rows for an endpoint with different marks. Such a media is
+not loaded and its state stays. A state whose mark columns are naive or mistyped
+is refused as a whole.
+
 State: one row per (endpoint, media): ``watermark_ts`` (events, an instant)
 or ``watermark_date`` (by_date). It advances only at the end of a run: events
 to the newest ``received_at`` pulled (unchanged when nothing new arrived),
-by_date to ``today`` for every media loaded. State versions are appended as
-``version=<run stamp>`` partitions and the newest one is read, so a run never
-overwrites the table it reads and an aborted run leaves the old state intact.
-
-Validation: an events mark must be a zone-aware timestamp column, and a
-media whose events carry an unparseable or zone-less ``received_at`` is
-reported as failed in the summary; it lands nothing and its state stays.
+by_date to ``today`` for every media loaded. A run writes its state as one
+version, named by its stamp, and then a commit for it; a version without a commit
+(an aborted write) does not count. A run reads the newest committed version
+*before* its own stamp, so a run that is tried again reads the same marks, pulls
+the same records and writes the same version anew.
 """
 
 from __future__ import annotations
@@ -49,7 +60,8 @@ from playlake.plans.concurrent import run_all
 from playlake.session import scratch_path, use_utc
 from playlake.sources import schemas
 from playlake.sources.landing import PULL_KEYS, build_envelopes, write_landing
-from playlake.sources.layers import read_layer, write_layer
+from playlake.sources.layers import read_layer, remove, write_layer
+from playlake.sources.paths import layer_path
 
 STATE_SCHEMA = StructType(
     [
@@ -59,8 +71,10 @@ STATE_SCHEMA = StructType(
         StructField("watermark_date", DateType()),
     ]
 )
-SUMMARY_COLUMNS = ("media_id", *schemas.ENDPOINTS, "error")
-NAIVE_OR_BAD = "received_at is unparseable or has no UTC offset"
+SUMMARY_COLUMNS = ("media_id", *schemas.ENDPOINTS, "rejected", "error")
+AMBIGUOUS_MARK = "the state has several marks for one endpoint"
+VERSIONS, COMMITS = "versions", "commits"
+COMMIT_SCHEMA = StructType([StructField("version", StringType())])
 
 
 @dataclass(frozen=True)
@@ -121,43 +135,59 @@ def empty_state(spark: SparkSession) -> DataFrame:
     )
 
 
-def read_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """Newest state version under ``state_root`` (empty when none was saved)."""
+def read_state(spark: SparkSession, state_root: str, before: str | None = None) -> DataFrame:
+    """Newest committed state version (``before``: of those older than that stamp).
+
+    Empty if none was ever committed. Only the commits (one tiny file per run) and
+    the one version are read, not the footers of all versions.
+    """
     try:
-        versions = spark.read.parquet(state_root)
-    except AnalysisException:
+        commits = spark.read.schema(COMMIT_SCHEMA).parquet(layer_path(state_root, COMMITS))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_state(spark)
+    if before is not None:
+        commits = commits.where(F.col("version") < before)
+    newest = commits.agg(F.max("version")).first()[0]
+    if newest is None:
         return empty_state(spark)
-    newest = versions.select(F.max("version")).scalar()
-    return check_state(versions.where(F.col("version") == newest).select(*STATE_SCHEMA.names))
+    # As written, not as declared: a naive or mistyped mark must show.
+    return check_state(read_layer(spark, layer_path(state_root, VERSIONS), newest)).select(*STATE_SCHEMA.names)
 
 
 def save_state(state: DataFrame, state_root: str, version: str) -> None:
-    """Append ``state`` as partition ``version=<version>`` (never overwrites)."""
-    (
-        check_state(state)
-        .withColumn("version", F.lit(version))
-        .write.mode("append")
-        .partitionBy("version")
-        .parquet(state_root)
-    )
+    """Write ``state`` as ``version``, whole, then commit it; doing so again replaces both."""
+    write_layer(check_state(state).select(*STATE_SCHEMA.names), layer_path(state_root, VERSIONS), version)
+    commit = state.sparkSession.range(1).select(F.lit(version).alias("version"))
+    commit.coalesce(1).write.mode("overwrite").parquet(layer_path(state_root, f"{COMMITS}/run={version}"))
 
 
 def _marks(state: DataFrame, endpoint: str, column: str) -> DataFrame:
-    return state.where(F.col("endpoint") == endpoint).select("media_id", column)
+    """One mark per media, however many rows the state has for it."""
+    return state.where(F.col("endpoint") == endpoint).groupBy("media_id").agg(F.max(column).alias(column))
 
 
 # --- cut-offs and pulls --------------------------------------------------
 
 
-def event_failures(source_events: DataFrame) -> DataFrame:
-    """(media_id, error) for media whose events hold a bad or naive ``received_at``."""
-    bad = parse_instant("received_at").isNull() | ~is_zone_aware("received_at")
-    return (
-        source_events.where(bad)
-        .select("media_id")
-        .distinct()
-        .withColumn("error", F.lit(NAIVE_OR_BAD))
+def placeable() -> Column:
+    """An event that can be placed in time: its ``received_at`` parses and has an offset."""
+    return parse_instant("received_at").isNotNull() & F.coalesce(is_zone_aware("received_at"), F.lit(False))
+
+
+def rejected_events(source_events: DataFrame, media: DataFrame) -> DataFrame:
+    """The run's events that cannot be placed in time, whole."""
+    return source_events.where(~placeable()).join(media.select("media_id"), "media_id", "left_semi")
+
+
+def mark_failures(state: DataFrame, media: DataFrame) -> DataFrame:
+    """(media_id, error) for media with contradicting marks."""
+    marks = state.groupBy("endpoint", "media_id").agg(
+        F.count_distinct(F.struct("watermark_ts", "watermark_date")).alias("n")
     )
+    bad = marks.where("n > 1").select("media_id").distinct().withColumn("error", F.lit(AMBIGUOUS_MARK))
+    return bad.join(media.select("media_id"), "media_id", "left_semi")
 
 
 def events_cutoff(media: DataFrame, state: DataFrame, clock: RunClock) -> DataFrame:
@@ -174,40 +204,45 @@ def by_date_start(media: DataFrame, state: DataFrame, clock: RunClock) -> DataFr
     )
 
 
-def pull_events(source_events: DataFrame, media: DataFrame, state: DataFrame, clock: RunClock) -> DataFrame:
-    """Events strictly newer than each media's mark (record fields + media_id)."""
-    fields = schemas.record_fields(schemas.EVENTS)
+def pull_events(
+    source_events: DataFrame, media: DataFrame, state: DataFrame, clock: RunClock, day_column: str | None = None
+) -> DataFrame:
+    """Events strictly newer than each media's mark, with all fields of the source."""
+    since = events_cutoff(media, state, clock)
+    if day_column:
+        # One value, known before the scan starts: only days from the least mark on are listed and read.
+        least = since.agg(F.to_date(F.min("since"))).scalar()
+        source_events = source_events.where(F.col(day_column) >= least)
     return (
-        source_events.join(events_cutoff(media, state, clock), "media_id", "inner")
+        source_events.where(placeable())
+        .join(since, "media_id", "inner")
         .where(parse_instant("received_at") > F.col("since"))
-        .select("media_id", *fields)
+        .drop("since")
     )
 
 
 def pull_by_date(source_by_date: DataFrame, media: DataFrame, state: DataFrame, clock: RunClock) -> DataFrame:
-    """Daily rows with ``start <= date <= today`` per media."""
-    fields = schemas.record_fields(schemas.BY_DATE)
+    """Daily rows with ``start <= date <= today`` per media, with all fields of the source."""
     day = parse_day("date")
     return (
-        source_by_date.join(by_date_start(media, state, clock), "media_id", "inner")
-        .where((day >= F.col("start")) & (day <= F.lit(clock.today)))
-        .select("media_id", *fields)
+        source_by_date.where(day <= F.lit(clock.today))
+        .join(by_date_start(media, state, clock), "media_id", "inner")
+        .where(day >= F.col("start"))
+        .drop("start")
     )
 
 
 def pull_media_metadata(source_metadata: DataFrame, media: DataFrame) -> DataFrame:
-    fields = schemas.record_fields(schemas.MEDIA_METADATA)
-    return source_metadata.join(media.select("media_id"), "media_id", "left_semi").select(
-        "media_id", *fields
-    )
+    return source_metadata.join(media.select("media_id"), "media_id", "left_semi")
 
 
 @dataclass(frozen=True)
 class LoadPlan:
     media: DataFrame  # every media of the run
-    loaded: DataFrame  # media that passed validation
+    loaded: DataFrame  # media whose marks are usable
     failures: DataFrame  # (media_id, error)
     pulls: dict[str, DataFrame]  # endpoint -> pulled records (media_id + fields)
+    rejected: DataFrame  # events that cannot be placed in time, whole
 
 
 def plan_load(
@@ -216,19 +251,23 @@ def plan_load(
     state: DataFrame,
     clock: RunClock,
     failures: DataFrame | None = None,
+    day_column: str | None = None,
 ) -> LoadPlan:
     """The run's pulls; ``failures`` (media_id, error) may be given precomputed."""
     check_state(state)
     media = media.select("media_id").distinct()
     if failures is None:
-        failures = event_failures(sources[schemas.EVENTS]).join(media, "media_id", "left_semi")
+        failures = mark_failures(state, media)
     loaded = media.join(failures, "media_id", "left_anti")
+    events = sources[schemas.EVENTS]
     pulls = {
-        schemas.EVENTS: pull_events(sources[schemas.EVENTS], loaded, state, clock),
+        schemas.EVENTS: pull_events(events, loaded, state, clock, day_column),
         schemas.BY_DATE: pull_by_date(sources[schemas.BY_DATE], loaded, state, clock),
         schemas.MEDIA_METADATA: pull_media_metadata(sources[schemas.MEDIA_METADATA], loaded),
     }
-    return LoadPlan(media=media, loaded=loaded, failures=failures, pulls=pulls)
+    # With a day column the rejected rows are those of the null day: pruned likewise.
+    bad = events.where(F.col(day_column).isNull()) if day_column else events
+    return LoadPlan(media=media, loaded=loaded, failures=failures, pulls=pulls, rejected=rejected_events(bad, loaded))
 
 
 # --- state advance and summary ---------------------------------------------
@@ -279,36 +318,32 @@ def advance_state(state: DataFrame, loaded: DataFrame, pulled_events: DataFrame,
     )
 
 
-def summarize(plan: LoadPlan, pulls: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One row per media: records pulled per endpoint, and the error if it failed.
+def summarize(plan: LoadPlan, pulls: dict[str, DataFrame] | None = None, rejected: DataFrame | None = None) -> DataFrame:
+    """One row per media: records pulled per endpoint, events rejected, and the error if it failed.
 
-    Media list, pulled records and failures are unioned and aggregated once per
-    media (no joins). Only fixed-width values are aggregated — counts and a
-    failure flag — so it stays a hash aggregate; the message is attached after.
+    Media list, pulled and rejected records and failures are unioned and
+    aggregated once per media (no joins). Only fixed-width values are aggregated —
+    counts and a failure flag — so it stays a hash aggregate; the message is
+    attached after.
     """
     pulls = pulls or plan.pulls
-    parts = [
-        plan.media.select("media_id", F.lit(None).cast("string").alias("endpoint"),
-                          F.lit(False).alias("failed")),
-        plan.failures.select("media_id", F.lit(None).cast("string").alias("endpoint"),
-                             F.lit(True).alias("failed")),
-    ]
+    rejected = plan.rejected if rejected is None else rejected
+
+    def tag(df: DataFrame, kind: str | None, failed: bool = False) -> DataFrame:
+        return df.select("media_id", F.lit(kind).cast("string").alias("kind"), F.lit(failed).alias("failed"))
+
+    tagged = tag(plan.media, None).unionByName(tag(plan.failures, None, True)).unionByName(tag(rejected, "rejected"))
     for endpoint in schemas.ENDPOINTS:
-        parts.append(
-            pulls[endpoint].select("media_id", F.lit(endpoint).alias("endpoint"),
-                                   F.lit(False).alias("failed"))
-        )
-    tagged = parts[0]
-    for part in parts[1:]:
-        tagged = tagged.unionByName(part)
+        tagged = tagged.unionByName(tag(pulls[endpoint], endpoint))
     counted = tagged.groupBy("media_id").agg(
-        *[F.count_if(F.col("endpoint") == e).alias(e) for e in schemas.ENDPOINTS],
+        *[F.count_if(F.col("kind") == e).alias(e) for e in (*schemas.ENDPOINTS, "rejected")],
         F.bool_or("failed").alias("failed"),
     )
     return counted.select(
         "media_id",
         *schemas.ENDPOINTS,
-        F.when(F.col("failed"), F.lit(NAIVE_OR_BAD)).alias("error"),
+        "rejected",
+        F.when(F.col("failed"), F.lit(AMBIGUOUS_MARK)).alias("error"),
     )
 
 
@@ -339,25 +374,25 @@ def run_load(
     state_root: str,
     clock: RunClock,
     max_records: int | None = None,
+    day_column: str | None = None,
 ) -> DataFrame:
-    """Pull, land, advance the state; return the per-media summary (lazy).
-
-    Two rounds of staging under the shared scratch folder. First the run's
-    media list and validation failures (one row per media each), which every
-    later step uses: the validation scans the source events once, not once
-    per pull, landing write, state merge and summary. Then the pulled records:
-    landing, state and summary read the staged delta instead of joining the
-    source again. A lost executor re-runs only the stage it was in.
+    """Pull, land, advance the state; return the per-media summary.
+
+    Two rounds of staging under the shared scratch folder. First the run's media
+    list and failures (one row per media each). Then the pulled and the rejected
+    records: landing, state and summary read the staged delta instead of the
+    source again. A lost executor re-runs only the stage it was in. Rejected
+    events and the summary are kept with the state, by run; the staged copies are
+    removed once everything that is made from them is stored.
     """
     use_utc(spark)
-    state = read_state(spark, state_root)
+    state = read_state(spark, state_root, before=clock.version)
     stage_root = scratch_path(spark, "load-stage")
     run_media = media.select("media_id").distinct()
-    run_failures = event_failures(sources[schemas.EVENTS]).join(run_media, "media_id", "left_semi")
     run_all(
         {
             "media": partial(write_layer, run_media, stage_root, "media"),
-            "failures": partial(write_layer, run_failures, stage_root, "failures"),
+            "failures": partial(write_layer, mark_failures(state, run_media), stage_root, "failures"),
         }
     )
     plan = plan_load(
@@ -366,8 +401,13 @@ def run_load(
         state,
         clock,
         failures=read_layer(spark, stage_root, "failures"),
+        day_column=day_column,
+    )
+    rejected_root = layer_path(state_root, "rejected")
+    run_all(
+        {e: partial(write_layer, records, stage_root, e) for e, records in plan.pulls.items()}
+        | {"rejected": partial(write_layer, plan.rejected, rejected_root, clock.version)}
     )
-    run_all({e: partial(write_layer, records, stage_root, e) for e, records in plan.pulls.items()})
     staged = {e: read_layer(spark, stage_root, e) for e in plan.pulls}
     pulls_made = _with_run(plan.loaded, clock).select(*PULL_KEYS)
     sizing = {"max_records": max_records} if max_records else {}
@@ -383,5 +423,8 @@ def run_load(
         }
     )
     new_state = advance_state(state, plan.loaded, staged[schemas.EVENTS], clock)
+    summary = summarize(plan, staged, read_layer(spark, rejected_root, clock.version))
+    write_layer(summary, layer_path(state_root, "summaries"), clock.version)
     save_state(new_state, state_root, clock.version)
-    return summarize(plan, staged)
+    remove(spark, stage_root)
+    return read_layer(spark, layer_path(state_root, "summaries"), clock.version)

@@ -9,8 +9,6 @@ doubles rounded to 6 decimals, sums and counts as BIGINT.
 
 from __future__ import annotations
 
-from playlake.functions.columns import OFFSET_SUFFIX
-from playlake.plans.incremental import NAIVE_OR_BAD
 from playlake.sources.eventmap import CREATED, RUN_STAMPS, URL_PREFIX
 
 # Fixed values of the incremental scenario (see ``catalog``).
@@ -19,6 +17,11 @@ INC_TODAY = "2024-01-30"
 INC_STATE_TS = "2024-01-20 00:00:00"
 INC_STATE_DATE = "2024-01-20"
 INC_STATE_MEDIA_BELOW = 30
+INC_AMBIGUOUS_BELOW = 3
+INC_SPLIT = "2024-01-24"
+AMBIGUOUS = "the state has several marks for one endpoint"
+# An instant that cannot be placed: it does not parse, or no Z or +hh:mm follows a time of day.
+UNPLACED = r"(TRY_CAST(received_at AS TIMESTAMP) IS NULL OR NOT regexp_matches(received_at, 'T[0-9:.]+(Z|[+-][0-9]{2}:?[0-9]{2})$'))"
 
 TS_FMT = "'%Y-%m-%d %H:%M:%S.%g'"
 
@@ -102,9 +105,8 @@ _cte(
         FROM (SELECT DISTINCT k FROM ev WHERE k <> 39) m JOIN runs r ON r.f = 1 OR m.k % 5 = 0""",
     "ev", "runs",
 )
-_cte(
-    "silver_events",
-    """SELECT event_key, visitor_key, media_id, media_name, media_url, received_at, ip, country, percent_viewed
+def _silver_events(raw: str) -> str:
+    return f"""SELECT event_key, visitor_key, media_id, media_name, media_url, received_at, ip, country, percent_viewed
        FROM (
          SELECT *, row_number() OVER (
            PARTITION BY event_key
@@ -114,16 +116,18 @@ _cte(
                     country DESC NULLS LAST, percent_viewed DESC NULLS LAST) AS rn
          FROM (
            SELECT * REPLACE (TRY_CAST(received_at AS TIMESTAMP) AS received_at)
-           FROM raw_events
+           FROM {raw}
            WHERE event_key IS NOT NULL AND visitor_key IS NOT NULL AND media_id IS NOT NULL
              AND received_at IS NOT NULL
              AND (conversion_type IS NULL OR conversion_type = '')))
-       WHERE rn = 1""",
-    "raw_events",
-)
-_cte(
-    "silver_by_date",
-    """SELECT media_id, date, load_count, play_count, hours_watched
+       WHERE rn = 1"""
+
+
+_cte("silver_events", _silver_events("raw_events"), "raw_events")
+
+
+def _silver_by_date(raw: str) -> str:
+    return f"""SELECT media_id, date, load_count, play_count, hours_watched
        FROM (
          SELECT *, row_number() OVER (
            PARTITION BY media_id, date
@@ -132,12 +136,13 @@ _cte(
                     hours_watched DESC NULLS LAST) AS rn
          FROM (
            SELECT * REPLACE (TRY_CAST(date AS DATE) AS date)
-           FROM raw_by_date
+           FROM {raw}
            WHERE media_id IS NOT NULL AND date IS NOT NULL AND load_count IS NOT NULL
              AND load_count > 0))
-       WHERE rn = 1""",
-    "raw_by_date",
-)
+       WHERE rn = 1"""
+
+
+_cte("silver_by_date", _silver_by_date("raw_by_date"), "raw_by_date")
 _cte(
     "silver_media",
     """SELECT media_id, name, created
@@ -196,10 +201,10 @@ _cte(
        LEFT JOIN silver_by_date b ON b.media_id = p.media_id AND b.date = p.date""",
     "silver_events", "silver_by_date",
 )
+_cte("inc_events_src", f"SELECT * FROM raw_events WHERE NOT {UNPLACED}", "raw_events")
 _cte(
-    "inc_events_src",
-    f"""SELECT * FROM raw_events
-        WHERE ingest_timestamp = '{RUN_STAMPS[1]}' AND TRY_CAST(received_at AS TIMESTAMP) IS NOT NULL""",
+    "inc_rejected",
+    f"SELECT media_id, count(*) AS n FROM raw_events WHERE {UNPLACED} GROUP BY media_id",
     "raw_events",
 )
 _cte("inc_media", "SELECT DISTINCT media_id FROM raw_events", "raw_events")
@@ -227,7 +232,7 @@ _cte(
 _cte(
     "inc_by_date",
     f"""SELECT b.*
-        FROM (SELECT * FROM raw_by_date WHERE ingest_timestamp = '{RUN_STAMPS[1]}') b
+        FROM raw_by_date b
         JOIN (SELECT m.media_id, coalesce(s.watermark_date, DATE '{INC_FLOOR}') AS start
               FROM inc_media m LEFT JOIN inc_state s
                 ON s.media_id = m.media_id AND s.endpoint = 'by_date') c
@@ -237,13 +242,57 @@ _cte(
 )
 _cte(
     "inc_meta",
-    f"""SELECT * FROM raw_media_metadata
-        WHERE ingest_timestamp = '{RUN_STAMPS[1]}'
-          AND media_id IN (SELECT media_id FROM inc_media)""",
+    "SELECT * FROM raw_media_metadata WHERE media_id IN (SELECT media_id FROM inc_media)",
     "raw_media_metadata", "inc_media",
 )
 
 
+# Two loads: the first sees what is older than the split day, the second all of it.
+_cte(
+    "two_first",
+    f"""SELECT e.* FROM inc_events e WHERE CAST(TRY_CAST(e.received_at AS TIMESTAMP) AS DATE) < DATE '{INC_SPLIT}'""",
+    "inc_events",
+)
+_cte(
+    "two_marks",
+    """SELECT m.media_id, coalesce(f.ts, s.watermark_ts) AS ts
+       FROM inc_media m
+       LEFT JOIN (SELECT media_id, max(TRY_CAST(received_at AS TIMESTAMP)) AS ts FROM two_first GROUP BY media_id) f
+         ON f.media_id = m.media_id
+       LEFT JOIN inc_state s ON s.media_id = m.media_id AND s.endpoint = 'events'""",
+    "inc_media", "inc_state", "two_first",
+)
+_cte(
+    "two_second",
+    f"""SELECT e.* FROM inc_events_src e JOIN two_marks m ON m.media_id = e.media_id
+        WHERE TRY_CAST(e.received_at AS TIMESTAMP) > coalesce(m.ts, TIMESTAMP '{INC_FLOOR} 00:00:00')""",
+    "inc_events_src", "two_marks",
+)
+_cte(
+    "two_events",
+    f"""SELECT * REPLACE ('{INC_SPLIT}T06:00:00+00:00' AS ingest_timestamp) FROM two_first
+        UNION ALL
+        SELECT * REPLACE ('{INC_TODAY}T06:00:00+00:00' AS ingest_timestamp) FROM two_second""",
+    "two_first", "two_second",
+)
+_cte(
+    "two_by_date_second",
+    f"""SELECT * FROM raw_by_date
+        WHERE TRY_CAST(date AS DATE) >= DATE '{INC_SPLIT}' AND TRY_CAST(date AS DATE) <= DATE '{INC_TODAY}'""",
+    "raw_by_date",
+)
+_cte(
+    "two_by_date",
+    f"""SELECT * REPLACE ('{INC_SPLIT}T06:00:00+00:00' AS ingest_timestamp) FROM inc_by_date
+        WHERE TRY_CAST(date AS DATE) < DATE '{INC_SPLIT}'
+        UNION ALL
+        SELECT * REPLACE ('{INC_TODAY}T06:00:00+00:00' AS ingest_timestamp) FROM two_by_date_second""",
+    "inc_by_date", "two_by_date_second",
+)
+_cte("two_silver_events", _silver_events("two_events"), "two_events")
+_cte("two_silver_by_date", _silver_by_date("two_by_date"), "two_by_date")
+
+
 def _resolve(needs: tuple[str, ...]) -> list[str]:
     seen: set[str] = set()
 
@@ -337,6 +386,7 @@ def _incremental_landing() -> str:
     """Every loaded media lands one pull per endpoint, stamped with the run's date."""
     per_endpoint = " UNION ALL ".join(
         f"""SELECT '{endpoint}' AS endpoint, m.media_id, '{INC_TODAY}' AS ingest_date,
+                   '{INC_TODAY}T06:00:00+00:00' AS ingest_timestamp,
                    CAST(coalesce(c.n, 0) AS BIGINT) AS records,
                    CAST(coalesce(c.n, 0) AS BIGINT) AS bronze_rows,
                    coalesce(c.n, 0) = 0 AS empty_pull
@@ -349,28 +399,20 @@ def _incremental_landing() -> str:
     return with_ctes(per_endpoint, "inc_media", "inc_events", "inc_by_date", "inc_meta")
 
 
-def _incremental_validation() -> str:
-    """Media with any unparseable or zone-less run-1 event fail and pull nothing."""
+def _summary(events: str, by_date: str, meta: str, failed: str = "FALSE") -> str:
+    """Counts per media; a failed media has none, and the error."""
+    counts = ", ".join(
+        f"CAST(CASE WHEN {failed} THEN 0 ELSE coalesce({t}.n, 0) END AS BIGINT) AS {name}"
+        for t, name in (("e", "events"), ("b", "by_date"), ("x", "media_metadata"), ("r", "rejected"))
+    )
+    joins = " ".join(
+        f"LEFT JOIN (SELECT media_id, count(*) AS n FROM {cte} GROUP BY media_id) {t} ON {t}.media_id = m.media_id"
+        for t, cte in (("e", events), ("b", by_date), ("x", meta))
+    )
     return with_ctes(
-        f"""SELECT m.media_id,
-                   CAST(CASE WHEN f.media_id IS NULL THEN coalesce(e.n, 0) ELSE 0 END AS BIGINT) AS events,
-                   CAST(CASE WHEN f.media_id IS NULL THEN coalesce(b.n, 0) ELSE 0 END AS BIGINT) AS by_date,
-                   CAST(CASE WHEN f.media_id IS NULL THEN coalesce(x.n, 0) ELSE 0 END AS BIGINT)
-                     AS media_metadata,
-                   CASE WHEN f.media_id IS NOT NULL THEN '{NAIVE_OR_BAD}' END AS error
-            FROM inc_media m
-            LEFT JOIN (SELECT DISTINCT media_id FROM raw_events
-                       WHERE ingest_timestamp = '{RUN_STAMPS[1]}'
-                         AND (TRY_CAST(received_at AS TIMESTAMP) IS NULL
-                              OR NOT regexp_matches(received_at, '{OFFSET_SUFFIX}'))) f
-              ON f.media_id = m.media_id
-            LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_events GROUP BY media_id) e
-              ON e.media_id = m.media_id
-            LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_by_date GROUP BY media_id) b
-              ON b.media_id = m.media_id
-            LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_meta GROUP BY media_id) x
-              ON x.media_id = m.media_id""",
-        "raw_events", "inc_media", "inc_events", "inc_by_date", "inc_meta",
+        f"""SELECT m.media_id, {counts}, CASE WHEN {failed} THEN '{AMBIGUOUS}' END AS error
+            FROM inc_media m {joins} LEFT JOIN inc_rejected r ON r.media_id = m.media_id""",
+        "inc_media", "inc_rejected", events, by_date, meta,
     )
 
 
@@ -510,28 +552,60 @@ def oracle_sql() -> dict[str, str]:
                 FROM inc_media m""",
             "inc_state", "inc_events", "inc_media",
         ),
-        "load_summary": with_ctes(
-            """SELECT m.media_id,
-                      CAST(coalesce(e.n, 0) AS BIGINT) AS events,
-                      CAST(coalesce(b.n, 0) AS BIGINT) AS by_date,
-                      CAST(coalesce(x.n, 0) AS BIGINT) AS media_metadata,
-                      CAST(NULL AS VARCHAR) AS error
-               FROM inc_media m
-               LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_events GROUP BY media_id) e
-                 ON e.media_id = m.media_id
-               LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_by_date GROUP BY media_id) b
-                 ON b.media_id = m.media_id
-               LEFT JOIN (SELECT media_id, count(*) AS n FROM inc_meta GROUP BY media_id) x
-                 ON x.media_id = m.media_id""",
-            "inc_media", "inc_events", "inc_by_date", "inc_meta",
-        ),
+        "load_summary": _summary("inc_events", "inc_by_date", "inc_meta"),
     }
     # The end-to-end run returns the same summary and saves the same state as
     # the planned load computes.
     sql["incremental_run"] = sql["load_summary"]
     sql["incremental_state"] = sql["state_advance"]
     sql["incremental_landing"] = _incremental_landing()
-    sql["incremental_validation"] = _incremental_validation()
+    sql["incremental_validation"] = _summary(
+        "inc_events", "inc_by_date", "inc_meta", f"CAST(substr(m.media_id, 2) AS INTEGER) < {INC_AMBIGUOUS_BELOW}"
+    )
+    sql["incremental_retry"] = _summary("two_second", "two_by_date_second", "inc_meta")
+    sql["incremental_two_runs_silver"] = with_ctes(
+        f"""SELECT event_key, visitor_key, media_id, media_name, media_url, {instant('received_at', 'received_at')},
+                   ip, country, {r6('percent_viewed', 'percent_viewed')}
+            FROM two_silver_events""",
+        "two_silver_events",
+    )
+    sql["incremental_two_runs_by_date"] = with_ctes(
+        f"""SELECT media_id, {day('date', 'date')}, load_count, play_count, {r6('hours_watched', 'hours_watched')}
+            FROM two_silver_by_date""",
+        "two_silver_by_date",
+    )
+    sql["incremental_two_runs_state"] = with_ctes(
+        f"""SELECT 'events' AS endpoint, m.media_id, {instant('coalesce(n.ts, m.ts)', 'watermark_ts')},
+                   CAST(NULL AS VARCHAR) AS watermark_date
+            FROM two_marks m
+            LEFT JOIN (SELECT media_id, max(TRY_CAST(received_at AS TIMESTAMP)) AS ts
+                       FROM two_second GROUP BY media_id) n ON n.media_id = m.media_id
+            WHERE coalesce(n.ts, m.ts) IS NOT NULL
+            UNION ALL
+            SELECT 'by_date', media_id, CAST(NULL AS VARCHAR), '{INC_TODAY}' FROM inc_media""",
+        "two_marks", "two_second", "inc_media",
+    )
+    sql["landed_fact"] = sql["fact_engagement"]
+    sql["landing_raw_records"] = with_ctes(
+        _bronze_select("raw_events").replace(
+            "media_url, ingest_timestamp",
+            """media_url,
+               'City ' || CAST(CAST(substr(media_id, 2) AS INTEGER) % 7 AS VARCHAR) AS city,
+               CASE CAST(substr(media_id, 2) AS INTEGER) % 2 WHEN 0 THEN 'Chrome' ELSE 'Firefox' END AS browser,
+               CAST(substr(media_id, 2) AS INTEGER) % 3 = 0 AS mobile,
+               CAST(substr(media_id, 2) AS BIGINT) AS build, ingest_timestamp""",
+        ),
+        "raw_events",
+    )
+    sql["bronze_by_date"] = with_ctes(
+        _bronze_select("raw_by_date").replace(
+            "load_count,",
+            """CASE WHEN (CAST(substr(media_id, 2) AS INTEGER) + dayofmonth(TRY_CAST(date AS DATE))) % 19 = 0
+                    THEN NULL ELSE load_count END AS load_count,""",
+        ),
+        "raw_by_date",
+    )
+    sql["bronze_media"] = with_ctes(_bronze_select("raw_media_metadata"), "raw_media_metadata")
     sql["dashboard_by_media"] = with_ctes(
         f"""SELECT a.media_id, a.plays, a.unique_visitors,
                    {r6('a.avg_watched_percent * 100.0', 'avg_watched_percent')}, d.title, d.channel

@@ -19,12 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.operators.bronze import to_bronze
-from playlake.operators.gold import (
-    DIM_MEDIA_COLUMNS,
-    DIM_VISITOR_COLUMNS,
-    FACT_COLUMNS,
-    build_gold,
-)
+from playlake.operators.gold import build_gold
 from playlake.operators.silver import to_silver
 from playlake.plans.concurrent import run_all
 from playlake.session import use_utc
@@ -98,15 +93,11 @@ def full_refresh(
 
 
 def load_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
-    """The three Gold tables as lazy DataFrames, keyed by table name, in their
-    declared column order (a partition column is read back last otherwise)."""
-    order = {
-        schemas.DIM_MEDIA: DIM_MEDIA_COLUMNS,
-        schemas.DIM_VISITOR: DIM_VISITOR_COLUMNS,
-        schemas.FACT_MEDIA_ENGAGEMENT: FACT_COLUMNS,
-    }
+    """The three Gold tables as lazy DataFrames, keyed by table name, with their
+    declared columns (a partition column is read back last otherwise): Gold that
+    no event has reached yet is three tables without rows."""
     return {
-        name: read_layer(spark, gold_root, name).select(*order[name])
+        name: read_layer(spark, gold_root, name, schemas.GOLD_SCHEMAS[name]).select(*schemas.GOLD_SCHEMAS[name].names)
         for name in schemas.GOLD_TABLES
     }
 

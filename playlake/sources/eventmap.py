@@ -151,6 +151,33 @@ _BUILDERS = {
 }
 
 
+def raw_records(events: DataFrame, endpoint: str) -> DataFrame:
+    """Whole API records with lineage, as the landing zone gets them.
+
+    Events have fields that no schema declares, one of them nested; the daily
+    rows of some days have a word where a number belongs (a variant column: the
+    values of one field are of several types).
+    """
+    raw = _BUILDERS[endpoint](events)
+    if endpoint == schemas.EVENTS:
+        number = F.substring("media_id", 2, 10).cast("int")
+        details = F.struct(
+            F.element_at(F.array(F.lit("Chrome"), F.lit("Firefox")), (number % 2 + 1).cast("int")).alias("browser"),
+            F.struct((number % 3 == 0).alias("mobile"), number.alias("build")).alias("platform"),
+        )
+        return raw.withColumn("city", F.concat(F.lit("City "), _s(number % 7))).withColumn("user_agent_details", details)
+    if endpoint == schemas.BY_DATE:
+        text = F.when(is_mistyped("date", "media_id"), F.lit('"lots"')).otherwise(_s(F.col("load_count")))
+        return raw.withColumn("load_count", F.parse_json(F.coalesce(text, F.lit("null"))))
+    return raw
+
+
+def is_mistyped(date: str, media_id: str) -> Column:
+    """Days whose ``load_count`` lands as a word."""
+    day = F.dayofmonth(F.try_to_date(F.col(date)))
+    return F.coalesce((F.substring(F.col(media_id), 2, 10).cast("int") + day) % 19 == 0, F.lit(False))
+
+
 def raw_bronze(events: DataFrame, endpoint: str) -> DataFrame:
     """Bronze-shaped rows of ``endpoint`` derived from the events table."""
     return _BUILDERS[endpoint](events).select(*schemas.bronze_columns(endpoint))

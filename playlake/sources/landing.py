@@ -5,15 +5,20 @@ append-only; every write job adds new files, so re-landed records are kept and
 de-duplicated later by Silver.
 
 Sink (``build_envelopes`` + ``write_landing``)
+  * Records land whole: every column of the pulled frame but the pull keys, with
+    the type it came in. Landing is the only copy, so nothing is dropped or cast
+    here; fields and types are chosen when a scan declares them.
   * A pull's records are gathered with ``collect_list`` per chunk, never per
     whole pull: a pull of ``n`` records is spread over ``ceil(n / max_records)``
     envelopes by a hash, so one hot media cannot put its whole history in one
-    row or one task. Pull sizes come from a partial aggregate (one row per
-    pull); only pulls over ``max_records`` are joined back to the records, and
-    AQE broadcasts that side when it is measured small.
+    row or one task; ``record_count`` is then the chunk's. Pull sizes come from a
+    partial aggregate (one row per pull); only pulls over ``max_records`` are
+    joined back to the records, and AQE broadcasts that side when it is measured
+    small. Pull keys are compared null-safely: a pull with a null key part is a
+    pull like any other.
   * The flat records are hash-partitioned on the envelope key and collected
-    only after that exchange (no map-side partial collect), into a fixed
-    number of tasks so that the envelope files are written in parallel.
+    only after that exchange (no map-side partial collect). The exchange may be
+    coalesced unless ``write_tasks`` fixes the number of writing tasks.
   * A pull that returned nothing still lands, as one envelope with an empty
     array and ``record_count = 0``.
   * One envelope per file (``maxRecordsPerFile = 1``): the multi-line reader
@@ -21,14 +26,15 @@ Sink (``build_envelopes`` + ``write_landing``)
 
 Scan (``read_landing``): explicit envelope schema, multi-line JSON (the
 files may be pretty-printed), recursive lookup that ignores the partition
-directory names. Fields not in the schema are dropped at read time.
+directory names. Fields not in the schema are dropped at read time, a value
+that does not fit its declared type is null.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import StructType
 
 from playlake.sources import schemas
 from playlake.sources.paths import layer_path
@@ -37,9 +43,19 @@ PULL_KEYS = ("media_id", "ingest_timestamp", "ingest_date")
 DEFAULT_MAX_RECORDS = 50_000
 
 
-def _record_struct(endpoint: str):
-    schema = schemas.RECORD_SCHEMAS[endpoint]
-    return F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def record_columns(records: DataFrame) -> list[str]:
+    """Every column of a record: all but the pull keys."""
+    return [c for c in records.columns if c not in PULL_KEYS]
+
+
+def _same_pull(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on the pull keys, null-safe; the right side's keys do not come along."""
+    renamed = right.select(*(F.col(c).alias(f"__r_{c}" if c in PULL_KEYS else c) for c in right.columns))
+    same = F.lit(True)
+    for key in PULL_KEYS:
+        same = same & F.col(key).eqNullSafe(F.col(f"__r_{key}"))
+    joined = left.join(renamed, same, how)
+    return joined if how == "left_anti" else joined.drop(*(f"__r_{key}" for key in PULL_KEYS))
 
 
 def build_envelopes(
@@ -51,20 +67,19 @@ def build_envelopes(
 ) -> DataFrame:
     """Envelopes (``ingestion_metadata``, ``records``) from pulled records.
 
-    ``records``: the endpoint's record fields plus ``media_id``,
-    ``ingest_timestamp``, ``ingest_date`` (one row per pulled record).
+    ``records``: one row per pulled record: ``media_id``, ``ingest_timestamp``,
+    ``ingest_date`` and the record's own fields, whatever they are.
     ``pulls``: every pull that ran (same three columns), so that empty pulls
     land too; when omitted only pulls with records are written.
-    ``write_tasks``: tasks the envelopes are spread over (default: the
-    session's ``spark.sql.shuffle.partitions``).
+    ``write_tasks``: tasks the envelopes are spread over (default: by size, as
+    AQE coalesces the exchange).
     """
     if max_records < 1:
         raise ValueError("max_records must be positive")
-    tasks = write_tasks or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if tasks < 1:
+    if write_tasks is not None and write_tasks < 1:
         raise ValueError("write_tasks must be positive")
     keys = list(PULL_KEYS)
-    fields = schemas.record_fields(endpoint)
+    fields = record_columns(records)
     sizes = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     # Only pulls larger than one envelope need a chunk count; there are at most
     # (records / max_records) of them, usually few, so the side joined back is
@@ -76,29 +91,24 @@ def build_envelopes(
     # task's partition id joins the record hash, so even identical records of
     # one pull spread across chunks (a retried task keeps its partition id).
     # Taken after a shuffle on the pull keys, all rows of a pull would share it.
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fields])
+    # As JSON, because a record may have fields of types that have no hash (maps).
+    spread = F.xxhash64(F.spark_partition_id(), F.to_json(F.struct(*fields)))
     chunk = F.coalesce(F.pmod(F.col("__spread"), F.col("__chunks")), F.lit(0).cast("long"))
     chunked = (
         records.withColumn("__spread", spread)
-        .join(split, on=keys, how="left")
+        .transform(_same_pull, split, "left")
         .withColumn("__chunk", chunk)
         # Flat rows are shuffled on the envelope key and collected after the
         # exchange: a map-side partial collect_list would not shrink the data,
         # only hold each task's records as object buffers before shipping them.
-        # The count is fixed, not coalesced by bytes: landing costs per
-        # envelope file, so small envelopes are spread over every task instead
-        # of being packed into a few that then create files one by one.
-        .repartition(tasks, *keys, "__chunk")
+        .repartition(*([write_tasks] if write_tasks else []), *keys, "__chunk")
         .groupBy(*keys, "__chunk")
-        .agg(F.collect_list(_record_struct(endpoint)).alias("records"))
+        .agg(F.collect_list(F.struct(*fields)).alias("records"))
         .drop("__chunk")
     )
     if pulls is not None:
-        empty_type = ArrayType(schemas.RECORD_SCHEMAS[endpoint])
-        empty = (
-            pulls.select(*keys)
-            .join(sizes.select(*keys), on=keys, how="left_anti")
-            .withColumn("records", F.array().cast(empty_type))
+        empty = _same_pull(pulls.select(*keys), sizes.select(*keys), "left_anti").withColumn(
+            "records", F.array().cast(chunked.schema["records"].dataType)
         )
         chunked = chunked.unionByName(empty)
     header = F.struct(
@@ -127,16 +137,12 @@ def write_landing(envelopes: DataFrame, endpoint: str, landing_root: str) -> Non
     )
 
 
-def read_landing(spark: SparkSession, endpoint: str, landing_root: str, multi_line: bool = True) -> DataFrame:
-    """Every envelope of ``endpoint`` under ``landing_root``."""
-    return (
-        spark.read.schema(schemas.ENVELOPES[endpoint])
-        .option("multiLine", "true" if multi_line else "false")
-        .option("recursiveFileLookup", "true")
-        .json(layer_path(landing_root, endpoint))
-    )
-
+def read_landing(
+    spark: SparkSession, endpoint: str, landing_root: str, record_schema: StructType | None = None
+) -> DataFrame:
+    """Every envelope of ``endpoint`` under ``landing_root``.
 
-def pulls_of(records: DataFrame) -> DataFrame:
-    """Distinct pulls present in ``records`` (partial aggregate, one row per pull)."""
-    return records.select(*PULL_KEYS).distinct()
+    ``record_schema``: the record fields to read (default: the declared ones).
+    """
+    schema = schemas.envelope(record_schema) if record_schema else schemas.ENVELOPES[endpoint]
+    return spark.read.schema(schema).options(**schemas.ENVELOPE_OPTIONS).json(layer_path(landing_root, endpoint))

@@ -10,14 +10,26 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from playlake.sources.paths import layer_path
 
 
-def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, name))
+def read_layer(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """A layer's table. With ``schema`` it is read as declared, also without any
+    file to infer from, or with nothing but null partition values."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(layer_path(root, name))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files (a scratch folder of the caller's own)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_layer(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> int:
@@ -34,4 +46,9 @@ def write_layer(df: DataFrame, root: str, name: str, partition_by: str | None =
     if partition_by:
         writer = counted.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
     writer.parquet(layer_path(root, name))
-    return int(observation.get["rows"])
+    try:
+        return int(observation.get["rows"])
+    except Py4JJavaError:
+        # A plan that is known to be empty is replaced as a whole, observation
+        # and all, and then there is no row of figures: count what was written.
+        return read_layer(df.sparkSession, root, name, df.schema).count()

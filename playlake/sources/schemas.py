@@ -1,21 +1,23 @@
-"""Explicit schemas of the landing envelopes (never inferred).
+"""Declared schemas: landing envelopes, Bronze records, Gold tables.
 
-An envelope is one JSON document per (endpoint, media, ingest run): a header
-struct plus the raw API records of that pull. Only the record fields the Gold
-model needs are declared, so the JSON reader drops the rest at scan time.
-Event records carry no ``media_id`` on purpose: every endpoint takes it from
-the header, which gives all Bronze tables the same lineage columns.
+A landing file holds one JSON document: a header that says which pull it is,
+and the pull's records. What is declared here is what a *scan* reads; files may
+hold more fields per record, and those stay in the file. The header names the
+media for all three endpoints alike, so the media id is lineage and not a record
+field, also for events.
 """
 
 from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    DateType,
     DoubleType,
     LongType,
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 # Endpoint names and Gold table names (directory names of the lake).
@@ -33,32 +35,79 @@ GOLD_TABLES = (DIM_MEDIA, DIM_VISITOR, FACT_MEDIA_ENGAGEMENT)
 LINEAGE = ("ingest_timestamp", "ingest_date", "media_id")
 
 
-def _strings(*names: str) -> list[StructField]:
-    return [StructField(n, StringType()) for n in names]
-
-
 # Envelope header fields and, below, the record fields each
 # endpoint declares (in record order, with their types).
 HEADER = StructType(
-    _strings("endpoint", "media_id", "ingest_timestamp", "ingest_date")
-    + [StructField("record_count", LongType())]
+    [
+        StructField("endpoint", StringType()),
+        StructField("media_id", StringType()),
+        StructField("ingest_timestamp", StringType()),
+        StructField("ingest_date", StringType()),
+        StructField("record_count", LongType()),
+    ]
 )
 
 RECORD_SCHEMAS: dict[str, StructType] = {
     EVENTS: StructType(
-        _strings("received_at", "event_key", "ip", "country")
-        + [StructField("percent_viewed", DoubleType())]
-        + _strings("conversion_type", "visitor_key", "media_name", "media_url")
+        [
+            StructField("received_at", StringType()),
+            StructField("event_key", StringType()),
+            StructField("ip", StringType()),
+            StructField("country", StringType()),
+            StructField("percent_viewed", DoubleType()),
+            StructField("conversion_type", StringType()),
+            StructField("visitor_key", StringType()),
+            StructField("media_name", StringType()),
+            StructField("media_url", StringType()),
+        ]
     ),
     BY_DATE: StructType(
-        _strings("date")
-        + [
+        [
+            StructField("date", StringType()),
             StructField("load_count", LongType()),
             StructField("play_count", LongType()),
             StructField("hours_watched", DoubleType()),
         ]
     ),
-    MEDIA_METADATA: StructType(_strings("hashed_id", "name", "created")),
+    MEDIA_METADATA: StructType(
+        [
+            StructField("hashed_id", StringType()),
+            StructField("name", StringType()),
+            StructField("created", StringType()),
+        ]
+    ),
+}
+
+# Columns and types of the Gold tables. Gold is read back with
+# these: a table without rows, or with null days only, has no types to infer.
+GOLD_SCHEMAS: dict[str, StructType] = {
+    DIM_MEDIA: StructType(
+        [
+            StructField("media_id", StringType()),
+            StructField("title", StringType()),
+            StructField("url", StringType()),
+            StructField("channel", StringType()),
+            StructField("created_at", TimestampType()),
+        ]
+    ),
+    DIM_VISITOR: StructType(
+        [
+            StructField("visitor_id", StringType()),
+            StructField("ip_address", StringType()),
+            StructField("country", StringType()),
+        ]
+    ),
+    FACT_MEDIA_ENGAGEMENT: StructType(
+        [
+            StructField("media_id", StringType()),
+            StructField("visitor_id", StringType()),
+            StructField("date", DateType()),
+            StructField("play_count", LongType()),
+            StructField("watched_percent", DoubleType()),
+            StructField("play_rate", DoubleType()),
+            StructField("total_watch_time", DoubleType()),
+        ]
+    ),
 }
 
 
@@ -82,3 +131,7 @@ def record_fields(endpoint: str) -> list[str]:
 def bronze_columns(endpoint: str) -> list[str]:
     """Column order of a Bronze table: record fields, then lineage."""
     return record_fields(endpoint) + list(LINEAGE)
+
+
+# Options of the envelope scan, batch and stream alike.
+ENVELOPE_OPTIONS = {"multiLine": "true", "recursiveFileLookup": "true"}

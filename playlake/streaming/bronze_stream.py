@@ -17,8 +17,10 @@ Use either the batch run or the stream for a given Bronze directory, not both.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from playlake.operators.bronze import to_bronze
 from playlake.sources import schemas
@@ -40,8 +42,7 @@ def start_bronze_stream(
     """
     source = (
         spark.readStream.schema(schemas.ENVELOPES[endpoint])
-        .option("multiLine", "true")
-        .option("recursiveFileLookup", "true")
+        .options(**schemas.ENVELOPE_OPTIONS)
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
         .json(layer_path(landing_root, endpoint))
     )
@@ -56,16 +57,63 @@ def start_bronze_stream(
     )
 
 
+class _RowsRead(StreamingQueryListener):
+    """Rows read by each query, over all of its micro-batches.
+
+    ``recentProgress`` keeps only the last ones (100 by default), so a run of
+    many batches is counted by its progress events as they come.
+    """
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _end(self, run_id: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run_id = str(event.progress.runId)
+        with self._lock:
+            self.rows[run_id] = self.rows.get(run_id, 0) + int(event.progress.numInputRows)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def total(self, query: StreamingQuery, timeout: float = 60.0) -> int:
+        """All rows of a query that has ended; its events arrive in order, the end last."""
+        run_id = str(query.runId)
+        if not self._end(run_id).wait(timeout):
+            raise TimeoutError(f"no end event of streaming query {run_id}")
+        return self.rows.get(run_id, 0)
+
+
 def stream_bronze(
-    spark: SparkSession, landing_root: str, bronze_root: str, checkpoint_root: str | None = None
+    spark: SparkSession,
+    landing_root: str,
+    bronze_root: str,
+    checkpoint_root: str | None = None,
+    max_files_per_trigger: int = 1000,
 ) -> dict[str, int]:
     """Run the stream for every endpoint to completion; return envelopes consumed per endpoint."""
     consumed: dict[str, int] = {}
-    for endpoint in schemas.ENDPOINTS:
-        checkpoint = layer_path(checkpoint_root, endpoint) if checkpoint_root else None
-        query = start_bronze_stream(spark, endpoint, landing_root, bronze_root, checkpoint)
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise query.exception()
-        consumed[endpoint] = sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    listener = _RowsRead()
+    spark.streams.addListener(listener)
+    try:
+        for endpoint in schemas.ENDPOINTS:
+            checkpoint = layer_path(checkpoint_root, endpoint) if checkpoint_root else None
+            query = start_bronze_stream(spark, endpoint, landing_root, bronze_root, checkpoint, max_files_per_trigger)
+            query.awaitTermination()
+            if query.exception() is not None:
+                raise query.exception()
+            consumed[endpoint] = listener.total(query)
+    finally:
+        spark.streams.removeListener(listener)
     return consumed

@@ -83,25 +83,110 @@ def test_naive_state_is_rejected(spark):
         inc.check_state(naive)
 
 
-def test_bad_media_is_isolated_and_reported(spark):
+def test_bad_rows_are_rejected_and_their_media_loads_on(spark):
     src = sources(
         spark,
-        [ev("m1", "2024-01-25T00:00:00", "naive"), ev("m1", "2024-01-26T00:00:00Z", "ok1"),
-         ev("m2", "2024-01-25T00:00:00Z", "ok2")],
+        [ev("m1", "2024-01-25T00:00:00", "naive"), ev("m1", "2024-01-26T00:00:00Z", "ok1"), ev("m1", "bad", "x"),
+         ev("m1", "2024-01-29", "day only"), ev("m1", None, "none"), ev("m2", "2024-01-25T00:00:00Z", "ok2"),
+         ev("m9", "bad", "not in the run")],
         meta=[("m1", "m1", "A", "x"), ("m2", "m2", "B", "x")],
     )
     plan = inc.plan_load(src, media(spark, "m1", "m2"), inc.empty_state(spark), CLOCK)
     summary = {r["media_id"]: r for r in inc.summarize(plan).collect()}
-    assert summary["m1"]["error"] is not None and summary["m1"]["events"] == 0
-    assert summary["m1"]["media_metadata"] == 0
-    assert summary["m2"]["error"] is None and summary["m2"]["events"] == 1
-    assert summary["m2"]["media_metadata"] == 1
+    assert summary["m1"]["error"] is None and summary["m1"]["events"] == 1 and summary["m1"]["rejected"] == 4
+    assert summary["m2"]["error"] is None and summary["m2"]["events"] == 1 and summary["m2"]["rejected"] == 0
+    assert set(summary) == {"m1", "m2"}
+    assert {r["event_key"] for r in plan.rejected.collect()} == {"naive", "x", "day only", "none"}
+    new_state = inc.advance_state(inc.empty_state(spark), plan.loaded, plan.pulls[schemas.EVENTS], CLOCK)
+    marks = {(r["endpoint"], r["media_id"]): r["watermark_ts"] for r in new_state.collect()}
+    assert marks[("events", "m1")] == dt.datetime(2024, 1, 26)  # no mark comes from a rejected row
+
+
+def test_contradicting_marks_fail_their_media_alone(spark):
+    state = state_df(spark, [("events", "m1", dt.datetime(2024, 1, 20), None), ("events", "m1", dt.datetime(2024, 1, 21), None),
+                             ("events", "m2", dt.datetime(2024, 1, 20), None), ("events", "m2", dt.datetime(2024, 1, 20), None)])
+    src = sources(spark, [ev("m1", "2024-01-25T00:00:00Z", "a"), ev("m2", "2024-01-25T00:00:00Z", "b")],
+                  meta=[("m1", "m1", "A", "x"), ("m2", "m2", "B", "x")])
+    plan = inc.plan_load(src, media(spark, "m1", "m2"), state, CLOCK)
+    summary = {r["media_id"]: r for r in inc.summarize(plan).collect()}
+    assert summary["m1"]["error"] == inc.AMBIGUOUS_MARK and summary["m1"]["events"] == 0 == summary["m1"]["media_metadata"]
+    assert summary["m2"]["error"] is None and summary["m2"]["events"] == 1  # equal rows do not fan out
     status = inc.run_status(inc.summarize(plan)).collect()[0]
     assert (status["media"], status["failed"], status["had_errors"]) == (2, 1, True)
-    new_state = inc.advance_state(inc.empty_state(spark), plan.loaded, plan.pulls[schemas.EVENTS], CLOCK)
-    marks = {(r["endpoint"], r["media_id"]) for r in new_state.collect()}
-    assert ("events", "m1") not in marks and ("by_date", "m1") not in marks
-    assert ("events", "m2") in marks
+
+
+@pytest.mark.parametrize("text,aware", [
+    ("2024-01-20", False), ("2024-01-20T10:00:00", False), ("2024-01-20T10:00:00Z", True), ("2024-01-20T10:00:00.123+02:00", True),
+    ("2024-01-20T10:00-0200", True), ("2024-01-20 10:00:00 +01", True), ("bad", False), (None, None),
+])
+def test_zone_aware(spark, text, aware):
+    from playlake.functions.columns import is_zone_aware
+
+    assert spark.createDataFrame([(text,)], "t string").select(is_zone_aware("t")).first()[0] is aware
+
+
+def test_pulls_keep_undeclared_fields(spark):
+    src = sources(spark, [ev("m1", "2024-01-25T00:00:00Z", "a")])
+    src[schemas.EVENTS] = src[schemas.EVENTS].selectExpr("*", "'Oslo' as city", "named_struct('x', 1) as nested")
+    plan = inc.plan_load(src, media(spark, "m1"), inc.empty_state(spark), CLOCK)
+    row = plan.pulls[schemas.EVENTS].first()
+    assert row["city"] == "Oslo" and row["nested"]["x"] == 1
+
+
+def test_source_by_day_is_pruned(spark, lake_dir):
+    """Only the days from the least mark on are read, and those of events without a day for the rejects."""
+    from conftest import plan_text
+
+    rows = [ev("m1", f"2024-01-{d:02d}T10:00:00Z", f"e{d}") for d in range(1, 29)] + [ev("m1", "bad", "x")]
+    events = sources(spark, rows)[schemas.EVENTS]
+    path = f"{lake_dir}/by_day"
+    events.selectExpr("*", "to_date(try_to_timestamp(received_at)) as day").write.partitionBy("day").parquet(path)
+    src = sources(spark, []) | {schemas.EVENTS: spark.read.parquet(path)}
+    state = state_df(spark, [("events", "m1", dt.datetime(2024, 1, 20, 12), None)])
+    plan = inc.plan_load(src, media(spark, "m1"), state, CLOCK, day_column="day")
+    pulled = plan.pulls[schemas.EVENTS]
+    assert "PartitionFilters: [isnotnull(day" in plan_text(pulled) and "Subquery" in plan_text(pulled)
+    assert sorted(r["event_key"] for r in pulled.collect()) == [f"e{d}" for d in range(21, 29)]
+    assert [r["event_key"] for r in plan.rejected.collect()] == ["x"]
+
+
+def test_retried_run_changes_nothing(spark, lake_dir):
+    """Same stamp again: same state, same version, same next pull; a version without a commit does not count."""
+    landing, state_root = f"{lake_dir}/landing", f"{lake_dir}/state"
+    src = sources(spark, [ev("m1", "2024-01-25T10:00:00Z", "a")], by_date=[("m1", "2024-01-30", 3, 1, 0.1)])
+    first = inc.run_load(spark, src, media(spark, "m1"), landing, state_root, CLOCK).collect()
+    state = sorted(inc.read_state(spark, state_root).collect())
+    assert inc.run_load(spark, src, media(spark, "m1"), landing, state_root, CLOCK).collect() == first
+    assert sorted(inc.read_state(spark, state_root).collect()) == state and len(state) == 2
+    inc.empty_state(spark).write.parquet(f"{state_root}/{inc.VERSIONS}/99990101T000000000000Z")  # aborted: no commit
+    assert sorted(inc.read_state(spark, state_root).collect()) == state
+    clock2 = inc.RunClock(CLOCK.floor, dt.date(2024, 1, 31), "2024-01-31T06:00:00+00:00")
+    second = inc.run_load(spark, src, media(spark, "m1"), landing, state_root, clock2).collect()[0]
+    assert (second["events"], second["by_date"]) == (0, 1)
+
+
+def test_run_load_leaves_no_stage(spark, lake_dir):
+    import os
+
+    from playlake.session import shared_dir
+
+    root = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    before = {f for f in os.listdir(root) if f.startswith("load-stage")}
+    src = sources(spark, [ev("m1", "2024-01-25T10:00:00Z", "a"), ev("m1", "bad", "x")])
+    summary = inc.run_load(spark, src, media(spark, "m1"), f"{lake_dir}/l", f"{lake_dir}/s", CLOCK)
+    assert {f for f in os.listdir(root) if f.startswith("load-stage")} == before
+    assert (summary.first()["events"], summary.first()["rejected"]) == (1, 1)
+    assert spark.read.parquet(f"{lake_dir}/s/rejected/{CLOCK.version}").first()["event_key"] == "x"
+
+
+def test_only_a_missing_state_is_a_first_run(spark, lake_dir):
+    from pyspark.errors import AnalysisException
+
+    state = state_df(spark, [("events", "m1", dt.datetime(2024, 1, 20), None)])
+    inc.save_state(state, f"{lake_dir}/s", "v1")
+    state.selectExpr("endpoint", "media_id").write.mode("overwrite").parquet(f"{lake_dir}/s/{inc.VERSIONS}/v1")
+    with pytest.raises((AnalysisException, ValueError)):
+        inc.read_state(spark, f"{lake_dir}/s")
 
 
 def test_state_advance_unchanged_when_empty_and_by_date_to_today(spark):
@@ -142,7 +227,7 @@ def test_run_load_end_to_end_with_versioned_state(spark, lake_dir):
     marks = {(r["endpoint"], r["media_id"]): r for r in state.collect()}
     assert marks[("events", "m1")]["watermark_ts"] == dt.datetime(2024, 1, 26, 10)
     assert marks[("by_date", "m2")]["watermark_date"] == dt.date(2024, 1, 31)
-    versions = spark.read.parquet(state_root).select("version").distinct().count()
+    versions = spark.read.schema(inc.COMMIT_SCHEMA).parquet(f"{state_root}/{inc.COMMITS}").distinct().count()
     assert versions == 2
 
 
