@@ -55,24 +55,22 @@ def rotate(
     [content_start, content_end). ``train`` is true where the speaker talks: the
     mask covers the content and the closing marker, up to ``mask_end``.
     """
+    # Keys without nulls, so that joins and windows hash on the same columns and
+    # share one exchange: a null conversation and a null turn number (last) each
+    # get a value of their own.
     base = turns.select(
-        F.col(conv_col).alias("conv_id"),
+        F.col(conv_col).isNull().alias("_no_conv"),
+        F.coalesce(F.col(conv_col), F.lit(0).cast(turns.schema[conv_col].dataType)).alias("_conv"),
         F.col(turn_col).cast("long").alias("turn"),
         _safe(F.coalesce(F.col(role_col), F.lit("unknown"))).alias("name"),
         _safe(F.coalesce(F.col(text_col), F.lit(""))).alias("content"),
-    ).withColumn("block", F.floor(F.col("turn") / block))
+    ).withColumn("_block", F.coalesce(F.floor(F.col("turn") / block), F.lit(2**62)))
 
     # Participants are few and gathered as a set on the map side first. Both
     # sides hash on the conversation; a hot one is split by the skew join.
-    parties = (
-        base.where(F.col("name") != "system")
-        .groupBy("conv_id")
-        .agg(F.sort_array(F.collect_set("name")).alias("parties"))
-        .withColumnRenamed("conv_id", "_conv")
-    )
-    views = base.join(parties, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
-        "conv_id", F.explode("parties").alias("speaker"), "turn", "block", "name", "content"
-    )
+    conv = ["_no_conv", "_conv"]
+    parties = base.where(F.col("name") != "system").groupBy(*conv).agg(F.sort_array(F.collect_set("name")).alias("parties"))
+    views = base.join(parties, conv).select(*conv, F.explode("parties").alias("speaker"), "turn", "_block", "name", "content")
     role = (
         F.when(F.col("name") == "system", F.lit("system"))
         .when(F.col("name") == F.col("speaker"), F.lit("assistant"))
@@ -92,29 +90,26 @@ def rotate(
     )
 
     # Level one: rows and characters before each block. Level two: inside it.
-    in_view = Window.partitionBy("conv_id", "speaker").orderBy(F.col("block").asc_nulls_last())
-    before = in_view.rowsBetween(Window.unboundedPreceding, -1)
+    view = [*conv, "speaker"]
+    before = Window.partitionBy(*view).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        segments.groupBy("conv_id", "speaker", "block")
+        segments.groupBy(*view, "_block")
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("chars"))
         .select(
-            F.col("conv_id").alias("_c"),
-            F.col("speaker").alias("_s"),
-            F.col("block").alias("_b"),
+            *view,
+            "_block",
             F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
             F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("chars_before"),
         )
     )
     order = (
-        Window.partitionBy("conv_id", "speaker", "block")
+        Window.partitionBy(*view, "_block")
         .orderBy(F.col("turn").asc_nulls_last(), "name", "content")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = segments.join(
-        blocks,
-        F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("speaker") == F.col("_s")) & F.col("block").eqNullSafe(F.col("_b")),
-    ).select(
+    placed = segments.join(blocks, [*view, "_block"]).select(
         "*",
+        F.when(~F.col("_no_conv"), F.col("_conv")).alias("conv_id"),
         (F.col("rows_before") + F.count(F.lit(1)).over(order) - 1).alias("seq"),
         (F.col("chars_before") + F.sum("size").over(order) - F.col("size")).alias("start_char"),
     )

@@ -153,7 +153,7 @@ def mix(
     seed: str = SEED,
     ranges: int = RANGES,
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken, and ``keep``.
+    """One row per document: doc_id, size, source_size, target, taken, copies, and ``keep``.
 
     ``copies`` is how often the mix holds the document, ``taken`` its words
     there. ``weights`` has doc_id and weight.
@@ -177,8 +177,8 @@ def mix(
         "size",
         "source_size",
         "target",
-        copies.cast("long").alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
+        copies.cast("long").alias("copies"),
         *(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)),
     )
 
@@ -217,6 +217,6 @@ placed AS (
          coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM keyed k JOIN rest r ON k.source IS NOT DISTINCT FROM r.source)
-SELECT doc_id, size, source_size, target, CAST(n AS BIGINT) AS copies, CAST(n * size AS BIGINT) AS taken
+SELECT doc_id, size, source_size, target, CAST(n * size AS BIGINT) AS taken, CAST(n AS BIGINT) AS copies
 FROM (SELECT *, least(epochs + CASE WHEN 2 * before + size <= 2 * rest THEN 1 ELSE 0 END, 3) AS n FROM placed)
 """

@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 from _brute import words
 
@@ -20,7 +21,11 @@ def _sql(sql, **tables):
 
 
 def _rows(df, columns):
-    clean = lambda x: None if x is None or x != x else round(x, 6) if isinstance(x, float) else x
+    def clean(x):
+        if pd.isna(x):
+            return None
+        return x if isinstance(x, str) else round(float(x), 6)
+
     return sorted((tuple(clean(x) for x in r) for r in df[columns].itertuples(index=False)), key=str)
 
 
