@@ -35,7 +35,9 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.sparkContext.master.startswith("local")
+        master = spark.sparkContext.master
+        # not "local-cluster[...]", whose executors are processes of their own
+        return master == "local" or master.startswith("local[")
     except Exception:
         return False
 
