@@ -47,7 +47,7 @@ from playlake.llm._ship import ship
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
 #: Bytes of text that one pass of array operations covers.
-PASS_BYTES = 256 << 10
+PASS_BYTES = 96 << 10
 #: An anchor is hot if it occurs in this many blocks, or in at least
 #: HOT_CROWDED blocks each of which has it in CROWD documents or more.
 HOT_BLOCKS, HOT_CROWDED, CROWD = 1024, 24, 64
@@ -64,8 +64,8 @@ class Plan:
     window: int
     gram: int
     words: bool
-    #: (contexts, least ids) -> least id of each window of each context
-    resolve: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    #: (contexts, least ids, number of the anchor) -> least id of each window of each context
+    resolve: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     hot_blocks: int = HOT_BLOCKS
     hot_crowded: int = HOT_CROWDED
     crowd: int = CROWD
@@ -127,44 +127,44 @@ class Block:
         """Anchors of texts a..b: hash, text, place in the block's tokens, hashes of the context and of its halves."""
         p = self.plan
         low, high = self.of_text[a], self.of_text[b]
-        sizes = np.diff(self.of_text[a : b + 1])
+        bounds = self.of_text[a : b + 1] - low
+        sizes = np.diff(bounds)
+        n = int(high - low)
         if not len(sizes) or sizes.max() < p.window:
             return None
-        pad = p.window
-        # Between texts stand ``pad`` tokens of nothing, so that a context never reaches the next text.
-        shift = np.repeat(np.arange(1, len(sizes) + 1) * pad, sizes)
-        n = int(high - low) + pad * (len(sizes) + 1)
-        tokens = np.zeros(n, np.uint64)
         source = self.tokens[low:high]
-        tokens[np.arange(high - low) + shift] = source if p.words else k.BYTE_CODE[source]
         powers, inverses = k._grow(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(tokens * powers[:n], out=total[1:])
-        g = k.mix((total[p.gram :] - total[: n + 1 - p.gram]) * inverses[: n + 1 - p.gram])
-        g |= np.uint64(1)  # never zero
-        starts = np.arange(1, len(sizes) + 1) * pad + (self.of_text[a:b] - low)
+        total = np.empty(n + 1, np.uint64)
+        total[0] = 0
+        np.cumsum((source if p.words else k.BYTE_CODE[source]) * powers[:n], out=total[1:])
+        # Grams by a hash of 32 bits; equal ones within a window are all anchors, in each of its copies.
+        g = total[p.gram :] - total[: n + 1 - p.gram]
+        g *= inverses[: n + 1 - p.gram]
+        g *= np.uint64(0x9E3779B97F4A7C15)
+        order = (g >> np.uint64(32)).astype(np.uint32)
+        order |= np.uint32(1)  # never zero
         # windows that lie inside one text
-        valid = np.zeros(n - p.window + 2, np.int32)
+        valid = np.zeros(n - p.window + 2, np.int8)
         long = sizes >= p.window
-        np.add.at(valid, starts[long], 1)
-        np.add.at(valid, starts[long] + sizes[long] - p.window + 1, -1)
-        least = k.window_min(g, p.offsets)
-        least *= np.cumsum(valid[:-1]).astype(np.uint64)
-        around = np.zeros(len(least) + 2 * (p.offsets - 1), np.uint64)
+        valid[bounds[:-1][long]] += 1
+        valid[bounds[1:][long] - p.window + 1] -= 1
+        least = k.window_min(order, p.offsets)
+        least *= np.cumsum(valid[:-1], dtype=np.uint32)
+        around = np.zeros(len(least) + 2 * (p.offsets - 1), np.uint32)
         around[p.offsets - 1 : len(around) - p.offsets + 1] = least
-        places = np.flatnonzero(k.window_min(around, p.offsets, least=False) == g)
+        places = np.flatnonzero(k.window_min(around, p.offsets, least=False) == order)
         if not len(places):
             return None
-        left = places - (p.offsets - 1)
-        context = k.mix((total[left + p.context] - total[left]) * inverses[left])
-        before, after = places - p.half, places + p.gram
-        sides = np.stack(
-            [(total[after] - total[before]) * inverses[before], (total[after + p.half] - total[places]) * inverses[places]], axis=1
-        )
-        sides = (k.mix(sides) >> np.uint64(32)).astype(np.uint32)
-        doc = np.searchsorted(starts, places, side="right") - 1
-        # Least values crowd at the low end: mixed anew, so that buckets by hash are even.
-        return k.mix(g[places] ^ np.uint64(0xA0761D6478BD642F)), doc + a, places - (doc + 1) * pad + low, context, sides
+        doc = np.searchsorted(bounds, places, side="right") - 1
+
+        def digest(before: int, after: int) -> np.ndarray:
+            """Tokens from ``before`` ahead of the anchor to ``after`` behind its start, as far as the text goes."""
+            left, right = np.maximum(places - before, bounds[doc]), np.minimum(places + after, bounds[doc + 1])
+            return k.mix((total[right] - total[left]) * inverses[places])
+
+        anchor = k.mix(g[places] ^ np.uint64(0xA0761D6478BD642F))
+        sides = np.stack([digest(p.half, p.gram), digest(0, p.gram + p.half)], axis=1) >> np.uint64(32)
+        return anchor, doc + a, places + low, digest(p.offsets - 1, p.window), sides.astype(np.uint32)
 
     def shared_first(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct anchors (sorted, the low two bits kept free for flags) and, for each occurrence, which it is."""
@@ -415,7 +415,7 @@ def _answer_contexts(table: pa.Table, plan: Plan) -> pa.Table:
     bit = np.arange(plan.offsets, dtype=np.uint32)
     for a, b in k.slices(edges * plan.context, plan.search_tokens):
         rows = order[edges[a] : edges[b]]
-        lowest = plan.resolve(tokens[rows], least[rows])
+        lowest = plan.resolve(tokens[rows], least[rows], np.repeat(np.arange(b - a), np.diff(edges[a : b + 1])))
         masks[rows] = ((lowest < least[rows][:, None]).astype(np.uint32) << bit).sum(axis=1, dtype=np.uint32)
     done, out = 0, []
     for block, n in zip(blocks, sizes, strict=True):

@@ -4,12 +4,13 @@ Every whole text is its UTF-8 bytes. A byte goes if a string of ``MIN_BYTES``
 bytes that covers it also starts in a document with a smaller id; strings never
 cross documents and are judged on the input. ``_repeats`` brings together the
 places that can be equal; here each such group of strings becomes one generalised
-suffix array with its Burrows-Wheeler transform. Intervals of suffixes that share
-a prefix are extended backward, breadth first, one character a round: round n
-finds exactly the neighbours whose common prefix has n characters, so common
-prefixes come out by increasing length, and the rounds stop at the threshold. The
-neighbours that no round has parted share ``MIN_BYTES`` or more; each such run
-gives its strings the least id in it.
+suffix array with its Burrows-Wheeler transform, in which the anchor that a
+group shares is one symbol. Intervals of suffixes that share a prefix are extended
+backward, breadth first, one symbol a round: round n finds exactly the neighbours
+whose common prefix has n symbols, so common prefixes come out by increasing
+length, and the rounds stop at the threshold. The neighbours that no round has
+parted share ``MIN_BYTES`` bytes or more; each such run gives its strings the least
+id in it.
 
 Defined results
   * null or empty text: 0 bytes, nothing removed; shorter than ``MIN_BYTES``:
@@ -36,84 +37,101 @@ MIN_BYTES = 50
 GRAM = 20
 
 
-def suffix_array(contexts: np.ndarray, depth: int) -> np.ndarray:
-    """Order of all suffixes of the rows of a byte matrix by their first ``depth`` characters.
+def suffix_array(strings: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
+    """Order of all suffixes of the rows of a matrix of symbols below 511, by group, then by their first ``depth`` symbols.
 
-    A suffix ends with its row, and the row's number breaks ties. Prefixes of 7
-    characters are ranked, then doubled until they reach the depth.
+    A suffix ends with its row, and the row's number breaks ties. Prefixes of 4
+    symbols are ranked, then doubled until they reach the depth.
     """
-    n, width = contexts.shape
+    n, width = strings.shape
     key = np.zeros((n, width + 1), np.uint64)
-    for i in range(7):  # 9 bits each: 0 is past the end
-        key[:, : width - i] |= (contexts[:, i:].astype(np.uint64) + np.uint64(1)) << np.uint64(9 * (6 - i))
-    step = 7
+    for i in range(4):  # 9 bits each: 0 is past the end
+        key[:, : width - i] |= (strings[:, i:].astype(np.uint64) + np.uint64(1)) << np.uint64(9 * (3 - i))
+    key |= group.astype(np.uint64)[:, None] << np.uint64(36)
+    step = 4
     while step < depth:
         rank = np.unique(key.ravel(), return_inverse=True)[1].reshape(n, width + 1).astype(np.uint64)
         key = rank << np.uint64(32)
         key[:, : width + 1 - step] |= rank[:, step:]
-        key[:, width + 1 - step :] |= rank[0, width]
+        # past the end: the group's own empty suffix, least of its ranks
+        key[:, width + 1 - step :] |= rank[:, width:]
         step *= 2
     return np.argsort(key[:, :width].ravel(), kind="stable").astype(np.int32)
 
 
-def expand_intervals(contexts: np.ndarray, order: np.ndarray, threshold: int) -> np.ndarray:
-    """For each neighbour pair in suffix order: do they share ``threshold`` characters or more?
+def expand_intervals(strings: np.ndarray, group: np.ndarray, order: np.ndarray, threshold: int) -> np.ndarray:
+    """For each neighbour pair in suffix order: do they share ``threshold`` symbols or more?
 
     Breadth-first backward extension. After round n the suffixes that share n
-    characters form intervals; ``label`` names each suffix's interval by its
-    first place. Backward extension by a character maps the interval of w to that
-    of cw: two neighbours that start with the same character share n + 1
-    characters exactly if their remainders, one character shorter, lie in one
-    interval of n. Only pairs that no round has parted yet are looked at.
+    symbols form intervals; ``label`` names each suffix's interval by its first
+    place. Backward extension by a symbol maps the interval of w to that of cw:
+    two neighbours that start with the same symbol share n + 1 symbols exactly if
+    their remainders, one symbol shorter, lie in one interval of n. Only pairs
+    that no round has parted yet are looked at.
     """
-    n, width = contexts.shape
+    n, width = strings.shape
     size = n * width
     place = np.empty(size, np.int32)
     place[order] = np.arange(size, dtype=np.int32)
-    text = contexts.ravel()
     # The transform as a map: where a suffix's remainder stands; past the row's end nothing equals anything.
     remainder = place[np.minimum(order + 1, size - 1)]
     last = order % width == width - 1
-    first = text[order]
+    first = strings.ravel()[order].astype(np.int64) + (group[order // width].astype(np.int64) << 9)
     alike = np.zeros(size, bool)
     alike[1:] = first[1:] == first[:-1]
+    label = np.arange(size, dtype=np.int32)
     active = np.flatnonzero(alike).astype(np.int32)
-    label = _first_places(size, active)
-    # where a row ends, a pair shares one character and no more
-    active = active[~(last[active] | last[active - 1])]
+    _first_places(label, active)
+    # where a row ends, a pair shares one symbol and no more
+    ends = last[active] | last[active - 1]
+    gone, active = active[ends], active[~ends]
+    one, two = remainder[active - 1], remainder[active]
     for _ in range(threshold - 1):
         if not len(active):
             break
-        active = active[label[remainder[active - 1]] == label[remainder[active]]]
-        label = _first_places(size, active)
+        same = label[one] == label[two]
+        label[gone] = gone
+        gone = active[~same]
+        active, one, two = active[same], one[same], two[same]
+        label[gone] = gone
+        _first_places(label, active)
     together = np.zeros(size, bool)
     together[active] = True
     return together
 
 
-def _first_places(size: int, active: np.ndarray) -> np.ndarray:
-    """First place of each suffix's interval; ``active`` are the places that share one with the place before."""
-    label = np.arange(size, dtype=np.int32)
+def _first_places(label: np.ndarray, active: np.ndarray) -> None:
+    """Name each suffix's interval by its first place; ``active`` are the places that share one with the place before."""
     if len(active):
         begins = np.ones(len(active), bool)
         begins[1:] = active[1:] != active[:-1] + 1
         label[active] = np.maximum.accumulate(np.where(begins, active - 1, 0))
-    return label
 
 
-def resolve(contexts: np.ndarray, least: np.ndarray, window: int = MIN_BYTES) -> np.ndarray:
-    """Least id over all occurrences of each window of each context."""
+def resolve(contexts: np.ndarray, least: np.ndarray, group: np.ndarray, window: int = MIN_BYTES) -> np.ndarray:
+    """Least id over all occurrences of each window of each context.
+
+    All contexts of a group have the same anchor in the same place, and every
+    window covers it: the anchor counts as one symbol, and a window of ``window``
+    bytes as so many symbols less.
+    """
     n, width = contexts.shape
     offsets = width - window + 1
-    order = suffix_array(contexts, window)
-    together = expand_intervals(contexts, order, window)
+    gram = window - offsets + 1
+    strings = np.empty((n, width - gram + 1), np.uint16)
+    strings[:, : offsets - 1] = contexts[:, : offsets - 1]
+    strings[:, offsets - 1] = 256
+    strings[:, offsets:] = contexts[:, offsets - 1 + gram :]
+    symbols = window - gram + 1
+    order = suffix_array(strings, group, symbols)
+    together = expand_intervals(strings, group, order, symbols)
     run = np.cumsum(~together) - 1
-    ids = least[order // width]
+    ids = least[order // strings.shape[1]]
     smallest = np.full(run[-1] + 1, _repeats.NO_ID, np.int64)
     np.minimum.at(smallest, run, ids)
-    of_suffix = np.empty(n * width, np.int64)
+    of_suffix = np.empty(strings.size, np.int64)
     of_suffix[order] = smallest[run]
-    return of_suffix.reshape(n, width)[:, :offsets]
+    return of_suffix.reshape(strings.shape)[:, :offsets]
 
 
 SCHEMA = "doc_id long, n_bytes long, removed_starts array<long>, removed_ends array<long>, kept binary"

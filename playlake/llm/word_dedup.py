@@ -79,7 +79,7 @@ def subtree(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
-def resolve(contexts: np.ndarray, least: np.ndarray, window: int = WINDOW, limit: int = SUBTREE) -> np.ndarray:
+def resolve(contexts: np.ndarray, least: np.ndarray, _group: np.ndarray, window: int = WINDOW, limit: int = SUBTREE) -> np.ndarray:
     """Least id over all occurrences of each window of each context."""
     n, width = contexts.shape
     offsets = width - window + 1

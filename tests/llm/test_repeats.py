@@ -62,11 +62,12 @@ def test_interval_expansion_is_the_common_prefix():
     import numpy as np
 
     rng = np.random.default_rng(4)
-    contexts = rng.integers(97, 99, (40, 20)).astype(np.uint8)
-    contexts[7] = contexts[3]
-    order = byte_dedup.suffix_array(contexts, 9)
-    together = byte_dedup.expand_intervals(contexts, order, 9)
-    suffix = [bytes(contexts[i // 20, i % 20 :]) for i in order]
-    assert [s[:9] for s in suffix] == sorted(s[:9] for s in suffix)
-    want = [False] + [len(a) >= 9 and a[:9] == b[:9] for a, b in zip(suffix, suffix[1:])]
+    strings = rng.integers(97, 99, (40, 20)).astype(np.uint16)
+    strings[7] = strings[3]
+    group = np.repeat([0, 1], [25, 15])
+    order = byte_dedup.suffix_array(strings, group, 9)
+    together = byte_dedup.expand_intervals(strings, group, order, 9)
+    suffix = [(int(group[i // 20]), bytes(strings[i // 20, i % 20 :].astype(np.uint8))) for i in order]
+    assert [(g, s[:9]) for g, s in suffix] == sorted((g, s[:9]) for g, s in suffix)
+    want = [False] + [g == h and len(a) >= 9 and a[:9] == b[:9] for (g, a), (h, b) in zip(suffix, suffix[1:])]
     assert together.tolist() == want
