@@ -141,6 +141,35 @@ def test_empty_pull_still_lands(spark, lake_dir):
     assert layout == ["ingest_date=2024-02-01"]
 
 
+def test_a_pull_with_a_null_key_is_split_like_any_other(spark):
+    raw = _raw_events(spark, {"hot": 100}).withColumn("ingest_date", F.lit(None).cast("string"))
+    pulls = raw.select("media_id", "ingest_timestamp", "ingest_date").distinct()
+    sizes = [r["n"] for r in build_envelopes(raw, schemas.EVENTS, pulls=pulls, max_records=10).select(F.size("records").alias("n")).collect()]
+    assert sum(sizes) == 100 and len(sizes) == 10 and min(sizes) > 0  # and no false empty pull
+
+
+def test_records_land_whole_and_uncast(spark, lake_dir):
+    """Undeclared, nested and mistyped fields are in the files; a scan takes what it declares."""
+    from pyspark.sql import types as T
+
+    raw = spark.sql(
+        """SELECT 'm1' media_id, '2024-02-01T06:00:00+00:00' ingest_timestamp, '2024-02-01' ingest_date, '2024-01-01' date,
+                  parse_json(v) load_count, named_struct('a', map('k', 1)) nested, 'Oslo' city
+           FROM VALUES ('"lots"'), ('7') AS t(v)"""
+    )
+    write_landing(build_envelopes(raw, schemas.BY_DATE), schemas.BY_DATE, lake_dir)
+    rows = to_bronze(read_landing(spark, schemas.BY_DATE, lake_dir)).collect()
+    assert sorted((r["date"], r["load_count"]) for r in rows if r["load_count"]) == [("2024-01-01", 7)]
+    assert [r["load_count"] for r in rows].count(None) == 1
+    wide = T.StructType(
+        [T.StructField("load_count", T.StringType()), T.StructField("city", T.StringType()),
+         T.StructField("nested", T.StructType([T.StructField("a", T.MapType(T.StringType(), T.LongType()))]))]
+    )
+    whole = to_bronze(read_landing(spark, schemas.BY_DATE, lake_dir, wide)).collect()
+    assert sorted(r["load_count"] for r in whole) == ["7", "lots"]
+    assert {(r["city"], r["nested"]["a"]["k"]) for r in whole} == {("Oslo", 1)}
+
+
 def test_landing_is_append_only_same_day_runs_kept(spark, lake_dir):
     raw = _raw_events(spark, {"m1": 5})
     for _ in range(2):

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from playlake.operators.bronze import to_bronze
 from playlake.plans import incremental as inc

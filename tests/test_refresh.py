@@ -32,6 +32,26 @@ def test_full_refresh_counts_match_the_mapping(spark, lake_dir):
     assert any(name.startswith("date=") for name in os.listdir(fact_dir))
 
 
+def test_refresh_over_empty_bronze(spark, lake_dir):
+    """No record yet: Silver and Gold are tables without rows, and every dashboard frame has its columns."""
+    from pyspark.sql import types as T
+
+    from playlake.plans.dashboard import dashboard_frames
+    from playlake.sources.layers import write_layer
+
+    for e in schemas.ENDPOINTS:
+        lineage = [T.StructField(c, T.StringType()) for c in schemas.LINEAGE]
+        empty = spark.createDataFrame([], T.StructType([*schemas.RECORD_SCHEMAS[e].fields, *lineage]))
+        write_layer(empty, f"{lake_dir}/bronze", e)
+    assert set(refresh.run_silver(spark, f"{lake_dir}/bronze", f"{lake_dir}/silver").values()) == {0}
+    assert set(refresh.run_gold(spark, f"{lake_dir}/silver", f"{lake_dir}/gold").values()) == {0}
+    for name, frame in dashboard_frames(spark, f"{lake_dir}/gold").items():
+        assert frame.columns, name
+        frame.collect()
+    gold = refresh.load_gold(spark, f"{lake_dir}/gold")
+    assert all(gold[n].schema == schemas.GOLD_SCHEMAS[n] for n in schemas.GOLD_TABLES)
+
+
 def test_main_stops_the_session_on_failure(monkeypatch):
     stopped = []
 

@@ -30,3 +30,20 @@ def test_stream_reads_only_new_files_and_matches_batch(spark, lake_dir):
     batch = to_bronze(read_landing(spark, schemas.EVENTS, landing))
     assert streamed.count() == raw.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_stream_counts_all_batches(spark, lake_dir):
+    """More micro-batches than the session remembers progress of: the count is still whole."""
+    ev = eventmap.read_events(spark, SF_SMALL)
+    for e in schemas.ENDPOINTS:
+        raw = eventmap.raw_bronze(ev, e).where("media_id in ('m1', 'm2', 'm3', 'm4', 'm5', 'm6')")
+        write_landing(build_envelopes(raw, e, max_records=50), e, f"{lake_dir}/landing")
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        consumed = stream_bronze(spark, f"{lake_dir}/landing", f"{lake_dir}/bronze", max_files_per_trigger=4)
+    finally:
+        spark.conf.unset(key)
+    for e in schemas.ENDPOINTS:
+        assert consumed[e] == read_landing(spark, e, f"{lake_dir}/landing").count()
+    assert consumed[schemas.EVENTS] > 8
