@@ -21,7 +21,6 @@ Defined results
 
 from __future__ import annotations
 
-import bisect
 import functools
 import hashlib
 import math
