@@ -37,6 +37,8 @@ SEED = "mix-1"
 RANGES = 4096
 #: Sources whose figures may be broadcast (about 100 bytes each); beyond, the join is a plain one.
 BROADCAST_ROWS = 100_000
+#: The same for documents with a weight of their own (16 bytes each).
+BROADCAST_WEIGHTS = 1_000_000
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
@@ -89,7 +91,10 @@ def targets(sizes: DataFrame, most_epochs: int = MOST_EPOCHS) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, weights: DataFrame | None, columns: tuple[str, str, str], keep: tuple[str, ...], seed: str, ranges: int) -> DataFrame:
-    """doc_id, source, size, sampling key and key range of every document, and ``keep`` by number."""
+    """doc_id, source, size, sampling key and key range of every document, and ``keep`` by number.
+
+    ``weights``: one row per ``_wid``.
+    """
     id_col, text_col, source_col = columns
     sized = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -98,8 +103,7 @@ def _keyed(docs: DataFrame, weights: DataFrame | None, columns: tuple[str, str,
         *(F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)),
     )
     if weights is not None:
-        by_id = weights.groupBy(F.col("doc_id").alias("_wid")).agg(F.max("weight").alias("weight"))
-        sized = sized.join(by_id, F.col("doc_id") == F.col("_wid"), "left").drop("_wid")
+        sized = sized.join(weights, F.col("doc_id") == F.col("_wid"), "left").drop("_wid")
     else:
         sized = sized.withColumn("weight", F.lit(1.0))
     weight = F.when(F.col("weight") > 0, F.col("weight")).otherwise(F.lit(1.0))
@@ -161,6 +165,10 @@ def mix(
     spark = docs.sparkSession
     shared_dir(spark)  # the checkpoints go there
     columns = (id_col, text_col, source_col)
+    if weights is not None:
+        weights = weights.groupBy(F.col("doc_id").alias("_wid")).agg(F.max("weight").alias("weight")).checkpoint()
+        if weights.count() <= BROADCAST_WEIGHTS:  # then no text is exchanged
+            weights = F.broadcast(weights)
     # ids and numbers only, kept so that the texts are read once for them
     keyed = _keyed(docs, weights, columns, (), seed, ranges).checkpoint()
     found = cuts(keyed).checkpoint()
