@@ -51,6 +51,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = _configured_checkpoint_dir(spark)
     if configured:
+        if not spark.sparkContext.getCheckpointDir():  # set on the session only: checkpoint() needs it too
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     if not _is_local(spark):
         raise RuntimeError(
