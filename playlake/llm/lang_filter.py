@@ -2,8 +2,8 @@
 
 A text is its bytes, letters in lower case and all other ASCII characters as
 spaces; its n-grams are runs of 3 and of 4 bytes. One Bloom filter holds the
-n-grams of all languages at once, bit-sliced: each slot is a word with one bit
-per language, and the AND of an n-gram's slots has the bits of all languages that
+n-grams of all languages at once, bit-sliced: each slot has one bit per language,
+in words of up to 64 (a row of ``slots`` per 64 languages), and the AND of an n-gram's slots has the bits of all languages that
 contain it. A text's hits are counted per language and corrected for the false
 positives that the language's share of set bits gives; the language with the
 largest corrected share of n-grams is the prediction.
@@ -98,9 +98,7 @@ def fit(
     count = {r["_lang"]: r["n"] for r in known.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = tuple(sorted(count))
     if not languages:
-        return Model((), np.zeros(slots, np.uint8), np.zeros(0))
-    if len(languages) > 64:
-        raise ValueError(f"{len(languages)} languages; a slot has 64 bits")
+        return Model((), np.zeros((1, slots), np.uint8), np.zeros(0))
     number = F.create_map(*(x for i, name in enumerate(languages) for x in (F.lit(name), F.lit(i))))
     share = F.create_map(*(x for name in languages for x in (F.lit(name), F.lit(min(1.0, per_language / count[name])))))
     drawn = F.pmod(F.xxhash64(F.lit("lang"), "_id"), F.lit(1_000_000)) < F.element_at(share, F.col("_lang")) * 1_000_000
@@ -131,20 +129,23 @@ def fit(
         total = np.maximum(np.nan_to_num(total), 1.0)
         rates = [F.col(f"n{i}") / F.lit(float(total[i])) for i in range(len(languages))]
         most = F.greatest(*rates) if len(rates) > 1 else rates[0]
-        mask = F.lit(0).cast("long")
+        masks = [F.lit(0).cast("long") for _ in range(0, len(languages), 64)]
         for i, rate in enumerate(rates):
-            bit = np.int64(np.uint64(1 << i).astype(np.int64)).item()
-            mask = mask.bitwiseOR(F.when((rate >= MIN_SHARE) & (rate * RATIO >= most), F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long")))
-        entered = tallies.select("code", mask.alias("mask")).where("mask != 0").toPandas()
+            bit = np.int64(np.uint64(1 << i % 64).astype(np.int64)).item()
+            some = F.when((rate >= MIN_SHARE) & (rate * RATIO >= most), F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long"))
+            masks[i // 64] = masks[i // 64].bitwiseOR(some)
+        entered = tallies.select("code", *(m.alias(f"mask{w}") for w, m in enumerate(masks)))
+        entered = entered.where(" or ".join(f"mask{w} != 0" for w in range(len(masks)))).toPandas()
     finally:
         tallies.unpersist()
-    kind = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= bits)
-    table = np.zeros(slots, kind)
+    kind = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if min(len(languages), 64) <= bits)
+    table = np.zeros((len(masks), slots), kind)
     codes = entered["code"].to_numpy(np.int64).view(np.uint64)
-    bits = entered["mask"].to_numpy(np.int64).view(np.uint64).astype(kind)
+    bits = [entered[f"mask{w}"].to_numpy(np.int64).view(np.uint64).astype(kind) for w in range(len(masks))]
     for place in _places(codes, slots, hashes):
-        np.bitwise_or.at(table, place, bits)
-    fill = np.array([np.count_nonzero(table & kind(1 << i)) / slots for i in range(len(languages))])
+        for words, own in zip(table, bits, strict=True):
+            np.bitwise_or.at(words, place, own)
+    fill = np.array([np.count_nonzero(table[i // 64] & kind(1 << i % 64)) / slots for i in range(len(languages))])
     return Model(languages, table, fill**hashes, int(np.argmax(total)))
 
 
@@ -159,15 +160,15 @@ def hits(raw: np.ndarray, bounds: np.ndarray, model: Model, hashes: int = HASHES
             code = _codes(folded, order)
             if not len(code):
                 continue
-            word = None
-            for place in _places(code, len(model.slots), hashes):
-                word = model.slots[place] if word is None else word & model.slots[place]
+            places = list(_places(code, model.slots.shape[1], hashes))
             # no n-gram reaches into the next text
             last = np.maximum(at[1:] - order + 1, at[:-1])
             total[a:b] += last - at[:-1]
             for i in range(len(model.languages)):
+                if i % 64 == 0:
+                    word = np.bitwise_and.reduce([model.slots[i // 64][place] for place in places])
                 sums = np.zeros(len(code) + 1, np.int64)
-                np.cumsum((word >> word.dtype.type(i)) & word.dtype.type(1), out=sums[1:], dtype=np.int64)
+                np.cumsum((word >> word.dtype.type(i % 64)) & word.dtype.type(1), out=sums[1:], dtype=np.int64)
                 found[a:b, i] += sums[np.minimum(last, len(code))] - sums[np.minimum(at[:-1], len(code))]
     return found, total
 

@@ -114,6 +114,17 @@ def test_language_edges(spark, make_docs):
     assert lang_filter.predict(docs.limit(0), model).collect() == []
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    """70 languages, each of its own letters: all are learned and predicted."""
+    words = [f"{chr(97 + i // 9) * 3}{chr(106 + i % 9) * 4}" for i in range(70)]
+    rows = [(100 * i + n, f"{w} {w[::-1]} {w}", f"l{i:02}") for i, w in enumerate(words) for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_filter.fit(docs)
+    assert len(model.languages) == 70
+    want = {i: lang for i, _, lang in rows}
+    assert all(r.lang_pred == want[r.doc_id] for r in lang_filter.predict(docs, model).collect())
+
+
 def test_filter_returns_all_languages_of_an_ngram(spark):
     """Every n-gram entered for a language is found for it: a Bloom filter has no false negatives."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
