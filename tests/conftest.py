@@ -6,8 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,14 +22,3 @@ def lake_dir(spark):
     from playlake.session import scratch_path
 
     return scratch_path(spark, "test")
-
-
-def plan_text(df, mode="formatted"):
-    """Text of ``df.explain(mode)`` (public API, captured from stdout)."""
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode)
-    return buf.getvalue()

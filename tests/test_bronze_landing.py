@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from lake_helpers import plan_text
 from playlake.operators.bronze import to_bronze
 from playlake.sources import schemas
 from playlake.sources.landing import build_envelopes, read_landing, write_landing

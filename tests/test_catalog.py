@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL, plan_text
+from lake_helpers import SF_SMALL, plan_text
 from playlake.plans import catalog
 
 NAMES = sorted(catalog.queries())  # the training-data queries have tests of their own

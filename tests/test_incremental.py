@@ -134,7 +134,7 @@ def test_pulls_keep_undeclared_fields(spark):
 
 def test_source_by_day_is_pruned(spark, lake_dir):
     """Only the days from the least mark on are read, and those of events without a day for the rejects."""
-    from conftest import plan_text
+    from lake_helpers import plan_text
 
     rows = [ev("m1", f"2024-01-{d:02d}T10:00:00Z", f"e{d}") for d in range(1, 29)] + [ev("m1", "bad", "x")]
     events = sources(spark, rows)[schemas.EVENTS]

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from lake_helpers import SF_SMALL
 from playlake.operators.gold import FACT_COLUMNS
 from playlake.plans import refresh
 from playlake.sources import eventmap, schemas

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import plan_text
+from lake_helpers import plan_text
 from playlake.operators import reports
 
 FACT = (

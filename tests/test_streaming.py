@@ -6,7 +6,7 @@ from playlake.sources.landing import build_envelopes, read_landing, write_landin
 from playlake.sources.layers import read_layer
 from playlake.streaming.bronze_stream import stream_bronze
 
-from conftest import SF_SMALL
+from lake_helpers import SF_SMALL
 
 
 def test_stream_reads_only_new_files_and_matches_batch(spark, lake_dir):
