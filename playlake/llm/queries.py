@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.llm import (
+    byte_bpe,
     byte_dedup,
     chat,
     fingerprint,
+    hard_negatives,
     lang_filter,
     mixing,
     near_dup,
     packing,
     pii_boost,
     quality_llr,
+    whitening,
     word_dedup,
 )
 from playlake.llm._columns import read_table
@@ -88,6 +91,22 @@ def op10_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_bpe.decode(byte_bpe.encode(read_table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dup": op1_near_dup,
@@ -100,6 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rotate_speakers": op8_rotate_speakers,
         "op9_fingerprint": op9_fingerprint,
         "op10_word_dedup": op10_word_dedup,
+        "op11_byte_bpe": op11_byte_bpe,
+        "op12_whitening": op12_whitening,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
