@@ -29,11 +29,14 @@ is refused as a whole.
 State: one row per (endpoint, media): ``watermark_ts`` (events, an instant)
 or ``watermark_date`` (by_date). It advances only at the end of a run: events
 to the newest ``received_at`` pulled (unchanged when nothing new arrived),
-by_date to ``today`` for every media loaded. A run writes its state as one
-version, named by its stamp, and then a commit for it; a version without a commit
-(an aborted write) does not count. A run reads the newest committed version
-*before* its own stamp, so a run that is tried again reads the same marks, pulls
-the same records and writes the same version anew.
+by_date to ``today`` for every media loaded. A run publishes its state, its
+rejected events and its summary together, as one version named by its stamp
+(``sources.published``): a folder of its own, made visible by one commit that is
+written last. What has no commit does not count, and no committed folder is ever
+written to again, so a run that fails anywhere, also a retry, leaves the state as
+it was. A run reads the newest committed version *before* its own stamp: tried
+again, it reads the same marks, pulls the same records, and its commit is a later
+attempt of the same version.
 """
 
 from __future__ import annotations
@@ -43,7 +46,6 @@ import re
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -58,10 +60,9 @@ from pyspark.sql.types import (
 from playlake.functions.columns import is_zone_aware, parse_day, parse_instant
 from playlake.plans.concurrent import run_all
 from playlake.session import scratch_path, use_utc
-from playlake.sources import schemas
+from playlake.sources import published, schemas
 from playlake.sources.landing import PULL_KEYS, build_envelopes, write_landing
 from playlake.sources.layers import read_layer, remove, write_layer
-from playlake.sources.paths import layer_path
 
 STATE_SCHEMA = StructType(
     [
@@ -73,8 +74,8 @@ STATE_SCHEMA = StructType(
 )
 SUMMARY_COLUMNS = ("media_id", *schemas.ENDPOINTS, "rejected", "error")
 AMBIGUOUS_MARK = "the state has several marks for one endpoint"
-VERSIONS, COMMITS = "versions", "commits"
-COMMIT_SCHEMA = StructType([StructField("version", StringType())])
+#: Tables that a run publishes with its state.
+STATE, REJECTED, SUMMARY = "state", "rejected", "summary"
 
 
 @dataclass(frozen=True)
@@ -141,26 +142,23 @@ def read_state(spark: SparkSession, state_root: str, before: str | None = None)
     Empty if none was ever committed. Only the commits (one tiny file per run) and
     the one version are read, not the footers of all versions.
     """
-    try:
-        commits = spark.read.schema(COMMIT_SCHEMA).parquet(layer_path(state_root, COMMITS))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_state(spark)
-    if before is not None:
-        commits = commits.where(F.col("version") < before)
-    newest = commits.agg(F.max("version")).first()[0]
-    if newest is None:
+    snapshot = published.newest(spark, state_root, before)
+    if snapshot is None:
         return empty_state(spark)
     # As written, not as declared: a naive or mistyped mark must show.
-    return check_state(read_layer(spark, layer_path(state_root, VERSIONS), newest)).select(*STATE_SCHEMA.names)
+    return check_state(snapshot.read(spark, STATE)).select(*STATE_SCHEMA.names)
+
+
+def write_state(state: DataFrame, attempt: published.Attempt) -> int:
+    """Write ``state`` below the attempt; it counts once the attempt is committed."""
+    return write_layer(check_state(state).select(*STATE_SCHEMA.names), attempt.path, attempt.folder(STATE))
 
 
 def save_state(state: DataFrame, state_root: str, version: str) -> None:
-    """Write ``state`` as ``version``, whole, then commit it; doing so again replaces both."""
-    write_layer(check_state(state).select(*STATE_SCHEMA.names), layer_path(state_root, VERSIONS), version)
-    commit = state.sparkSession.range(1).select(F.lit(version).alias("version"))
-    commit.coalesce(1).write.mode("overwrite").parquet(layer_path(state_root, f"{COMMITS}/run={version}"))
+    """Publish ``state`` alone as ``version``; doing so again makes a later attempt of it."""
+    attempt = published.Attempt(state.sparkSession, state_root, version)
+    rows = write_state(state, attempt)
+    attempt.commit(attempt.written(STATE), {STATE: rows})
 
 
 def _marks(state: DataFrame, endpoint: str, column: str) -> DataFrame:
@@ -382,8 +380,8 @@ def run_load(
     list and failures (one row per media each). Then the pulled and the rejected
     records: landing, state and summary read the staged delta instead of the
     source again. A lost executor re-runs only the stage it was in. Rejected
-    events and the summary are kept with the state, by run; the staged copies are
-    removed once everything that is made from them is stored.
+    events and the summary are published with the state, by one commit; the staged
+    copies are removed once everything that is made from them is stored.
     """
     use_utc(spark)
     state = read_state(spark, state_root, before=clock.version)
@@ -403,10 +401,10 @@ def run_load(
         failures=read_layer(spark, stage_root, "failures"),
         day_column=day_column,
     )
-    rejected_root = layer_path(state_root, "rejected")
-    run_all(
+    attempt = published.Attempt(spark, state_root, clock.version, before=clock.version)
+    rows = run_all(
         {e: partial(write_layer, records, stage_root, e) for e, records in plan.pulls.items()}
-        | {"rejected": partial(write_layer, plan.rejected, rejected_root, clock.version)}
+        | {REJECTED: partial(write_layer, plan.rejected, attempt.path, attempt.folder(REJECTED))}
     )
     staged = {e: read_layer(spark, stage_root, e) for e in plan.pulls}
     pulls_made = _with_run(plan.loaded, clock).select(*PULL_KEYS)
@@ -423,8 +421,12 @@ def run_load(
         }
     )
     new_state = advance_state(state, plan.loaded, staged[schemas.EVENTS], clock)
-    summary = summarize(plan, staged, read_layer(spark, rejected_root, clock.version))
-    write_layer(summary, layer_path(state_root, "summaries"), clock.version)
-    save_state(new_state, state_root, clock.version)
+    summary = summarize(plan, staged, read_layer(spark, attempt.path, attempt.folder(REJECTED)))
+    rows = {
+        REJECTED: rows[REJECTED],
+        SUMMARY: write_layer(summary, attempt.path, attempt.folder(SUMMARY)),
+        STATE: write_state(new_state, attempt),
+    }
+    done = attempt.commit([part for name in rows for part in attempt.written(name)], rows)
     remove(spark, stage_root)
-    return read_layer(spark, layer_path(state_root, "summaries"), clock.version)
+    return done.read(spark, SUMMARY)

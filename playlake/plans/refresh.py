@@ -1,8 +1,9 @@
 """Layer runs and the full refresh: landing -> Bronze -> Silver -> Gold.
 
-Each run reads the previous layer from storage, builds its tables lazily and
-overwrites them, returning ``{table: rows written}``. The tables of a layer are
-independent and are written as concurrent jobs. Counting rides on the
+Each run reads the previous layer's newest snapshot, builds its tables lazily, writes
+them to a folder of their own and publishes all of them with one commit, returning
+``{table: rows written}``. A run that fails leaves the layer as it was. The tables
+of a layer are independent and are written as concurrent jobs. Counting rides on the
 write (``Observation``), so every table is computed once. Silver events are
 not cached for Gold: each Gold builder reads only the Parquet columns it
 needs, which at scale is cheaper than materialising the whole table.
@@ -13,6 +14,7 @@ Entry point: ``python -m playlake.plans.refresh <landing> <bronze> <silver> <gol
 from __future__ import annotations
 
 import sys
+from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +25,9 @@ from playlake.operators.gold import build_gold
 from playlake.operators.silver import to_silver
 from playlake.plans.concurrent import run_all
 from playlake.session import use_utc
-from playlake.sources import schemas
+from playlake.sources import published, schemas
 from playlake.sources.landing import read_landing
-from playlake.sources.layers import read_layer, write_layer
+from playlake.sources.layers import layer_reader, write_layer
 
 
 # The fact is partitioned by day: the recent-window reports then read only the
@@ -33,72 +35,66 @@ from playlake.sources.layers import read_layer, write_layer
 GOLD_PARTITIONING = {schemas.FACT_MEDIA_ENGAGEMENT: "date"}
 
 
+def publish_layer(
+    spark: SparkSession, root: str, frames: Mapping[str, DataFrame], partitioning: Mapping[str, str] | None = None
+) -> dict[str, int]:
+    """Write the tables of a layer as one snapshot; the rows of each."""
+    attempt = published.Attempt(spark, root, published.stamp())
+    by = partitioning or {}
+    rows = run_all(
+        {name: partial(write_layer, df, attempt.path, attempt.folder(name), by.get(name)) for name, df in frames.items()}
+    )
+    attempt.commit([part for name in frames for part in attempt.written(name)], rows)
+    return rows
+
+
 def run_bronze(spark: SparkSession, landing_root: str, bronze_root: str) -> dict[str, int]:
     use_utc(spark)
-    return run_all(
-        {
-            endpoint: partial(
-                write_layer,
-                to_bronze(read_landing(spark, endpoint, landing_root)),
-                bronze_root,
-                endpoint,
-            )
-            for endpoint in schemas.ENDPOINTS
-        }
+    return publish_layer(
+        spark, bronze_root, {e: to_bronze(read_landing(spark, e, landing_root)) for e in schemas.ENDPOINTS}
     )
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> dict[str, int]:
     use_utc(spark)
-    return run_all(
-        {
-            endpoint: partial(
-                write_layer,
-                to_silver(read_layer(spark, bronze_root, endpoint), endpoint),
-                silver_root,
-                endpoint,
-            )
-            for endpoint in schemas.ENDPOINTS
-        }
-    )
+    bronze = layer_reader(spark, bronze_root)
+    return publish_layer(spark, silver_root, {e: to_silver(bronze(e), e) for e in schemas.ENDPOINTS})
 
 
 def gold_tables(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
-    return build_gold(
-        read_layer(spark, silver_root, schemas.MEDIA_METADATA),
-        read_layer(spark, silver_root, schemas.EVENTS),
-        read_layer(spark, silver_root, schemas.BY_DATE),
-    )
+    silver = layer_reader(spark, silver_root)
+    return build_gold(silver(schemas.MEDIA_METADATA), silver(schemas.EVENTS), silver(schemas.BY_DATE))
 
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str) -> dict[str, int]:
     use_utc(spark)
-    return run_all(
-        {
-            name: partial(write_layer, df, gold_root, name, GOLD_PARTITIONING.get(name))
-            for name, df in gold_tables(spark, silver_root).items()
-        }
-    )
+    return publish_layer(spark, gold_root, gold_tables(spark, silver_root), GOLD_PARTITIONING)
 
 
 def full_refresh(
     spark: SparkSession, landing_root: str, bronze_root: str, silver_root: str, gold_root: str
 ) -> dict[str, dict[str, int]]:
-    """Bronze, then Silver, then Gold in one session; stops at the first failure."""
-    return {
+    """Bronze, then Silver, then Gold in one session; stops at the first failure.
+
+    Then snapshots of each layer are removed by age (``published.expire``).
+    """
+    counts = {
         "bronze": run_bronze(spark, landing_root, bronze_root),
         "silver": run_silver(spark, bronze_root, silver_root),
         "gold": run_gold(spark, silver_root, gold_root),
     }
+    for root in (bronze_root, silver_root, gold_root):
+        published.expire(spark, root)
+    return counts
 
 
 def load_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
     """The three Gold tables as lazy DataFrames, keyed by table name, with their
     declared columns (a partition column is read back last otherwise): Gold that
     no event has reached yet is three tables without rows."""
+    gold = layer_reader(spark, gold_root)
     return {
-        name: read_layer(spark, gold_root, name, schemas.GOLD_SCHEMAS[name]).select(*schemas.GOLD_SCHEMAS[name].names)
-        for name in schemas.GOLD_TABLES
+        name: gold(name, schemas.GOLD_SCHEMAS[name]).select(*schemas.GOLD_SCHEMAS[name].names) for name in schemas.GOLD_TABLES
     }
 
 

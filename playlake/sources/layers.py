@@ -1,4 +1,9 @@
-"""Parquet layers (Bronze, Silver, Gold): scan and overwrite with a row count.
+"""Parquet layers (Bronze, Silver, Gold): scan, and writes with a row count.
+
+A layer is published as a whole (``published``): its tables are written to a new
+folder and become visible with one commit, so a reader sees the layer as one run
+left it, also while the next run writes or after it has failed. ``write_layer``
+alone overwrites a folder in place; it is for folders that only the caller knows.
 
 The count is taken by an ``Observation`` on the write itself, so a table is
 computed once — no cache-then-count-then-write pass. Layers hand over through
@@ -9,20 +14,37 @@ layer's stages.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from playlake.sources import published
 from playlake.sources.paths import layer_path
 
 
 def read_layer(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
-    """A layer's table. With ``schema`` it is read as declared, also without any
-    file to infer from, or with nothing but null partition values."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(layer_path(root, name))
+    """A layer's table: of the newest snapshot, or the plain folder of a root without commits.
+
+    With ``schema`` it is read as declared, also without any file to infer from,
+    or with nothing but null partition values.
+    """
+    return layer_reader(spark, root)(name, schema)
+
+
+def layer_reader(spark: SparkSession, root: str) -> Callable[..., DataFrame]:
+    """``read(name, schema=None)`` for tables of one layer, all of the same snapshot."""
+    snapshot = published.newest(spark, root)
+
+    def read(name: str, schema: StructType | None = None) -> DataFrame:
+        if snapshot is not None:
+            return snapshot.read(spark, name, schema)
+        reader = spark.read.schema(schema) if schema else spark.read
+        return reader.parquet(layer_path(root, name))
+
+    return read
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -51,4 +73,4 @@ def write_layer(df: DataFrame, root: str, name: str, partition_by: str | None =
     except Py4JJavaError:
         # A plan that is known to be empty is replaced as a whole, observation
         # and all, and then there is no row of figures: count what was written.
-        return read_layer(df.sparkSession, root, name, df.schema).count()
+        return df.sparkSession.read.schema(df.schema).parquet(layer_path(root, name)).count()

@@ -6,8 +6,9 @@ import pytest
 
 from playlake.operators.bronze import to_bronze
 from playlake.plans import incremental as inc
-from playlake.sources import schemas
+from playlake.sources import published, schemas
 from playlake.sources.landing import read_landing
+from playlake.sources.layers import write_layer
 
 CLOCK = inc.RunClock(floor=dt.date(2024, 1, 10), today=dt.date(2024, 1, 30), run_at="2024-01-30T06:00:00+00:00")
 EVENT_SRC = (
@@ -157,7 +158,7 @@ def test_retried_run_changes_nothing(spark, lake_dir):
     state = sorted(inc.read_state(spark, state_root).collect())
     assert inc.run_load(spark, src, media(spark, "m1"), landing, state_root, CLOCK).collect() == first
     assert sorted(inc.read_state(spark, state_root).collect()) == state and len(state) == 2
-    inc.empty_state(spark).write.parquet(f"{state_root}/{inc.VERSIONS}/99990101T000000000000Z")  # aborted: no commit
+    inc.write_state(inc.empty_state(spark), published.Attempt(spark, state_root, "99990101T000000000000Z"))  # no commit
     assert sorted(inc.read_state(spark, state_root).collect()) == state
     clock2 = inc.RunClock(CLOCK.floor, dt.date(2024, 1, 31), "2024-01-31T06:00:00+00:00")
     second = inc.run_load(spark, src, media(spark, "m1"), landing, state_root, clock2).collect()[0]
@@ -175,15 +176,16 @@ def test_run_load_leaves_no_stage(spark, lake_dir):
     summary = inc.run_load(spark, src, media(spark, "m1"), f"{lake_dir}/l", f"{lake_dir}/s", CLOCK)
     assert {f for f in os.listdir(root) if f.startswith("load-stage")} == before
     assert (summary.first()["events"], summary.first()["rejected"]) == (1, 1)
-    assert spark.read.parquet(f"{lake_dir}/s/rejected/{CLOCK.version}").first()["event_key"] == "x"
+    assert published.newest(spark, f"{lake_dir}/s").read(spark, inc.REJECTED).first()["event_key"] == "x"
 
 
 def test_only_a_missing_state_is_a_first_run(spark, lake_dir):
     from pyspark.errors import AnalysisException
 
     state = state_df(spark, [("events", "m1", dt.datetime(2024, 1, 20), None)])
-    inc.save_state(state, f"{lake_dir}/s", "v1")
-    state.selectExpr("endpoint", "media_id").write.mode("overwrite").parquet(f"{lake_dir}/s/{inc.VERSIONS}/v1")
+    attempt = published.Attempt(spark, f"{lake_dir}/s", "v1")
+    write_layer(state.selectExpr("endpoint", "media_id"), attempt.path, attempt.folder(inc.STATE))
+    attempt.commit(attempt.written(inc.STATE), {})
     with pytest.raises((AnalysisException, ValueError)):
         inc.read_state(spark, f"{lake_dir}/s")
 
@@ -226,8 +228,8 @@ def test_run_load_end_to_end_with_versioned_state(spark, lake_dir):
     marks = {(r["endpoint"], r["media_id"]): r for r in state.collect()}
     assert marks[("events", "m1")]["watermark_ts"] == dt.datetime(2024, 1, 26, 10)
     assert marks[("by_date", "m2")]["watermark_date"] == dt.date(2024, 1, 31)
-    versions = spark.read.schema(inc.COMMIT_SCHEMA).parquet(f"{state_root}/{inc.COMMITS}").distinct().count()
-    assert versions == 2
+    versions = spark.read.schema(published.COMMIT_SCHEMA).parquet(f"{state_root}/{published.COMMITS}/*")
+    assert versions.select("version").distinct().count() == 2
 
 
 def test_read_state_missing_is_empty(spark, lake_dir):
