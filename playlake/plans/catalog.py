@@ -42,14 +42,15 @@ from playlake.plans.refresh import (
     full_refresh,
     gold_tables,
     load_gold,
+    publish_layer,
     run_bronze,
     run_gold,
     run_silver,
 )
 from playlake.session import scratch_path, use_utc
-from playlake.sources import eventmap, schemas
+from playlake.sources import eventmap, published, schemas
 from playlake.sources.landing import build_envelopes, read_landing, write_landing
-from playlake.sources.layers import read_layer, write_layer
+from playlake.sources.layers import read_layer, remove, write_layer
 from playlake.streaming.bronze_stream import start_bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,9 +175,13 @@ def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return gold_tables(spark, silver_root(spark, sf_dir))
 
 
-def dashboard_by_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dashboard's by-media table: the report with the mean in percent (P9)."""
-    return portable(dashboard_frames(spark, gold_root(spark, sf_dir))["by_media"])
+def _dashboard(frame: str) -> Query:
+    """A table of the dashboard: the report with the mean in percent (P9)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(dashboard_frames(spark, gold_root(spark, sf_dir))[frame])
+
+    return run
 
 
 def _report(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
@@ -344,13 +349,59 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_frame(spark, counts)
 
 
-def landed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact as a full refresh builds it from the landing files, by value."""
-    root = scratch_path(spark, "lake")
-    landing = f"{root}/landing"
-    _land_all(spark, sf_dir, landing)
-    full_refresh(spark, landing, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
-    return portable(load_gold(spark, f"{root}/gold")[FACT])
+# A full refresh from the landing files, once per (application, sf_dir), for the
+# three queries that give its Gold tables by value.
+_REFRESHED: dict[tuple, str] = {}
+
+
+def refreshed_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Gold after a full refresh, a Gold run that failed in a task, and a repeated Gold run."""
+    with _LAKE_LOCK:
+        key = _session_key(spark, sf_dir)
+        if key not in _REFRESHED:
+            root = scratch_path(spark, "lake")
+            landing, silver, gold = f"{root}/landing", f"{root}/silver", f"{root}/gold"
+            _land_all(spark, sf_dir, landing)
+            full_refresh(spark, landing, f"{root}/bronze", silver, gold)
+            remove(spark, landing)
+            # a Gold run that writes both dimensions anew, emptied, and then fails on the fact
+            tables = {name: df.limit(0) for name, df in gold_tables(spark, silver).items()}
+            tables[FACT] = failing(gold_tables(spark, silver)[FACT], "play_count")
+            expect_failure(lambda: publish_layer(spark, gold, tables))
+            run_gold(spark, silver, gold)
+            expect_failure(lambda: publish_layer(spark, gold, tables))
+            _REFRESHED[key] = gold
+        use_utc(spark)
+        return _REFRESHED[key]
+
+
+INJECTED = "injected failure"
+
+
+def failing(df: DataFrame, column: str) -> DataFrame:
+    """``df``, planned as usual, failing in the tasks that compute ``column``."""
+    kind = df.schema[column].dataType
+    return df.withColumn(column, F.when(F.length(F.lit(INJECTED)) > F.size(F.array()), F.raise_error(F.lit(INJECTED)).cast(kind)))
+
+
+def expect_failure(run: Callable[[], object]) -> None:
+    """Run what must fail with the injected failure; any other outcome is an error."""
+    try:
+        run()
+    except Exception as failure:
+        if INJECTED not in str(failure):
+            raise
+    else:
+        raise AssertionError("the injected failure did not happen")
+
+
+def _refreshed(table: str) -> Query:
+    """A Gold table as a full refresh leaves it, by value: neither a failed run nor a repeated one changes it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(load_gold(spark, refreshed_lake(spark, sf_dir))[table])
+
+    return run
 
 
 # --- incremental load ---------------------------------------------------------------
@@ -497,35 +548,64 @@ def _first_sources(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {e: df.where(early[e]) if e in early else df for e, df in sources.items()}
 
 
-def _two_runs(spark: SparkSession, sf_dir: str, retry: bool = False) -> str:
-    """Run both loads (``retry``: the first one twice); the root of landing and state."""
-    sources, media, state = incremental_inputs(spark, sf_dir)
-    root = scratch_path(spark, "two-runs")
-    incremental.save_state(state, f"{root}/state", INITIAL_STATE_VERSION)
-    for _ in range(2 if retry else 1):
-        incremental.run_load(spark, _first_sources(sources), media, f"{root}/landing", f"{root}/state", FIRST_CLOCK)
-    summary = incremental.run_load(spark, sources, media, f"{root}/landing", f"{root}/state", INCREMENTAL_CLOCK)
-    write_layer(summary, root, "summary")
-    return root
+_TWO_RUNS: dict[tuple, str] = {}
+
+
+def two_runs(spark: SparkSession, sf_dir: str, mishap: str = "") -> str:
+    """Both loads in a row, once per (application, sf_dir); the root of landing and state.
+
+    ``mishap``: "retry", the first load is run twice; "failed retry", it is tried
+    again twice and fails, once at its pulls and once while it saves its state.
+    """
+    with _LAKE_LOCK:
+        key = (*_session_key(spark, sf_dir), mishap)
+        if key not in _TWO_RUNS:
+            sources, media, state = incremental_inputs(spark, sf_dir)
+            root = scratch_path(spark, "two-runs")
+            landing, state_root = f"{root}/landing", f"{root}/state"
+            incremental.save_state(state, state_root, INITIAL_STATE_VERSION)
+            early = _first_sources(sources)
+            for _ in range(2 if mishap == "retry" else 1):
+                incremental.run_load(spark, early, media, landing, state_root, FIRST_CLOCK)
+            if mishap == "failed retry":
+                broken = early | {schemas.BY_DATE: failing(early[schemas.BY_DATE], "play_count")}
+                expect_failure(lambda: incremental.run_load(spark, broken, media, landing, state_root, FIRST_CLOCK))
+                saved = incremental.read_state(spark, state_root)
+                expect_failure(
+                    lambda: incremental.save_state(failing(saved, "watermark_ts"), state_root, FIRST_CLOCK.version)
+                )
+            incremental.run_load(spark, sources, media, landing, state_root, INCREMENTAL_CLOCK)
+            _TWO_RUNS[key] = root
+        use_utc(spark)
+        return _TWO_RUNS[key]
 
 
 def _two_runs_silver(endpoint: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = _two_runs(spark, sf_dir)
-        run_bronze(spark, f"{root}/landing", f"{root}/bronze")
-        return portable(to_silver(read_layer(spark, f"{root}/bronze", endpoint), endpoint))
+        landing = f"{two_runs(spark, sf_dir)}/landing"
+        return portable(to_silver(to_bronze(read_landing(spark, endpoint, landing)), endpoint))
 
     return run
 
 
 def incremental_two_runs_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The marks after both loads."""
-    return portable(incremental.read_state(spark, f"{_two_runs(spark, sf_dir)}/state"))
+    return portable(incremental.read_state(spark, f"{two_runs(spark, sf_dir)}/state"))
+
+
+def _after(mishap: str, table: str) -> Query:
+    """What the second load published after a mishap of the first: as if that had run once."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = two_runs(spark, sf_dir, mishap)
+        return portable(published.newest(spark, f"{root}/state").read(spark, table))
+
+    return run
 
 
-def incremental_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second load's summary after the first was run twice: as if it had run once."""
-    return read_layer(spark, _two_runs(spark, sf_dir, retry=True), "summary")
+def incremental_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of a load in which the media with contradicting marks fail."""
+    return incremental.run_status(incremental_validation(spark, sf_dir))
 
 
 # --- registry -------------------------------------------------------------------------
@@ -549,9 +629,15 @@ def queries() -> dict[str, Query]:
         "recent_7d": _report(lambda g: reports.recent_engagement(g[FACT], g[DIM_MEDIA], 7)),
         "recent_30d": _report(lambda g: reports.recent_engagement(g[FACT], g[DIM_MEDIA], 30)),
         "top_visitors": _report(lambda g: reports.top_visitors(g[FACT], g[DIM_VISITOR], 10)),
-        "dashboard_by_media": dashboard_by_media,
+        "dashboard_by_media": _dashboard("by_media"),
+        "dashboard_last_7_days": _dashboard("last_7_days"),
+        "dashboard_last_30_days": _dashboard("last_30_days"),
+        "dashboard_monthly": _dashboard("monthly"),
+        "dashboard_top_visitors": _dashboard("top_visitors"),
         "layer_counts": layer_counts,
-        "landed_fact": landed_fact,
+        "landed_fact": _refreshed(FACT),
+        "landed_dim_media": _refreshed(DIM_MEDIA),
+        "landed_dim_visitor": _refreshed(DIM_VISITOR),
         "landing_raw_records": landing_raw_records,
         "bronze_by_date": _bronze_landed(schemas.BY_DATE),
         "bronze_media": _bronze_landed(schemas.MEDIA_METADATA),
@@ -566,7 +652,10 @@ def queries() -> dict[str, Query]:
         "incremental_two_runs_silver": _two_runs_silver(schemas.EVENTS),
         "incremental_two_runs_by_date": _two_runs_silver(schemas.BY_DATE),
         "incremental_two_runs_state": incremental_two_runs_state,
-        "incremental_retry": incremental_retry,
+        "incremental_retry": _after("retry", incremental.SUMMARY),
+        "incremental_failed_retry": _after("failed retry", incremental.SUMMARY),
+        "incremental_failed_retry_state": _after("failed retry", incremental.STATE),
+        "incremental_status": incremental_status,
     }
 
 

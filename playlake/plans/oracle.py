@@ -585,7 +585,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'by_date', media_id, CAST(NULL AS VARCHAR), '{INC_TODAY}' FROM inc_media""",
         "two_marks", "two_second", "inc_media",
     )
+    sql["incremental_failed_retry"] = sql["incremental_retry"]
+    sql["incremental_failed_retry_state"] = sql["incremental_two_runs_state"]
+    sql["incremental_status"] = with_ctes(
+        f"""SELECT count(*) AS media,
+                   count(*) FILTER (WHERE CAST(substr(media_id, 2) AS INTEGER) < {INC_AMBIGUOUS_BELOW}) AS failed,
+                   coalesce(bool_or(CAST(substr(media_id, 2) AS INTEGER) < {INC_AMBIGUOUS_BELOW}), FALSE) AS had_errors
+            FROM inc_media""",
+        "inc_media",
+    )
+    for report, table in (
+        ("recent_7d", "last_7_days"), ("recent_30d", "last_30_days"), ("monthly_engagement", "monthly"), ("top_visitors", "top_visitors"),
+    ):
+        sql[f"dashboard_{table}"] = sql[report].replace(
+            "round(avg_watched_percent, 6)", "round(avg_watched_percent * 100.0, 6)"
+        ).replace("round(a.avg_watched_percent, 6)", "round(a.avg_watched_percent * 100.0, 6)").replace(
+            "round(t.avg_watched_percent, 6)", "round(t.avg_watched_percent * 100.0, 6)"
+        )
     sql["landed_fact"] = sql["fact_engagement"]
+    sql["landed_dim_media"] = sql["dim_media"]
+    sql["landed_dim_visitor"] = sql["dim_visitor"]
     sql["landing_raw_records"] = with_ctes(
         _bronze_select("raw_events").replace(
             "media_url, ingest_timestamp",
