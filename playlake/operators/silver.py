@@ -82,7 +82,8 @@ REFINEMENTS: dict[str, Refinement] = {
 }
 
 
-def refine(bronze: DataFrame, spec: Refinement) -> DataFrame:
+def screen(bronze: DataFrame, spec: Refinement) -> DataFrame:
+    """Steps 1 to 4: the typed rows that may become a Silver row, of all ingests."""
     df = bronze.drop(*spec.drop_first) if spec.drop_first else bronze
     for old, new in spec.renames.items():
         df = df.withColumnRenamed(old, new)
@@ -91,8 +92,16 @@ def refine(bronze: DataFrame, spec: Refinement) -> DataFrame:
         df = df.where(spec.keep())
     for name, cast in spec.casts.items():
         df = df.withColumn(name, cast(name))
-    df = latest_per_key(df, spec.key, ingest_recency(tiebreak=spec.tiebreak()))
-    return df.select(*spec.output)
+    return df
+
+
+def latest(screened: DataFrame, spec: Refinement) -> DataFrame:
+    """Step 5. Newest under a total order, so the latest of latest rows is the latest of all."""
+    return latest_per_key(screened, spec.key, ingest_recency(tiebreak=spec.tiebreak()))
+
+
+def refine(bronze: DataFrame, spec: Refinement) -> DataFrame:
+    return latest(screen(bronze, spec), spec).select(*spec.output)
 
 
 def to_silver(bronze: DataFrame, endpoint: str) -> DataFrame:

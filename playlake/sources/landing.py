@@ -138,11 +138,17 @@ def write_landing(envelopes: DataFrame, endpoint: str, landing_root: str) -> Non
 
 
 def read_landing(
-    spark: SparkSession, endpoint: str, landing_root: str, record_schema: StructType | None = None
+    spark: SparkSession,
+    endpoint: str,
+    landing_root: str,
+    record_schema: StructType | None = None,
+    ingest_date: str | None = None,
 ) -> DataFrame:
     """Every envelope of ``endpoint`` under ``landing_root``.
 
     ``record_schema``: the record fields to read (default: the declared ones).
+    ``ingest_date``: only pulls of that day; no other day's folders are listed.
     """
     schema = schemas.envelope(record_schema) if record_schema else schemas.ENVELOPES[endpoint]
-    return spark.read.schema(schema).options(**schemas.ENVELOPE_OPTIONS).json(layer_path(landing_root, endpoint))
+    of_day = f"/media_id=*/ingest_date={ingest_date}" if ingest_date else ""
+    return spark.read.schema(schema).options(**schemas.ENVELOPE_OPTIONS).json(layer_path(landing_root, endpoint) + of_day)

@@ -78,6 +78,39 @@ RECORD_SCHEMAS: dict[str, StructType] = {
     ),
 }
 
+# Columns and types of the Silver tables.
+SILVER_SCHEMAS: dict[str, StructType] = {
+    EVENTS: StructType(
+        [
+            StructField("event_key", StringType()),
+            StructField("visitor_key", StringType()),
+            StructField("media_id", StringType()),
+            StructField("media_name", StringType()),
+            StructField("media_url", StringType()),
+            StructField("received_at", TimestampType()),
+            StructField("ip", StringType()),
+            StructField("country", StringType()),
+            StructField("percent_viewed", DoubleType()),
+        ]
+    ),
+    BY_DATE: StructType(
+        [
+            StructField("media_id", StringType()),
+            StructField("date", DateType()),
+            StructField("load_count", LongType()),
+            StructField("play_count", LongType()),
+            StructField("hours_watched", DoubleType()),
+        ]
+    ),
+    MEDIA_METADATA: StructType(
+        [
+            StructField("media_id", StringType()),
+            StructField("name", StringType()),
+            StructField("created", TimestampType()),
+        ]
+    ),
+}
+
 # Columns and types of the Gold tables. Gold is read back with
 # these: a table without rows, or with null days only, has no types to infer.
 GOLD_SCHEMAS: dict[str, StructType] = {
