@@ -35,6 +35,7 @@ from playlake.operators import reports
 from playlake.operators.bronze import to_bronze
 from playlake.operators.silver import to_silver
 from playlake.plans import incremental, oracle
+from playlake.plans.advance import advance_lake, read_silver
 from playlake.plans.concurrent import run_all
 from playlake.plans.dashboard import dashboard_frames
 from playlake.plans.refresh import (
@@ -52,6 +53,7 @@ from playlake.sources import eventmap, published, schemas
 from playlake.sources.landing import build_envelopes, read_landing, write_landing
 from playlake.sources.layers import read_layer, remove, write_layer
 from playlake.streaming.bronze_stream import start_bronze_stream
+from playlake.streaming.lake_stream import start_lake_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -603,6 +605,69 @@ def _after(mishap: str, table: str) -> Query:
     return run
 
 
+# Silver and Gold kept up with both loads: by ``advance_lake`` after each, and by the
+# stream over the files of both. Each once per (application, sf_dir).
+_ADVANCED: dict[tuple, str] = {}
+
+
+def advanced_lake(spark: SparkSession, sf_dir: str, streamed: bool = False) -> str:
+    """The root of a Silver and a Gold that took in one load after the other."""
+    with _LAKE_LOCK:
+        key = (*_session_key(spark, sf_dir), streamed)
+        if key not in _ADVANCED:
+            landing, root = f"{two_runs(spark, sf_dir)}/landing", scratch_path(spark, "advanced")
+            silver, gold = f"{root}/silver", f"{root}/gold"
+            if streamed:
+                query = start_lake_stream(spark, landing, silver, gold, f"{root}/checkpoint", max_files_per_trigger=60, buckets=4)
+                query.awaitTermination()
+                if query.exception() is not None:
+                    raise query.exception()
+            else:
+                for clock in (FIRST_CLOCK, INCREMENTAL_CLOCK):
+                    advance_lake(spark, landing, silver, gold, clock.ingest_date, clock.version)
+            _ADVANCED[key] = root
+        use_utc(spark)
+        return _ADVANCED[key]
+
+
+def _advanced_silver(endpoint: str) -> Query:
+    """Silver after both loads, upserted: what the full computation over both gives."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(read_silver(spark, f"{advanced_lake(spark, sf_dir)}/silver", endpoint))
+
+    return run
+
+
+def _advanced_gold(table: str, streamed: bool = False) -> Query:
+    """Gold after both loads, recomputed where Silver changed: what the full computation gives."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(load_gold(spark, f"{advanced_lake(spark, sf_dir, streamed)}/gold")[table])
+
+    return run
+
+
+def incremental_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events pull from a source partitioned by the UTC day: only days from the least mark on are read."""
+    sources, media, state = incremental_inputs(spark, sf_dir)
+    with _LAKE_LOCK:
+        lake = _lake(spark, sf_dir)
+        if "by_day" not in lake:
+            path = f"{lake['root']}/by_day"
+            day = F.when(incremental.placeable(), F.to_date(parse_instant("received_at")))
+            sources[schemas.EVENTS].withColumn("day", day).hint("rebalance", "day").write.partitionBy("day").parquet(path)
+            lake["by_day"] = path
+    tracked = state.select("media_id").distinct()  # media with marks: a first run reads from the floor on
+    plan = incremental.plan_load(
+        sources | {schemas.EVENTS: spark.read.parquet(lake["by_day"])}, tracked, state, INCREMENTAL_CLOCK, day_column="day"
+    )
+    pulled, rejected = plan.pulls[schemas.EVENTS], plan.rejected
+    columns = ["media_id", "event_key", "visitor_key", "received_at", "percent_viewed"]
+    tagged = [df.select(*columns, F.lit(tag).alias("taken")) for df, tag in ((pulled, True), (rejected, False))]
+    return portable(tagged[0].unionByName(tagged[1]))
+
+
 def incremental_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The status of a load in which the media with contradicting marks fail."""
     return incremental.run_status(incremental_validation(spark, sf_dir))
@@ -656,6 +721,16 @@ def queries() -> dict[str, Query]:
         "incremental_failed_retry": _after("failed retry", incremental.SUMMARY),
         "incremental_failed_retry_state": _after("failed retry", incremental.STATE),
         "incremental_status": incremental_status,
+        "incremental_pruned": incremental_pruned,
+        "advanced_silver_events": _advanced_silver(schemas.EVENTS),
+        "advanced_silver_by_date": _advanced_silver(schemas.BY_DATE),
+        "advanced_silver_media": _advanced_silver(schemas.MEDIA_METADATA),
+        "advanced_fact": _advanced_gold(FACT),
+        "advanced_dim_media": _advanced_gold(DIM_MEDIA),
+        "advanced_dim_visitor": _advanced_gold(DIM_VISITOR),
+        "streamed_fact": _advanced_gold(FACT, streamed=True),
+        "streamed_dim_media": _advanced_gold(DIM_MEDIA, streamed=True),
+        "streamed_dim_visitor": _advanced_gold(DIM_VISITOR, streamed=True),
     }
 
 

@@ -143,9 +143,8 @@ def _silver_by_date(raw: str) -> str:
 
 
 _cte("silver_by_date", _silver_by_date("raw_by_date"), "raw_by_date")
-_cte(
-    "silver_media",
-    """SELECT media_id, name, created
+def _silver_media(raw: str) -> str:
+    return f"""SELECT media_id, name, created
        FROM (
          SELECT *, row_number() OVER (
            PARTITION BY media_id
@@ -153,54 +152,63 @@ _cte(
                     name DESC NULLS LAST, created DESC NULLS LAST) AS rn
          FROM (
            SELECT hashed_id AS media_id, name, TRY_CAST(created AS TIMESTAMP) AS created, ingest_timestamp
-           FROM raw_media_metadata
+           FROM {raw}
            WHERE hashed_id IS NOT NULL))
-       WHERE rn = 1""",
-    "raw_media_metadata",
-)
-_cte(
-    "dim_media",
-    """SELECT m.media_id, m.name AS title, u.url,
-              CASE WHEN lower(m.name) LIKE '%youtube%' THEN 'Youtube'
-                   WHEN lower(m.name) LIKE '%facebook%' THEN 'Facebook'
-                   ELSE 'Unknown' END AS channel,
-              m.created AS created_at
-       FROM silver_media m
-       LEFT JOIN (
-         SELECT media_id, url FROM (
-           SELECT media_id, media_url AS url,
-                  row_number() OVER (PARTITION BY media_id
-                                     ORDER BY max(received_at) DESC NULLS LAST, media_url DESC) AS rn
-           FROM silver_events WHERE media_url IS NOT NULL
-           GROUP BY media_id, media_url)
-         WHERE rn = 1) u
-         ON u.media_id = m.media_id""",
-    "silver_media", "silver_events",
-)
-_cte(
-    "dim_visitor",
-    """SELECT visitor_key AS visitor_id, ip AS ip_address, country
-       FROM (
-         SELECT *, row_number() OVER (
-           PARTITION BY visitor_key
-           ORDER BY received_at DESC NULLS LAST, event_key DESC NULLS LAST) AS rn
-         FROM silver_events)
-       WHERE rn = 1""",
-    "silver_events",
-)
-_cte(
-    "fact",
-    """SELECT p.media_id, p.visitor_id, p.date, p.play_count, p.watched_percent,
-              CAST(b.play_count AS DOUBLE) / CAST(b.load_count AS DOUBLE) AS play_rate,
-              b.hours_watched AS total_watch_time
-       FROM (
-         SELECT media_id, visitor_key AS visitor_id, CAST(received_at AS DATE) AS date,
-                count(*) AS play_count, avg(percent_viewed) AS watched_percent
-         FROM silver_events
-         GROUP BY media_id, visitor_key, CAST(received_at AS DATE)) p
-       LEFT JOIN silver_by_date b ON b.media_id = p.media_id AND b.date = p.date""",
-    "silver_events", "silver_by_date",
-)
+       WHERE rn = 1"""
+
+
+_cte("silver_media", _silver_media("raw_media_metadata"), "raw_media_metadata")
+
+
+def _gold_ctes(prefix: str = "") -> None:
+    """dim_media, dim_visitor and fact over the Silver tables of the same prefix."""
+    events, by_date, media = (f"{prefix}silver_{t}" for t in ("events", "by_date", "media"))
+    _cte(
+        f"{prefix}dim_media",
+        f"""SELECT m.media_id, m.name AS title, u.url,
+                  CASE WHEN lower(m.name) LIKE '%youtube%' THEN 'Youtube'
+                       WHEN lower(m.name) LIKE '%facebook%' THEN 'Facebook'
+                       ELSE 'Unknown' END AS channel,
+                  m.created AS created_at
+           FROM {media} m
+           LEFT JOIN (
+             SELECT media_id, url FROM (
+               SELECT media_id, media_url AS url,
+                      row_number() OVER (PARTITION BY media_id
+                                         ORDER BY max(received_at) DESC NULLS LAST, media_url DESC) AS rn
+               FROM {events} WHERE media_url IS NOT NULL
+               GROUP BY media_id, media_url)
+             WHERE rn = 1) u
+             ON u.media_id = m.media_id""",
+        media, events,
+    )
+    _cte(
+        f"{prefix}dim_visitor",
+        f"""SELECT visitor_key AS visitor_id, ip AS ip_address, country
+           FROM (
+             SELECT *, row_number() OVER (
+               PARTITION BY visitor_key
+               ORDER BY received_at DESC NULLS LAST, event_key DESC NULLS LAST) AS rn
+             FROM {events})
+           WHERE rn = 1""",
+        events,
+    )
+    _cte(
+        f"{prefix}fact",
+        f"""SELECT p.media_id, p.visitor_id, p.date, p.play_count, p.watched_percent,
+                  CAST(b.play_count AS DOUBLE) / CAST(b.load_count AS DOUBLE) AS play_rate,
+                  b.hours_watched AS total_watch_time
+           FROM (
+             SELECT media_id, visitor_key AS visitor_id, CAST(received_at AS DATE) AS date,
+                    count(*) AS play_count, avg(percent_viewed) AS watched_percent
+             FROM {events}
+             GROUP BY media_id, visitor_key, CAST(received_at AS DATE)) p
+           LEFT JOIN {by_date} b ON b.media_id = p.media_id AND b.date = p.date""",
+        events, by_date,
+    )
+
+
+_gold_ctes()
 _cte("inc_events_src", f"SELECT * FROM raw_events WHERE NOT {UNPLACED}", "raw_events")
 _cte(
     "inc_rejected",
@@ -291,6 +299,15 @@ _cte(
 )
 _cte("two_silver_events", _silver_events("two_events"), "two_events")
 _cte("two_silver_by_date", _silver_by_date("two_by_date"), "two_by_date")
+_cte(
+    "two_meta",
+    f"""SELECT * REPLACE ('{INC_SPLIT}T06:00:00+00:00' AS ingest_timestamp) FROM inc_meta
+        UNION ALL
+        SELECT * REPLACE ('{INC_TODAY}T06:00:00+00:00' AS ingest_timestamp) FROM inc_meta""",
+    "inc_meta",
+)
+_cte("two_silver_media", _silver_media("two_meta"), "two_meta")
+_gold_ctes("two_")
 
 
 def _resolve(needs: tuple[str, ...]) -> list[str]:
@@ -602,6 +619,32 @@ def oracle_sql() -> dict[str, str]:
         ).replace("round(a.avg_watched_percent, 6)", "round(a.avg_watched_percent * 100.0, 6)").replace(
             "round(t.avg_watched_percent, 6)", "round(t.avg_watched_percent * 100.0, 6)"
         )
+    sql["advanced_silver_events"] = sql["incremental_two_runs_silver"]
+    sql["advanced_silver_by_date"] = sql["incremental_two_runs_by_date"]
+    sql["advanced_silver_media"] = with_ctes(
+        f"SELECT media_id, name, {instant('created', 'created')} FROM two_silver_media", "two_silver_media"
+    )
+    for kept in ("advanced", "streamed"):
+        sql[f"{kept}_fact"] = with_ctes(
+            f"""SELECT media_id, visitor_id, {day('date', 'date')}, play_count,
+                       {r6('watched_percent', 'watched_percent')}, {r6('play_rate', 'play_rate')},
+                       {r6('total_watch_time', 'total_watch_time')}
+                FROM two_fact""",
+            "two_fact",
+        )
+        sql[f"{kept}_dim_media"] = with_ctes(
+            f"SELECT media_id, title, url, channel, {instant('created_at', 'created_at')} FROM two_dim_media", "two_dim_media"
+        )
+        sql[f"{kept}_dim_visitor"] = with_ctes("SELECT visitor_id, ip_address, country FROM two_dim_visitor", "two_dim_visitor")
+    tracked = "media_id IN (SELECT media_id FROM inc_state)"
+    sql["incremental_pruned"] = with_ctes(
+        f"""SELECT media_id, event_key, visitor_key, received_at, {r6('percent_viewed', 'percent_viewed')}, TRUE AS taken
+            FROM inc_events WHERE {tracked}
+            UNION ALL
+            SELECT media_id, event_key, visitor_key, received_at, {r6('percent_viewed', 'percent_viewed')}, FALSE
+            FROM raw_events WHERE {UNPLACED} AND {tracked}""",
+        "inc_events", "inc_state", "raw_events",
+    )
     sql["landed_fact"] = sql["fact_engagement"]
     sql["landed_dim_media"] = sql["dim_media"]
     sql["landed_dim_visitor"] = sql["dim_visitor"]

@@ -144,3 +144,64 @@ def test_empty_loads(spark, lake_dir):
     advance.advance_silver(spark, _frames(spark, rows), f"{lake_dir}/s", "v2")
     advance.advance_gold(spark, f"{lake_dir}/s", f"{lake_dir}/g", "v2")
     _check(spark, f"{lake_dir}/s", f"{lake_dir}/g", rows)
+
+
+# --- the same as one stream -------------------------------------------------------
+
+
+def _land(spark, rows, landing):
+    from playlake.sources.landing import build_envelopes, write_landing
+
+    for e, df in _frames(spark, rows).items():
+        write_landing(build_envelopes(df.where("ingest_timestamp is not null"), e), e, landing)
+
+
+def test_stream_with_failures_equals_the_full_tables(spark, lake_dir, monkeypatch):
+    """A batch that fails before or after Silver's commit is replayed: nothing is lost, nothing counts twice."""
+    from playlake.streaming import lake_stream
+
+    r = random.Random(6)
+    landing, silver_root, gold_root = (f"{lake_dir}/{n}" for n in ("landing", "silver", "gold"))
+    seen = {e: [] for e in schemas.ENDPOINTS}
+
+    def stream():
+        query = lake_stream.start_lake_stream(spark, landing, silver_root, gold_root, f"{lake_dir}/checkpoint", buckets=4)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("injected")
+
+    for run, step in enumerate(("none", "advance_silver", "advance_gold"), 1):
+        new = _run(r, run, 30)
+        _land(spark, new, landing)
+        for e in seen:
+            stamp_at = -3
+            seen[e] += [row for row in new[e] if row[stamp_at] is not None]
+        if step != "none":
+            with monkeypatch.context() as broken:
+                broken.setattr(lake_stream, step, fail)
+                with pytest.raises(Exception, match="injected"):
+                    stream()
+        stream()
+        _check(spark, silver_root, gold_root, seen)
+    versions = published.newest(spark, silver_root)
+    assert (versions.version, versions.attempt) == (lake_stream.batch_version(2), 1)
+    stream()  # no new file: no batch
+    assert published.newest(spark, silver_root).id == versions.id
+
+
+def test_a_replayed_batch_changes_nothing(spark, lake_dir):
+    from pyspark.sql import functions as F
+
+    from playlake.streaming import lake_stream
+
+    rows = _frames(spark, _run(random.Random(7), 1, 20))
+    batch = None
+    for e, df in rows.items():
+        tagged = df.withColumn("__endpoint", F.lit(e))
+        batch = tagged if batch is None else batch.unionByName(tagged, allowMissingColumns=True)
+    for _ in range(2):
+        lake_stream.take_batch(batch, 3, f"{lake_dir}/s", f"{lake_dir}/g")
+    assert published.newest(spark, f"{lake_dir}/s").attempt == published.newest(spark, f"{lake_dir}/g").attempt == 1
