@@ -42,6 +42,7 @@ from playlake.operators.bronze import to_bronze
 from playlake.operators.latest import latest_per_key
 from playlake.operators.silver import REFINEMENTS, latest, screen
 from playlake.plans.concurrent import run_all
+from playlake.plans.incremental import landed_runs
 from playlake.session import scratch_path, use_utc
 from playlake.sources import published, schemas
 from playlake.sources.landing import read_landing
@@ -333,13 +334,23 @@ def advance_gold(spark: SparkSession, silver_root: str, gold_root: str, version:
 
 
 def advance_lake(
-    spark: SparkSession, landing_root: str, silver_root: str, gold_root: str, ingest_date: str, version: str
-) -> tuple[Snapshot, Snapshot]:
-    """Take the pulls landed on ``ingest_date`` into Silver, and Silver's changes into Gold.
-
-    Only that day's landing folders are listed and read. Repeating it, or a day
-    taken in before, changes no row.
+    spark: SparkSession, landing_root: str, state_root: str, silver_root: str, gold_root: str, until: str | None = None
+) -> Snapshot | None:
+    """Take the runs that landed since the last time into Silver, and Silver's changes into Gold.
+
+    The runs are those committed after Silver's version (``until``: no later ones);
+    only their landing folders are listed and read. Without a new run Gold still
+    catches up with Silver, where an earlier call failed between the two. Returns
+    Gold's snapshot, or None if nothing has landed yet.
     """
-    new = {e: to_bronze(read_landing(spark, e, landing_root, ingest_date=ingest_date)) for e in schemas.ENDPOINTS}
-    silver = advance_silver(spark, new, silver_root, version)
-    return silver, advance_gold(spark, silver_root, gold_root, version)
+    last = published.newest(spark, silver_root)
+    landed = landed_runs(spark, state_root, last.version if last else None)
+    runs = {version: folder for version, folder in landed.items() if until is None or version <= until}
+    if not runs and last is None:
+        return None
+    version = max(runs) if runs else last.version
+    if runs:
+        folders = list(runs.values())
+        new = {e: to_bronze(read_landing(spark, e, landing_root, runs=folders)) for e in schemas.ENDPOINTS}
+        advance_silver(spark, new, silver_root, version)
+    return advance_gold(spark, silver_root, gold_root, version)

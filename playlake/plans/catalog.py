@@ -278,13 +278,13 @@ def bronze_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(to_bronze(envelopes))
 
 
-def landed_counts(spark: SparkSession, landing_root: str) -> DataFrame:
+def landed_counts(spark: SparkSession, landing_root: str, runs: list[str] | None = None) -> DataFrame:
     """Per (endpoint, pull): records announced by the envelope headers, rows the
     flatten gives back, and whether an empty pull landed. One scan per endpoint:
     an envelope's header counts at its first record, or alone if it has none."""
     parts = []
     for endpoint in schemas.ENDPOINTS:
-        flat = read_landing(spark, endpoint, landing_root).select(
+        flat = read_landing(spark, endpoint, landing_root, runs=runs).select(
             F.lit(endpoint).alias("endpoint"),
             *[F.col(f"ingestion_metadata.{c}").alias(c) for c in schemas.LINEAGE],
             F.col("ingestion_metadata.record_count").alias("announced"),
@@ -595,6 +595,12 @@ def incremental_two_runs_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(incremental.read_state(spark, f"{two_runs(spark, sf_dir)}/state"))
 
 
+def landing_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the committed runs landed, each read from its own folder, after failed retries of the first."""
+    root = two_runs(spark, sf_dir, "failed retry")
+    return landed_counts(spark, f"{root}/landing", list(incremental.landed_runs(spark, f"{root}/state").values()))
+
+
 def _after(mishap: str, table: str) -> Query:
     """What the second load published after a mishap of the first: as if that had run once."""
 
@@ -615,7 +621,8 @@ def advanced_lake(spark: SparkSession, sf_dir: str, streamed: bool = False) -> s
     with _LAKE_LOCK:
         key = (*_session_key(spark, sf_dir), streamed)
         if key not in _ADVANCED:
-            landing, root = f"{two_runs(spark, sf_dir)}/landing", scratch_path(spark, "advanced")
+            loads, root = two_runs(spark, sf_dir), scratch_path(spark, "advanced")
+            landing = f"{loads}/landing"
             silver, gold = f"{root}/silver", f"{root}/gold"
             if streamed:
                 query = start_lake_stream(spark, landing, silver, gold, f"{root}/checkpoint", max_files_per_trigger=60, buckets=4)
@@ -624,7 +631,7 @@ def advanced_lake(spark: SparkSession, sf_dir: str, streamed: bool = False) -> s
                     raise query.exception()
             else:
                 for clock in (FIRST_CLOCK, INCREMENTAL_CLOCK):
-                    advance_lake(spark, landing, silver, gold, clock.ingest_date, clock.version)
+                    advance_lake(spark, landing, f"{loads}/state", silver, gold, until=clock.version)
             _ADVANCED[key] = root
         use_utc(spark)
         return _ADVANCED[key]
@@ -722,6 +729,7 @@ def queries() -> dict[str, Query]:
         "incremental_failed_retry_state": _after("failed retry", incremental.STATE),
         "incremental_status": incremental_status,
         "incremental_pruned": incremental_pruned,
+        "landing_by_run": landing_by_run,
         "advanced_silver_events": _advanced_silver(schemas.EVENTS),
         "advanced_silver_by_date": _advanced_silver(schemas.BY_DATE),
         "advanced_silver_media": _advanced_silver(schemas.MEDIA_METADATA),

@@ -76,6 +76,8 @@ SUMMARY_COLUMNS = ("media_id", *schemas.ENDPOINTS, "rejected", "error")
 AMBIGUOUS_MARK = "the state has several marks for one endpoint"
 #: Tables that a run publishes with its state.
 STATE, REJECTED, SUMMARY = "state", "rejected", "summary"
+#: Note of a commit: the landing folder (``run=…``) of the attempt's pulls.
+LANDED = "landed"
 
 
 @dataclass(frozen=True)
@@ -161,6 +163,15 @@ def save_state(state: DataFrame, state_root: str, version: str) -> None:
     attempt.commit(attempt.written(STATE), {STATE: rows})
 
 
+def landed_runs(spark: SparkSession, state_root: str, after: str | None = None) -> dict[str, str]:
+    """Runs that were committed, oldest first, and the landing folder of each (``after``: later runs).
+
+    The manifest of the landing tree: what an attempt that failed has left there is
+    in a folder of its own, which no commit names.
+    """
+    return published.noted(spark, state_root, LANDED, after)
+
+
 def _marks(state: DataFrame, endpoint: str, column: str) -> DataFrame:
     """One mark per media, however many rows the state has for it."""
     return state.where(F.col("endpoint") == endpoint).groupBy("media_id").agg(F.max(column).alias(column))
@@ -416,6 +427,7 @@ def run_load(
                 build_envelopes(_with_run(records, clock), e, pulls=pulls_made, **sizing),
                 e,
                 landing_root,
+                attempt.id,
             )
             for e, records in staged.items()
         }
@@ -427,6 +439,6 @@ def run_load(
         SUMMARY: write_layer(summary, attempt.path, attempt.folder(SUMMARY)),
         STATE: write_state(new_state, attempt),
     }
-    done = attempt.commit([part for name in rows for part in attempt.written(name)], rows)
+    done = attempt.commit([part for name in rows for part in attempt.written(name)], rows, notes={LANDED: attempt.id})
     remove(spark, stage_root)
     return done.read(spark, SUMMARY)

@@ -399,21 +399,34 @@ def _layer_counts() -> str:
     return with_ctes(select, *{p[2] for p in parts})
 
 
-def _incremental_landing() -> str:
+def _landed_pulls(run_day: str, **pulled: str) -> str:
     """Every loaded media lands one pull per endpoint, stamped with the run's date."""
-    per_endpoint = " UNION ALL ".join(
-        f"""SELECT '{endpoint}' AS endpoint, m.media_id, '{INC_TODAY}' AS ingest_date,
-                   '{INC_TODAY}T06:00:00+00:00' AS ingest_timestamp,
+    return " UNION ALL ".join(
+        f"""SELECT '{endpoint}' AS endpoint, m.media_id, '{run_day}' AS ingest_date,
+                   '{run_day}T06:00:00+00:00' AS ingest_timestamp,
                    CAST(coalesce(c.n, 0) AS BIGINT) AS records,
                    CAST(coalesce(c.n, 0) AS BIGINT) AS bronze_rows,
                    coalesce(c.n, 0) = 0 AS empty_pull
             FROM inc_media m
             LEFT JOIN (SELECT media_id, count(*) AS n FROM {cte} GROUP BY media_id) c
               ON c.media_id = m.media_id"""
-        for endpoint, cte in (("events", "inc_events"), ("by_date", "inc_by_date"),
-                              ("media_metadata", "inc_meta"))
+        for endpoint, cte in pulled.items()
+    )
+
+
+def _incremental_landing() -> str:
+    pulls = _landed_pulls(INC_TODAY, events="inc_events", by_date="inc_by_date", media_metadata="inc_meta")
+    return with_ctes(pulls, "inc_media", "inc_events", "inc_by_date", "inc_meta")
+
+
+def _landing_by_run() -> str:
+    first = f"(SELECT * FROM inc_by_date WHERE TRY_CAST(date AS DATE) < DATE '{INC_SPLIT}')"
+    pulls = (
+        _landed_pulls(INC_SPLIT, events="two_first", by_date=first, media_metadata="inc_meta"),
+        _landed_pulls(INC_TODAY, events="two_second", by_date="two_by_date_second", media_metadata="inc_meta"),
     )
-    return with_ctes(per_endpoint, "inc_media", "inc_events", "inc_by_date", "inc_meta")
+    needs = ("inc_media", "two_first", "two_second", "inc_by_date", "two_by_date_second", "inc_meta")
+    return with_ctes(" UNION ALL ".join(pulls), *needs)
 
 
 def _summary(events: str, by_date: str, meta: str, failed: str = "FALSE") -> str:
@@ -576,6 +589,7 @@ def oracle_sql() -> dict[str, str]:
     sql["incremental_run"] = sql["load_summary"]
     sql["incremental_state"] = sql["state_advance"]
     sql["incremental_landing"] = _incremental_landing()
+    sql["landing_by_run"] = _landing_by_run()
     sql["incremental_validation"] = _summary(
         "inc_events", "inc_by_date", "inc_meta", f"CAST(substr(m.media_id, 2) AS INTEGER) < {INC_AMBIGUOUS_BELOW}"
     )

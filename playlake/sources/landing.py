@@ -1,8 +1,10 @@
 """Landing zone: JSON envelopes, one per (endpoint, media, run, chunk).
 
-Layout: ``<root>/<endpoint>/media_id=<id>/ingest_date=<YYYY-MM-DD>/part-*.json``,
+Layout: ``<root>/<endpoint>[/run=<name>]/media_id=<id>/ingest_date=<YYYY-MM-DD>/part-*.json``,
 append-only; every write job adds new files, so re-landed records are kept and
-de-duplicated later by Silver.
+de-duplicated later by Silver. With a run's name, its files lie in a folder of their
+own: whoever knows which runs were committed (``incremental.landed_runs``) reads
+those folders and lists nothing else of the tree.
 
 Sink (``build_envelopes`` + ``write_landing``)
   * Records land whole: every column of the pulled frame but the pull keys, with
@@ -32,6 +34,8 @@ that does not fit its declared type is null.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -121,8 +125,8 @@ def build_envelopes(
     return chunked.select(header.alias("ingestion_metadata"), "records")
 
 
-def write_landing(envelopes: DataFrame, endpoint: str, landing_root: str) -> None:
-    """Append envelopes under ``<root>/<endpoint>/media_id=…/ingest_date=…``."""
+def write_landing(envelopes: DataFrame, endpoint: str, landing_root: str, run: str | None = None) -> None:
+    """Append envelopes under ``<root>/<endpoint>[/run=…]/media_id=…/ingest_date=…``."""
     out = envelopes.select(
         "ingestion_metadata",
         "records",
@@ -133,22 +137,28 @@ def write_landing(envelopes: DataFrame, endpoint: str, landing_root: str) -> Non
         out.write.mode("append")
         .option("maxRecordsPerFile", 1)
         .partitionBy("media_id", "ingest_date")
-        .json(layer_path(landing_root, endpoint))
+        .json(_folder(landing_root, endpoint, run))
     )
 
 
+def _folder(landing_root: str, endpoint: str, run: str | None) -> str:
+    return layer_path(landing_root, f"{endpoint}/run={run}" if run else endpoint)
+
+
 def read_landing(
     spark: SparkSession,
     endpoint: str,
     landing_root: str,
     record_schema: StructType | None = None,
-    ingest_date: str | None = None,
+    runs: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every envelope of ``endpoint`` under ``landing_root``.
 
     ``record_schema``: the record fields to read (default: the declared ones).
-    ``ingest_date``: only pulls of that day; no other day's folders are listed.
+    ``runs``: only what these runs landed; no other folder is listed.
     """
     schema = schemas.envelope(record_schema) if record_schema else schemas.ENVELOPES[endpoint]
-    of_day = f"/media_id=*/ingest_date={ingest_date}" if ingest_date else ""
-    return spark.read.schema(schema).options(**schemas.ENVELOPE_OPTIONS).json(layer_path(landing_root, endpoint) + of_day)
+    if runs is not None and not runs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    folders = [_folder(landing_root, endpoint, run) for run in runs or [None]]
+    return spark.read.schema(schema).options(**schemas.ENVELOPE_OPTIONS).json(folders)

@@ -118,6 +118,17 @@ def newest(spark: SparkSession, root: str, before: str | None = None) -> Snapsho
     )
 
 
+def noted(spark: SparkSession, root: str, note: str, after: str | None = None) -> dict[str, str]:
+    """Committed versions (``after``: newer ones) and what their last attempt noted, oldest first."""
+    commits = _commits(spark, root)
+    if commits is None:
+        return {}
+    if after is not None:
+        commits = commits.where(F.col("version") > after)
+    last = commits.groupBy("version").agg(F.max_by(F.col("notes")[note], F.struct("attempt", "id")).alias("note"))
+    return {r["version"]: r["note"] for r in last.where("note is not null").orderBy("version").collect()}
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

@@ -205,3 +205,48 @@ def test_a_replayed_batch_changes_nothing(spark, lake_dir):
     for _ in range(2):
         lake_stream.take_batch(batch, 3, f"{lake_dir}/s", f"{lake_dir}/g")
     assert published.newest(spark, f"{lake_dir}/s").attempt == published.newest(spark, f"{lake_dir}/g").attempt == 1
+
+
+# --- runs of the incremental load, by their landing folders ------------------------
+
+
+def test_lake_follows_the_committed_runs(spark, lake_dir, monkeypatch):
+    """Each call takes in what was committed since the last, from those runs' folders; a failed attempt's files are not read."""
+    import datetime as dt
+
+    from playlake.plans import incremental as inc
+    from playlake.sources.landing import read_landing
+    from test_incremental import ev, media, sources
+
+    landing, state, silver, gold = (f"{lake_dir}/{n}" for n in ("landing", "state", "silver", "gold"))
+    assert advance.advance_lake(spark, landing, state, silver, gold) is None
+    clocks = [inc.RunClock(dt.date(2024, 1, 1), dt.date(2024, 1, d), f"2024-01-{d}T06:00:00+00:00") for d in (20, 21, 22)]
+    rows = [ev("m1", f"2024-01-{d}T01:00:00Z", f"e{d}") for d in (19, 20, 21)]
+
+    def load(n):
+        inc.run_load(spark, sources(spark, rows[:n], by_date=[("m1", "2024-01-19", 3, 1, 0.1)]), media(spark, "m1"), landing, state, clocks[n - 1])
+
+    load(1)
+    advance.advance_lake(spark, landing, state, silver, gold)
+    first = published.newest(spark, silver)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("injected")
+
+    with monkeypatch.context() as broken:  # lands its pulls, then fails
+        broken.setattr(inc, "summarize", fail)
+        with pytest.raises(RuntimeError):
+            load(2)
+    advance.advance_lake(spark, landing, state, silver, gold)
+    assert published.newest(spark, silver).id == first.id and advance.read_silver(spark, silver, schemas.EVENTS).count() == 1
+    load(2)
+    load(3)
+    runs = inc.landed_runs(spark, state)
+    assert list(runs) == [c.version for c in clocks]
+    files = read_landing(spark, schemas.EVENTS, landing, runs=list(runs.values())[1:]).inputFiles()
+    assert files and all(any(f"/run={r}/" in f for r in list(runs.values())[1:]) for f in files)
+    assert read_landing(spark, schemas.EVENTS, landing, runs=[]).count() == 0
+    assert advance.advance_lake(spark, landing, state, silver, gold, until=clocks[1].version).version == clocks[1].version
+    advance.advance_lake(spark, landing, state, silver, gold)
+    assert sorted(r["event_key"] for r in advance.read_silver(spark, silver, schemas.EVENTS).collect()) == ["e19", "e20", "e21"]
+    assert refresh.load_gold(spark, gold)[schemas.FACT_MEDIA_ENGAGEMENT].count() == 3

@@ -72,3 +72,9 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["media_id", "plays", "unique_visitors", "avg_watched_percent", "title", "channel"]
+
+
+def test_pruned_source_is_read_by_day(spark):
+    """The days before the least mark are not read for the pull, and only the null day for the rejects."""
+    plan = plan_text(catalog.queries()["incremental_pruned"](spark, SF_SMALL))
+    assert plan.count("PartitionFilters: [isnotnull(day") == 1 and plan.count("PartitionFilters: [isnull(day") == 1
