@@ -14,6 +14,10 @@ makes up ``MIN_SHARE`` of the language's n-grams (so at most 1/MIN_SHARE per
 language and order are) and is not ``RATIO`` times commoner elsewhere. Prediction
 runs over every whole text, in the scan's own tasks, without a shuffle.
 
+Languages are rows while fitting (language, n-gram, count) and become bits only in
+the last aggregate, so their number is free. The model, which is held by the driver
+and broadcast, has 8 MB per 64 languages whatever the size of the corpus.
+
 Defined results
   * null text, empty text or one without a letter: ``und``, score 0; no n-gram
     known: the language with most sample n-grams, score 0; ties: the first
@@ -31,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.llm import _kernel as k
@@ -43,7 +47,12 @@ SLOTS, HASHES = 1 << 20, 3
 PER_LANGUAGE = 3_000
 MIN_SHARE = 2e-5
 RATIO = 12.0
-_PASS = 256 << 10
+#: Up to this many languages are counted one by one, more by the bits that are set.
+FEW = 16
+#: Languages (rows of a few dozen bytes) up to which their table is broadcast.
+BROADCAST_LANGUAGES = 100_000
+#: Text bytes of one pass; texts times languages whose counts are held at once.
+_PASS, _CELLS = 256 << 10, 2_000_000
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(128)]
@@ -99,10 +108,18 @@ def fit(
     languages = tuple(sorted(count))
     if not languages:
         return Model((), np.zeros((1, slots), np.uint8), np.zeros(0))
-    number = F.create_map(*(x for i, name in enumerate(languages) for x in (F.lit(name), F.lit(i))))
-    share = F.create_map(*(x for name in languages for x in (F.lit(name), F.lit(min(1.0, per_language / count[name])))))
-    drawn = F.pmod(F.xxhash64(F.lit("lang"), "_id"), F.lit(1_000_000)) < F.element_at(share, F.col("_lang")) * 1_000_000
-    sample = known.where(drawn).select(F.element_at(number, F.col("_lang")).alias("language"), F.col("_text").alias("text"))
+
+    def numbered(values: list, schema: str) -> DataFrame:
+        """One row per language; without the hint where a column of many values would make it large."""
+        rows = spark.createDataFrame(values, schema)
+        return F.broadcast(rows) if len(values) <= BROADCAST_LANGUAGES else rows
+
+    numbers = numbered(
+        [(name, i, min(1.0, per_language / count[name])) for i, name in enumerate(languages)],
+        "_lang string, language int, share double",
+    )
+    drawn = F.pmod(F.xxhash64(F.lit("lang"), "_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000
+    sample = known.join(numbers, "_lang").where(drawn).select("language", F.col("_text").alias("text"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,32 +136,33 @@ def fit(
                     names=["language", "code", "n"],
                 )
 
-    tallies = (
-        sample.mapInArrow(tally, "language int, code long, n long")
-        .groupBy("code")
-        .agg(*(F.sum(F.when(F.col("language") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(languages))))
-    ).persist()
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.asarray(batch.column("code")).view(np.uint64)
+            for at in _places(codes, slots, hashes):
+                yield pa.record_batch([batch.column("word"), pa.array(at), batch.column("mask")], names=["word", "slot", "mask"])
+
+    # One row per language and n-gram; languages stay rows until they are bits.
+    tallies = sample.mapInArrow(tally, "language int, code long, n long").groupBy("language", "code").agg(F.sum("n").alias("n")).persist()
     try:
-        total = np.array(tallies.agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(len(languages)))).first() or [0], float)
-        total = np.maximum(np.nan_to_num(total), 1.0)
-        rates = [F.col(f"n{i}") / F.lit(float(total[i])) for i in range(len(languages))]
-        most = F.greatest(*rates) if len(rates) > 1 else rates[0]
-        masks = [F.lit(0).cast("long") for _ in range(0, len(languages), 64)]
-        for i, rate in enumerate(rates):
-            bit = np.int64(np.uint64(1 << i % 64).astype(np.int64)).item()
-            some = F.when((rate >= MIN_SHARE) & (rate * RATIO >= most), F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long"))
-            masks[i // 64] = masks[i // 64].bitwiseOR(some)
-        entered = tallies.select("code", *(m.alias(f"mask{w}") for w, m in enumerate(masks)))
-        entered = entered.where(" or ".join(f"mask{w} != 0" for w in range(len(masks)))).toPandas()
+        total = np.ones(len(languages))
+        for r in tallies.groupBy("language").agg(F.sum("n").alias("n")).collect():
+            total[r["language"]] = max(r["n"], 1)
+        totals = numbered([(i, float(n)) for i, n in enumerate(total)], "language int, total double")
+        rates = tallies.join(totals, "language").select("language", "code", (F.col("n") / F.col("total")).alias("rate"))
+        rates = rates.withColumn("most", F.max("rate").over(Window.partitionBy("code")))
+        entered = (
+            rates.where((F.col("rate") >= MIN_SHARE) & (F.col("rate") * RATIO >= F.col("most")))
+            .groupBy("code", F.floor(F.col("language") / 64).cast("int").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, language % 64)")).alias("mask"))
+        )
+        # The filter's own words, so at most ``slots`` rows per 64 languages.
+        filled = entered.mapInArrow(place, "word int, slot long, mask long").groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     finally:
         tallies.unpersist()
     kind = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if min(len(languages), 64) <= bits)
-    table = np.zeros((len(masks), slots), kind)
-    codes = entered["code"].to_numpy(np.int64).view(np.uint64)
-    bits = [entered[f"mask{w}"].to_numpy(np.int64).view(np.uint64).astype(kind) for w in range(len(masks))]
-    for place in _places(codes, slots, hashes):
-        for words, own in zip(table, bits, strict=True):
-            np.bitwise_or.at(words, place, own)
+    table = np.zeros((-(-len(languages) // 64), slots), kind)
+    table[filled["word"].to_numpy(), filled["slot"].to_numpy()] = filled["mask"].to_numpy().view(np.uint64).astype(kind)
     fill = np.array([np.count_nonzero(table[i // 64] & kind(1 << i % 64)) / slots for i in range(len(languages))])
     return Model(languages, table, fill**hashes, int(np.argmax(total)))
 
@@ -164,12 +182,25 @@ def hits(raw: np.ndarray, bounds: np.ndarray, model: Model, hashes: int = HASHES
             # no n-gram reaches into the next text
             last = np.maximum(at[1:] - order + 1, at[:-1])
             total[a:b] += last - at[:-1]
-            for i in range(len(model.languages)):
-                if i % 64 == 0:
-                    word = np.bitwise_and.reduce([model.slots[i // 64][place] for place in places])
-                sums = np.zeros(len(code) + 1, np.int64)
-                np.cumsum((word >> word.dtype.type(i % 64)) & word.dtype.type(1), out=sums[1:], dtype=np.int64)
-                found[a:b, i] += sums[np.minimum(last, len(code))] - sums[np.minimum(at[:-1], len(code))]
+            of_text = None
+            for w, words in enumerate(model.slots):
+                word = np.bitwise_and.reduce([words[place] for place in places])
+                own = range(64 * w, min(64 * w + 64, len(model.languages)))
+                if len(model.languages) <= FEW:
+                    for i in own:
+                        sums = np.zeros(len(code) + 1, np.int64)
+                        np.cumsum((word >> word.dtype.type(i % 64)) & word.dtype.type(1), out=sums[1:], dtype=np.int64)
+                        found[a:b, i] += sums[np.minimum(last, len(code))] - sums[np.minimum(at[:-1], len(code))]
+                    continue
+                # many languages: an n-gram is in few of them, so work per set bit
+                if of_text is None:
+                    of_text = np.repeat(np.arange(b - a), np.diff(at))[: len(code)]
+                    inside = np.arange(len(code)) < last[of_text]
+                some = np.flatnonzero((word != 0) & inside)
+                bits = np.unpackbits(word[some].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                row, bit = np.nonzero(bits)
+                pairs = np.bincount(of_text[some[row]] * 64 + bit, minlength=(b - a) * 64).reshape(b - a, 64)
+                found[a:b, own.start : own.stop] += pairs[:, : len(own)]
     return found, total
 
 
@@ -177,7 +208,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", id_col: str =
     """One row per document: doc_id, held_out, lang_pred, score (the winner's part of the corrected shares)."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)  # SLOTS words: a fixed size
+    shared = spark.sparkContext.broadcast(model)  # SLOTS words of up to 8 bytes per 64 languages
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         held_out(F.col(id_col)).alias("held_out"),
@@ -193,14 +224,17 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", id_col: str =
             letter = np.asarray(batch.column("letter").cast(pa.uint8())).astype(bool)
             n = batch.num_rows
             best, score = np.full(n, len(m.languages)), np.zeros(n)
-            if m.languages and n:
-                found, total = hits(raw, bounds, m)
+            step = max(1, _CELLS // max(1, len(m.languages)))
+            for a in range(0, n if m.languages else 0, step):
+                own = slice(a, min(a + step, n))
+                low = bounds[a]
+                found, total = hits(raw[low : bounds[own.stop]], bounds[a : own.stop + 1] - low, m)
                 part = found / np.maximum(total, 1)[:, None]
                 part = np.clip((part - m.false_positive) / np.maximum(1 - m.false_positive, 1e-9), 0.0, 1.0)
                 all_ = part.sum(axis=1)
                 first = np.where(all_ > 0, np.argmax(part, axis=1), m.default)
-                best = np.where(letter, first, len(m.languages))
-                score = np.where(letter & (all_ > 0), part.max(axis=1) / np.maximum(all_, 1e-12), 0.0)
+                best[own] = np.where(letter[own], first, len(m.languages))
+                score[own] = np.where(letter[own] & (all_ > 0), part.max(axis=1) / np.maximum(all_, 1e-12), 0.0)
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
                 names=["doc_id", "held_out", "lang_pred", "score"],

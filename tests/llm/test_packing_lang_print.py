@@ -136,6 +136,101 @@ def test_filter_returns_all_languages_of_an_ngram(spark):
     assert (model.false_positive < 0.05).all()
 
 
+def _plain_languages(learned, asked, slots, hashes):
+    """The filter by dicts and sets of Python: hits, corrected verdict and score of each text."""
+
+    def grams(text):
+        folded = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in text.encode())
+        return [(order, folded[i : i + order]) for order in lang_filter.ORDERS for i in range(len(folded) - order + 1)]
+
+    def places(gram):
+        code = int.from_bytes(bytes([gram[0]]) + gram[1], "big") & (2**64 - 1)
+        shift = 64 - (slots.bit_length() - 1)
+        return [(code * int(m) & (2**64 - 1)) >> shift for m in lang_filter._MULTIPLIERS[:hashes]]
+
+    counts = {}
+    for text, lang in learned:
+        own = counts.setdefault(lang, {})
+        for g in grams(text):
+            own[g] = own.get(g, 0) + 1
+    total = {lang: max(1, sum(own.values())) for lang, own in counts.items()}
+    most, filled = {}, {}
+    for lang, own in counts.items():
+        for g, n in own.items():
+            most[g] = max(most.get(g, 0.0), n / total[lang])
+    for lang, own in counts.items():
+        for g, n in own.items():
+            if n / total[lang] >= lang_filter.MIN_SHARE and n / total[lang] * lang_filter.RATIO >= most[g]:
+                for at in places(g):
+                    filled.setdefault(at, set()).add(lang)
+    languages = sorted(counts)
+    chance = {lang: (sum(lang in own for own in filled.values()) / slots) ** hashes for lang in languages}
+    out = []
+    for text in asked:
+        own = grams(text)
+        found = dict.fromkeys(languages, 0)
+        for g in own:
+            for lang in set.intersection(*(filled.get(at, set()) for at in places(g))):
+                found[lang] += 1
+        part = [min(1.0, max(0.0, (found[x] / max(1, len(own)) - chance[x]) / max(1 - chance[x], 1e-9))) for x in languages]
+        best = max(languages, key=lambda x: (total[x], -languages.index(x))) if sum(part) == 0 else languages[part.index(max(part))]
+        if not any(c.isalpha() for c in text):
+            best, part = "und", [0.0]
+        out.append(([found[x] for x in languages], best, max(part) / max(sum(part), 1e-12)))
+    return languages, out
+
+
+@pytest.mark.parametrize("many", [5, 16, 17, 64, 130])
+def test_filter_equals_plain_sets(spark, many):
+    """Hits, correction and verdict against dicts and sets, in a filter small enough for false positives."""
+    import zlib
+
+    r = random.Random(many)
+    stems = ["".join(r.choice("abcdefgij éßжλ漢") for _ in range(r.randint(2, 6))) for _ in range(60)]
+    rows = []
+    for i in range(3 * many):
+        own = random.Random(i % many).sample(stems, 12)
+        rows.append((7 * i, " ".join(r.choice(own) for _ in range(r.randint(1, 40))), f"l{i % many:03}"))
+    rows += rows[:5] + [(9001, "", "l000"), (9002, "1 2!", "l001"), (9003, "XYZ", None), (9004, "qqqqqq", None)]
+    rows += [(9005, "".join(stems) * 100, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    slots, hashes = 1 << 13, 2
+    model = lang_filter.fit(docs, slots=slots, hashes=hashes)
+    learned = [(t, lang) for i, t, lang in rows if lang is not None and zlib.crc32(str(i).encode()) % 3 != 1]
+    languages, want = _plain_languages(learned, [t for _, t, _ in rows], slots, hashes)
+    assert list(model.languages) == languages
+    raw = np.frombuffer("".join(t for _, t, _ in rows).encode(), np.uint8)
+    bounds = np.cumsum([0, *(len(t.encode()) for _, t, _ in rows)])
+    found, _ = lang_filter.hits(raw, bounds, model, hashes)
+    assert found.tolist() == [w[0] for w in want]
+    # the query's own number of hashes: verdict and score
+    model = lang_filter.fit(docs, slots=slots)
+    _, want = _plain_languages(learned, [t for _, t, _ in rows], slots, lang_filter.HASHES)
+    got = sorted((x.doc_id, x.lang_pred, round(x.score, 9)) for x in lang_filter.predict(docs, model).collect())
+    assert got == sorted((i, w[1], round(w[2], 9)) for (i, _, _), w in zip(rows, want, strict=True))
+
+
+def test_a_thousand_languages(spark):
+    """1,000 values of lang on 10,000 documents: fitted and predicted within a minute, each found."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    number = (F.col("id") % 1000).cast("string")
+    word = lambda salt: F.translate(F.substring(F.sha2(F.concat(number, F.lit(salt)), 256), 1, 12), "0123456789", "ghijklmnop")
+    docs = spark.range(10_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(" ", *(word(str(i)) for i in range(20))).alias("text"),
+        F.concat(F.lit("l"), number).alias("lang"),
+    )
+    began = time.monotonic()
+    model = lang_filter.fit(docs)
+    got = lang_filter.predict(docs, model).join(docs, "doc_id")
+    assert len(model.languages) == 1000
+    assert got.where("lang_pred = lang").count() == 10_000
+    assert time.monotonic() - began < 60
+
+
 def _signature(text, bins=fingerprint.BINS):
     """One text's bins by plain loops over the same hashes."""
     from playlake.llm import _kernel as k
