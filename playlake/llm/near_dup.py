@@ -71,6 +71,8 @@ LEADERS = 16
 COORDINATES, COMPARED = 64, 128
 #: Largest cluster whose full sets meet in one task.
 CLUSTER_SETS, CLUSTER_SHINGLES = 65_536, 4_000_000
+#: Component search: edges beyond which a vertex is hot, most hot vertices (their keys are broadcast).
+HOT_EDGES, HOT_VERTICES = 512, 100_000
 #: Ids that may be broadcast (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 #: A cluster beyond a task: most sets that a shingle joins pair by pair, shingles of a block of sets.
@@ -345,26 +347,42 @@ def _candidates(leaves: DataFrame, reps: DataFrame, percent: int, rows: int) ->
     return full.groupBy("group").applyInArrow(run, "a binary, b binary").where("a != b").distinct()
 
 
-def components(store: _Scratch, edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, at: str, other: str, most: int) -> DataFrame:
+    """``edges`` with m, the least ``other`` of their ``at`` (or ``at`` itself, if smaller).
+
+    Vertices of more than ``most`` edges are few: their m is broadcast, so that the
+    edges of a hot one stay in the tasks that read them; the others meet by a join.
+    """
+    least = edges.groupBy(at).agg(F.min(other).alias("m"), F.count(F.lit(1)).alias("edges"))
+    least = least.select(at, F.least(at, "m").alias("m"), "edges")
+    hot = F.broadcast(least.where(F.col("edges") > most).drop("edges"))
+    rest = edges.join(hot.select(at), at, "left_anti").join(least.where(F.col("edges") <= most).drop("edges"), at)
+    return edges.join(hot, at).unionByName(rest)
+
+
+def components(store: _Scratch, edges: DataFrame, hot: int = HOT_EDGES) -> DataFrame:
     """(key, root): the least key of each vertex's connected component, by alternating stars.
 
     ``edges`` has a < b. Each round hangs every vertex's larger neighbours, then
     its smaller ones, on its least neighbour; rounds grow with the logarithm.
+    A vertex of more than ``hot`` edges (more, where over ``HOT_VERTICES`` vertices
+    could have that many) is not gathered.
     """
     edges, seen = store.keep(edges, "edges"), None
+    count = edges.count()
     while True:
+        most = max(hot, 2 * count // HOT_VERTICES)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a and b != m").select(F.col("m").alias("a"), "b")
+        large = _with_least(both, "a", "b", most).where("b > a and b != m").select(F.col("m").alias("a"), "b")
+        large = store.keep(large, "large-stars")
         # small star: b's neighbours a < b
-        down = large.groupBy("b").agg(F.min("a").alias("m"))
-        joined = large.join(down, "b")
+        joined = _with_least(large, "b", "a", most)
         small = joined.select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(joined.select(F.col("m").alias("a"), "b"))
         edges = store.keep(small.where("a != b").distinct(), "stars")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break
-        seen = state
+        seen, count = state, state[0]
     roots = edges.select(F.col("a").alias("key"), F.col("a").alias("root")).distinct()
     return edges.select(F.col("b").alias("key"), F.col("a").alias("root")).unionByName(roots)
 

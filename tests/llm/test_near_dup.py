@@ -167,3 +167,21 @@ def test_large_dense_cluster_without_all_pairs(make_docs, monkeypatch):
     found = near_dup.classes(make_docs(rows), cluster_sets=4, hot=16).collect()
     _check(found, rows, 85)
     assert max(steps.values()) < 400 * 399 / 8, steps
+
+
+@pytest.mark.parametrize("hot", [1, 3, 10**9])
+def test_components_of_hot_centres(spark, hot):
+    """Stars, chains and both on one centre: the same components whether a vertex is hot or not."""
+    r = random.Random(hot)
+    name = lambda i: f"{i:04}".encode()
+    edges = {(0, i) for i in range(1, 120)} | {(i, i + 1) for i in range(200, 240)} | {(i, 399) for i in range(300, 399)}
+    edges |= {(r.randrange(500, 560), r.randrange(560, 620)) for _ in range(50)} | {(60, 210)}
+    label = {v: v for e in edges for v in e}
+    for a, b in sorted(edges) * 3:
+        low, high = sorted((label[a], label[b]))
+        label = {v: low if x == high else x for v, x in label.items()}
+    df = spark.createDataFrame([(name(a), name(b)) for a, b in edges], "a binary, b binary")
+    got = near_dup.components(near_dup._Scratch(spark), df, hot).collect()
+    assert sorted((bytes(x.key), bytes(x.root)) for x in got) == sorted((name(v), name(x)) for v, x in label.items())
+    empty = near_dup.components(near_dup._Scratch(spark), df.limit(0), hot)
+    assert empty.collect() == []
