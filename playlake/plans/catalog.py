@@ -34,10 +34,11 @@ from playlake.functions.columns import parse_day, parse_instant
 from playlake.operators import reports
 from playlake.operators.bronze import to_bronze
 from playlake.operators.silver import to_silver
-from playlake.plans import incremental, oracle
+from playlake.plans import copartition, incremental, oracle
 from playlake.plans.advance import advance_lake, read_silver
 from playlake.plans.concurrent import run_all
 from playlake.plans.dashboard import dashboard_frames
+from playlake.plans.reach import publish_reach, reach_reports
 from playlake.plans.refresh import (
     counts_frame,
     full_refresh,
@@ -186,6 +187,34 @@ def _dashboard(frame: str) -> Query:
     return run
 
 
+def _reach(report: str) -> Query:
+    """A report from visitor bitmaps, which are published beside Gold once per session."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with _LAKE_LOCK:
+            gold = _gold_root(spark, sf_dir)
+            lake = _lake(spark, sf_dir)
+            if "reach" not in lake:
+                path = f"{lake['root']}/reach"
+                publish_reach(spark, gold, path)
+                lake["reach"] = path
+        return portable(reach_reports(spark, lake["reach"], load_gold(spark, gold)[DIM_MEDIA])[report]())
+
+    return run
+
+
+def copartitioned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from Silver stored co-partitioned (once per session): no exchange under its join."""
+    with _LAKE_LOCK:
+        silver = _silver_root(spark, sf_dir)
+        lake = _lake(spark, sf_dir)
+        if "copartitioned" not in lake:
+            path = f"{lake['root']}/copartitioned"
+            copartition.store(spark, silver, path)
+            lake["copartitioned"] = path
+    return portable(copartition.fact_from_stored(spark, lake["copartitioned"]))
+
+
 def _report(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return portable(fn(load_gold(spark, gold_root(spark, sf_dir))))
@@ -632,6 +661,7 @@ def advanced_lake(spark: SparkSession, sf_dir: str, streamed: bool = False) -> s
             else:
                 for clock in (FIRST_CLOCK, INCREMENTAL_CLOCK):
                     advance_lake(spark, landing, f"{loads}/state", silver, gold, until=clock.version)
+                    publish_reach(spark, gold, f"{root}/reach")
             _ADVANCED[key] = root
         use_utc(spark)
         return _ADVANCED[key]
@@ -655,6 +685,13 @@ def _advanced_gold(table: str, streamed: bool = False) -> Query:
     return run
 
 
+def advanced_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months from bitmaps that were kept up over both loads: only days that Gold rewrote are counted again."""
+    root = advanced_lake(spark, sf_dir)
+    dim_media = load_gold(spark, f"{root}/gold")[DIM_MEDIA]
+    return portable(reach_reports(spark, f"{root}/reach", dim_media)["monthly"]())
+
+
 def incremental_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events pull from a source partitioned by the UTC day: only days from the least mark on are read."""
     sources, media, state = incremental_inputs(spark, sf_dir)
@@ -706,6 +743,12 @@ def queries() -> dict[str, Query]:
         "dashboard_last_30_days": _dashboard("last_30_days"),
         "dashboard_monthly": _dashboard("monthly"),
         "dashboard_top_visitors": _dashboard("top_visitors"),
+        "reach_kpi": _reach("kpi"),
+        "reach_by_media": _reach("by_media"),
+        "reach_monthly": _reach("monthly"),
+        "reach_last_7_days": _reach("last_7_days"),
+        "reach_last_30_days": _reach("last_30_days"),
+        "copartitioned_fact": copartitioned_fact,
         "layer_counts": layer_counts,
         "landed_fact": _refreshed(FACT),
         "landed_dim_media": _refreshed(DIM_MEDIA),
@@ -736,6 +779,7 @@ def queries() -> dict[str, Query]:
         "advanced_fact": _advanced_gold(FACT),
         "advanced_dim_media": _advanced_gold(DIM_MEDIA),
         "advanced_dim_visitor": _advanced_gold(DIM_VISITOR),
+        "advanced_reach": advanced_reach,
         "streamed_fact": _advanced_gold(FACT, streamed=True),
         "streamed_dim_media": _advanced_gold(DIM_MEDIA, streamed=True),
         "streamed_dim_visitor": _advanced_gold(DIM_VISITOR, streamed=True),

@@ -633,6 +633,21 @@ def oracle_sql() -> dict[str, str]:
         ).replace("round(a.avg_watched_percent, 6)", "round(a.avg_watched_percent * 100.0, 6)").replace(
             "round(t.avg_watched_percent, 6)", "round(t.avg_watched_percent * 100.0, 6)"
         )
+    for report, kept in (
+        ("kpi_summary", "kpi"), ("engagement_by_media", "by_media"), ("monthly_engagement", "monthly"),
+        ("recent_7d", "last_7_days"), ("recent_30d", "last_30_days"),
+    ):
+        sql[f"reach_{kept}"] = sql[report]
+    sql["copartitioned_fact"] = sql["fact_engagement"]
+    sql["advanced_reach"] = with_ctes(
+        f"""SELECT a.media_id, a.month, a.plays, a.unique_visitors,
+                   {r6('a.avg_watched_percent', 'avg_watched_percent')}, d.title, d.channel
+            FROM (SELECT media_id, strftime(date, '%Y-%m') AS month, {_ENGAGEMENT}
+                  FROM two_fact WHERE media_id IS NOT NULL AND date IS NOT NULL
+                  GROUP BY media_id, strftime(date, '%Y-%m')) a
+            LEFT JOIN two_dim_media d ON d.media_id = a.media_id""",
+        "two_fact", "two_dim_media",
+    )
     sql["advanced_silver_events"] = sql["incremental_two_runs_silver"]
     sql["advanced_silver_by_date"] = sql["incremental_two_runs_by_date"]
     sql["advanced_silver_media"] = with_ctes(
