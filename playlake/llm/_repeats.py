@@ -7,7 +7,8 @@ Every window of W tokens holds W-K+1 grams of K tokens; the least by hash is the
 window's *anchor*. Equal windows have equal anchors, so it is enough to bring
 together the places that share an anchor. Only about 2 in W-K+2 grams are
 anchors. Documents are dealt to *blocks* of a bounded number of bytes by a hash;
-a block is the unit of every step, and what leaves it is aggregated first:
+a block is the unit of every step, and what leaves it is aggregated first (rows of
+one id and text that would fill a block alone are one row until the end):
 
 1. each block sends the hashes of its distinct anchors to buckets (by hash), and
    learns which of them occur in two documents or more;
@@ -46,6 +47,10 @@ from playlake.llm._ship import ship
 #: Bytes of text in a block, and in a bucket's share of the corpus.
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
+#: Bytes that a row counts for besides its text, and copies of a folded row that one array lists.
+ROW_BYTES, LISTED = 64, 4096
+#: Keys of repeated rows that may be broadcast (8 bytes each).
+BROADCAST_KEYS = 1_000_000
 #: Bytes of text that one pass of array operations covers.
 PASS_BYTES = 96 << 10
 #: An anchor is hot if it occurs in this many blocks, or in at least
@@ -467,6 +472,33 @@ def _answers(table: pa.Table) -> dict:
     return {(kind, bucket): payload for kind, bucket, payload in rows}
 
 
+def _folded(texts: DataFrame, block_bytes: int) -> DataFrame | None:
+    """Rows of one id and text that would fill a block alone, as one row with their ``copies``; None if there are none.
+
+    They get equal results, and a hash of id and text cannot part them. What repeats
+    is found by counts of such hashes; rows are folded on the map side, by id and text.
+    """
+    keyed = texts.withColumn("_key", F.xxhash64("doc_id", "text"))
+    size = F.max(F.coalesce(F.octet_length("text"), F.lit(0))) + ROW_BYTES
+    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), size.alias("_size"))
+    hot = counts.where((F.col("_n") > 1) & (F.col("_n") * F.col("_size") > block_bytes)).select("_key", F.lit(True).alias("_hot"))
+    found = hot.count()  # each stands for a block's bytes
+    if not found:
+        return None
+    marked = keyed.join(F.broadcast(hot) if found <= BROADCAST_KEYS else hot, "_key", "left")
+    single = marked.where("_hot IS NULL").select("doc_id", "text", F.lit(1).cast("long").alias("copies"))
+    return single.unionByName(marked.where("_hot").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies")))
+
+
+def _unfolded(results: DataFrame) -> DataFrame:
+    """Each result as often as its row was there."""
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / LISTED))
+    listed = results.select("*", F.explode(runs).alias("_run"))
+    here = F.least(F.lit(LISTED).cast("long"), F.col("copies") - F.col("_run") * LISTED)
+    each = listed.select("*", F.explode(F.sequence(F.lit(1).cast("long"), here)).alias("_copy"))
+    return each.drop("copies", "_run", "_copy")
+
+
 def dedup(
     docs: DataFrame,
     plan: Plan,
@@ -482,8 +514,11 @@ def dedup(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / bucket_bytes))
+    folded = _folded(texts, block_bytes)
+    if folded is not None:
+        texts, schema = folded, f"{schema}, copies long"
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    by_block = dealt.groupBy("block")
+    by_block, folds = dealt.groupBy("block"), folded is not None
 
     def send_anchors(key: tuple, table: pa.Table) -> pa.Table:
         return _messages(_anchor_messages(Block(table, plan), key[0].as_py(), buckets))
@@ -509,7 +544,8 @@ def dedup(
 
     def remove(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(table, plan)
-        return finish(block, covered_tokens(block, _answers(answers), buckets))
+        rows = finish(block, covered_tokens(block, _answers(answers), buckets))
+        return rows.append_column("copies", table.column("copies")) if folds else rows
 
     def ask(answers: DataFrame, send, answer) -> DataFrame:
         """Blocks send to buckets by what they know; the answers, by block."""
@@ -518,4 +554,5 @@ def dedup(
 
     shared = by_block.applyInArrow(send_anchors, MESSAGE_DDL).groupBy("bucket").applyInArrow(answer_shared, MESSAGE_DDL)
     answers = ask(ask(shared, send_digests, answer_digests), send_contexts, answer_contexts)
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(remove, schema)
+    results = by_block.cogroup(answers.groupBy("block")).applyInArrow(remove, schema)
+    return _unfolded(results) if folds else results

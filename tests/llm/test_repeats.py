@@ -3,7 +3,7 @@
 import pytest
 from _brute import covered_by_smaller, mixed_corpus, runs, words
 
-from playlake.llm import byte_dedup, word_dedup
+from playlake.llm import _repeats, byte_dedup, word_dedup
 
 SMALL = {"block_bytes": 6000, "bucket_bytes": 5000}
 HOT = [{}, {"hot_blocks": 2}, {"hot_crowded": 1, "crowd": 2}]
@@ -34,6 +34,29 @@ def test_words(make_docs, hot):
     assert got == want
 
 
+def test_rows_of_one_id_and_text(make_docs):
+    """A third of all rows equal, with and without id, text and a smaller id: folded into one row, all returned."""
+    rows = mixed_corpus(3)
+    text = max((t for _, t in rows if t), key=lambda t: len(t) if len(t) < 3000 else 0)
+    rows += [(10**6, text)] * 40 + [(-5, "of its own " + text[:400])] * 50 + [(None, text)] * 30 + [(7, None)] * 200 + [(None, " ")] * 150
+    folded = _repeats._folded(make_docs(rows), SMALL["block_bytes"])
+    assert sorted(r.copies for r in folded.where("copies > 1").collect())[-5:] == [30, 40, 50, 150, 200]
+    got = byte_dedup.dedup(make_docs(rows), **SMALL).collect()
+    got = sorted(((r.doc_id, r.n_bytes, bytes(r.kept), list(zip(r.removed_starts, r.removed_ends))) for r in got), key=_key)
+    brute = covered_by_smaller(rows, lambda t: (t or "").encode(), 50)
+    assert got == sorted(((i, len(x), bytes(b for b, c in zip(x, cov) if not c), runs(cov)) for i, x, cov in brute), key=_key)
+    got = word_dedup.dedup(make_docs(rows), subtree_limit=9, **SMALL).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=_key)
+    brute = covered_by_smaller(rows, words, 13)
+    assert got == sorted(((i, len(x), sum(cov), " ".join(w for w, c in zip(x, cov) if not c)) for i, x, cov in brute), key=_key)
+
+
+def test_copies_beyond_one_list(spark):
+    """More copies than one array lists come back in full."""
+    results = spark.createDataFrame([(1, 1), (2, 4096), (3, 4097), (4, 10_000)], "doc_id long, copies long")
+    assert {r.doc_id: r["count"] for r in _repeats._unfolded(results).groupBy("doc_id").count().collect()} == {1: 1, 2: 4096, 3: 4097, 4: 10_000}
+
+
 def test_long_text_and_empty_table(spark, make_docs):
     long = " ".join(str(i * i) for i in range(60_000))
     rows = [(1, long), (2, "before " + long[1000:5000] + " after"), (3, "z" * 300_000)]
