@@ -35,6 +35,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -71,8 +72,10 @@ _CONTEXT = r"(?i)(phone|tel|call|fax|mobile|mail|contact|card|visa|credit|host|a
 #: How a phone number begins that has an area or country code.
 _PREFIX = r"^[+(0]"
 
-#: Most training candidates of each class, boosting rounds, depth.
-SAMPLE, ROUNDS, DEPTH = 4_000, 10, 3
+#: Boosting rounds, depth, bins of a feature at least.
+ROUNDS, DEPTH, LEAST_BINS = 10, 3, 32
+#: Different examples in one task of the rounds, about.
+PART_EXAMPLES = 50_000
 #: Precision that a kind's threshold must show on held-out candidates, and the
 #: fewest positive ones that count as evidence.
 PRECISION, EVIDENCE = 0.95, 20
@@ -495,18 +498,19 @@ def _tree(node) -> tuple | float:
     return (int(s.featureIndex()), float(s.threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> Model:
-    """Boosted trees over at most ``sample`` positive and ``sample`` negative examples of all documents.
+def fit(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Model:
+    """Boosted trees over all examples of all documents, thresholds from all that are held out.
 
-    The examples are chosen by hash, so every run takes the same ones.
+    The examples are counted by label, kind and features, which is all that the trees and the
+    thresholds see of them: each different one is a row that weighs as often as it occurs.
     """
     _allow_depth(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def example(label: float, c: Column, of: Column) -> Column:
         return F.struct(
-            F.lit(label).alias("label"), c["rank"].alias("rank"), _features(c).alias("f"),
-            F.xxhash64(of["found"], of["rank"]).alias("h"), F.xxhash64(c["found"], c["before"], c["after"]).alias("h2"),
+            F.lit(label).alias("label"), c["rank"].alias("rank"), _features(c).cast("array<int>").alias("f"),
+            (F.pmod(F.xxhash64(of["found"], of["rank"]), F.lit(3)) == 0).alias("held_out"),
         )
 
     def labelled(t: Column) -> Column:
@@ -522,32 +526,34 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, precision
         return let(_rules(t), of_rules)
 
     rows = docs.select(F.explode(let(text, labelled)).alias("c")).select("c.*")
-    some = None
-    for label in (1.0, 0.0):
-        part = rows.where(F.col("label") == label).orderBy("h", "h2", "rank").limit(sample)
-        some = part if some is None else some.unionByName(part)
-    # Bounded by 2 * sample: one partition, kept for the rounds and the calibration.
-    some = some.withColumn("held_out", F.pmod("h", F.lit(3)) == 0).coalesce(1).persist()
+    keys = ("label", "rank", "held_out", "f")
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("n")).persist()
     try:
-        counts = {r["label"]: r["n"] for r in some.where(~F.col("held_out")).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if min(counts.get(1.0, 0), counts.get(0.0, 0)) == 0:
+        per_class = {(r["label"], r["held_out"]): r["rows"] for r in counted.groupBy("label", "held_out").agg(F.count(F.lit(1)).alias("rows")).collect()}
+        taught = [per_class.get((label, False), 0) for label in (1.0, 0.0)]
+        if min(taught) == 0:
             return Model()
-        flat = some.select("label", "rank", "held_out", *(F.get("f", F.lit(i)).alias(name) for i, name in enumerate(FEATURES)))
+        # In a fixed order, so that sums of fractions, and with them the trees, agree in every run.
+        placed = counted.where(~F.col("held_out")).repartition(-(-sum(taught) // PART_EXAMPLES), *keys).sortWithinPartitions(*keys)
+        flat = placed.select("label", "n", *(F.get("f", F.lit(i)).cast("double").alias(name) for i, name in enumerate(FEATURES)))
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(flat)
-        boosted = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, maxBins=32, seed=1, stepSize=0.3).fit(
-            vectors.where(~F.col("held_out")).select("label", "features")
+        # The classifier looks for splits in a sample of max(bins ** 2, 10,000) rows: with so many bins it is all of them.
+        bins = max(LEAST_BINS, math.isqrt(sum(taught)) + 1)
+        boosted = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, maxBins=bins, seed=1, stepSize=0.3, weightCol="n").fit(
+            vectors.select("label", "n", "features")
         )
         trees = tuple((w, _tree(t._java_obj.rootNode())) for w, t in zip(boosted.treeWeights, boosted.trees, strict=True))
         model = Model(trees, {})
+        score = let(F.col("f").cast("array<double>"), lambda f: _scored(f, model))
         binned = (
-            some.where("held_out")
-            .withColumn("bin", F.floor(_scored(F.col("f"), model) * _BINS))
+            counted.where("held_out")
+            .withColumn("bin", F.floor(score * _BINS))
             .groupBy("rank", "bin")
-            .agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
+            .agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n"))
             .collect()
         )
     finally:
-        some.unpersist()
+        counted.unpersist()
     thresholds = {}
     for rank in range(len(KINDS)):
         good = n = 0.0

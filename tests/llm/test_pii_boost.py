@@ -250,3 +250,26 @@ def test_long_texts_with_a_model(make_docs, fitted):
         sizes = {r.doc_id: (len(r.base), len(r.all)) for r in p.scan(docs, model).collect()}
         assert time.time() - since < 90
         assert sizes[1][0] == 10_000 and sizes[2][0] == 0 and (not model.trees[0][1] == 0.1 or sizes[2][1] > 4_000)
+
+
+def test_trees_and_thresholds_are_of_all_examples(spark, make_docs, monkeypatch):
+    """More examples of each class than any sample held: all that are not held out weigh in."""
+    wrong = [n for n in range(10**15, 10**15 + 10_000) if not _luhn(str(n))][:5_000]
+    emails = [f"u{i}@site{i}.org" for i in range(5_000)]
+    docs = make_docs([(i, f"{e} and {n} to") for i, (e, n) in enumerate(zip(emails, wrong, strict=True))])
+    taught = []
+
+    class Seen(p.GBTClassifier):
+        def fit(self, rows):
+            taught.append({r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum("n").alias("n")).collect()})
+            return super().fit(rows)
+
+    monkeypatch.setattr(p, "GBTClassifier", Seen)
+    model = p.fit(docs)
+
+    def kept(found, rank):
+        rows = spark.createDataFrame([(x,) for x in found], "found string")
+        return rows.where(F.pmod(F.xxhash64("found", F.lit(rank)), F.lit(3)) != 0).count()
+
+    assert taught == [{1.0: 3 * kept(emails, 0), 0.0: kept(map(str, wrong), 2)}]
+    assert taught[0][1.0] > 4_000 and model.trees
