@@ -1,7 +1,7 @@
 """Landing zone: JSON envelopes, one per (endpoint, media, run, chunk).
 
-Layout: ``<root>/<endpoint>[/run=<name>]/media_id=<id>/ingest_date=<YYYY-MM-DD>/part-*.json``,
-append-only; every write job adds new files, so re-landed records are kept and
+Layout: ``<root>/<endpoint>[/run=<name>]/media_id=<id>/ingest_date=<YYYY-MM-DD>/part-*.json.gz``,
+append-only (files of plain JSON beside them are read alike); every write job adds new files, so re-landed records are kept and
 de-duplicated later by Silver. With a run's name, its files lie in a folder of their
 own: whoever knows which runs were committed (``incremental.landed_runs``) reads
 those folders and lists nothing else of the tree.
@@ -15,8 +15,7 @@ Sink (``build_envelopes`` + ``write_landing``)
     envelopes by a hash, so one hot media cannot put its whole history in one
     row or one task; ``record_count`` is then the chunk's. Pull sizes come from a
     partial aggregate (one row per pull); only pulls over ``max_records`` are
-    joined back to the records, and AQE broadcasts that side when it is measured
-    small. Pull keys are compared null-safely: a pull with a null key part is a
+    joined back to the records, broadcast where ``max_records`` keeps them few. Pull keys are compared null-safely: a pull with a null key part is a
     pull like any other.
   * The flat records are hash-partitioned on the envelope key and collected
     only after that exchange (no map-side partial collect). The exchange may be
@@ -45,6 +44,8 @@ from playlake.sources.paths import layer_path
 
 PULL_KEYS = ("media_id", "ingest_timestamp", "ingest_date")
 DEFAULT_MAX_RECORDS = 50_000
+#: Envelopes of so many records: the pulls of more than one are few, whatever the table.
+_FEW_SPLITS = 10_000
 
 
 def record_columns(records: DataFrame) -> list[str]:
@@ -86,11 +87,14 @@ def build_envelopes(
     fields = record_columns(records)
     sizes = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     # Only pulls larger than one envelope need a chunk count; there are at most
-    # (records / max_records) of them, usually few, so the side joined back is
-    # small and AQE broadcasts it once measured. Every other pull is chunk 0.
+    # (records / max_records) of them. With envelopes of the usual size that side
+    # is small and broadcast, so the records are not exchanged for this join.
+    # Every other pull is chunk 0.
     split = sizes.where(F.col("__n") > max_records).select(
         *keys, F.ceil(F.col("__n") / F.lit(max_records)).alias("__chunks")
     )
+    if max_records >= _FEW_SPLITS:
+        split = F.broadcast(split)
     # The spread hash is taken before the join, on the input partitioning: the
     # task's partition id joins the record hash, so even identical records of
     # one pull spread across chunks (a retried task keeps its partition id).
@@ -101,14 +105,16 @@ def build_envelopes(
     chunked = (
         records.withColumn("__spread", spread)
         .transform(_same_pull, split, "left")
-        .withColumn("__chunk", chunk)
+        .select(F.struct(*keys, chunk.alias("n")).alias("__chunk"), F.struct(*fields).alias("__record"))
         # Flat rows are shuffled on the envelope key and collected after the
         # exchange: a map-side partial collect_list would not shrink the data,
         # only hold each task's records as object buffers before shipping them.
-        .repartition(*([write_tasks] if write_tasks else []), *keys, "__chunk")
-        .groupBy(*keys, "__chunk")
-        .agg(F.collect_list(F.struct(*fields)).alias("records"))
-        .drop("__chunk")
+        # The key is one column: of several, those that are constant in a run would
+        # leave the grouping, and the exchange would no longer be what it needs.
+        .repartition(*([write_tasks] if write_tasks else []), "__chunk")
+        .groupBy("__chunk")
+        .agg(F.collect_list("__record").alias("records"))
+        .select(*(F.col(f"__chunk.{key}").alias(key) for key in keys), "records")
     )
     if pulls is not None:
         empty = _same_pull(pulls.select(*keys), sizes.select(*keys), "left_anti").withColumn(
@@ -136,6 +142,7 @@ def write_landing(envelopes: DataFrame, endpoint: str, landing_root: str, run: s
     (
         out.write.mode("append")
         .option("maxRecordsPerFile", 1)
+        .option("compression", "gzip")
         .partitionBy("media_id", "ingest_date")
         .json(_folder(landing_root, endpoint, run))
     )

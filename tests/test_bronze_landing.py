@@ -209,3 +209,19 @@ def test_records_of_a_null_pull_key_are_kept(spark):
     )
     env = build_envelopes(raw, schemas.EVENTS, max_records=2)
     assert to_bronze(env).count() == 5
+
+
+def test_records_of_a_run_are_exchanged_once(spark, lake_dir):
+    """Also with keys that are constant in the run, and whatever pulls are split: collected after the one exchange."""
+    raw = _raw_events(spark, {"hot": 50, "cold": 3}).withColumns({"ingest_timestamp": F.lit(RUN1), "ingest_date": F.lit(RUN1[:10])})
+    lines = plan_text(build_envelopes(raw, schemas.EVENTS), "simple").splitlines()
+    partial = [i for i, line in enumerate(lines) if "partial_collect_list" in line]
+    exchanges = [i for i, line in enumerate(lines) if "Exchange" in line and i > partial[0] and "BroadcastExchange" not in line]
+    of_records = [i for i in exchanges if "__chunk" in lines[i]]
+    assert len(partial) == 1 and len(of_records) == 1
+    assert not any("Exchange hashpartitioning" in line for line in lines[: partial[0]])
+    assert any("BroadcastHashJoin" in line for line in lines) and not any("SortMergeJoin" in line for line in lines)
+    write_landing(build_envelopes(raw, schemas.EVENTS), schemas.EVENTS, lake_dir)
+    files = read_landing(spark, schemas.EVENTS, lake_dir).inputFiles()
+    assert len(files) == 2 and all(f.endswith(".json.gz") for f in files)
+    assert to_bronze(read_landing(spark, schemas.EVENTS, lake_dir)).count() == 53
