@@ -39,10 +39,14 @@ def take_batch(
     spark, version = batch.sparkSession, batch_version(batch_id)
     last = published.newest(spark, silver_root)
     if last is None or last.version < version:
-        bronze = {
-            e: batch.where(F.col(_ENDPOINT) == e).select(*schemas.bronze_columns(e)) for e in schemas.ENDPOINTS
-        }
-        advance_silver(spark, bronze, silver_root, version, buckets)
+        batch = batch.persist()  # each endpoint's upsert reads it: its files are parsed once
+        try:
+            bronze = {
+                e: batch.where(F.col(_ENDPOINT) == e).select(*schemas.bronze_columns(e)) for e in schemas.ENDPOINTS
+            }
+            advance_silver(spark, bronze, silver_root, version, buckets)
+        finally:
+            batch.unpersist()
     advance_gold(spark, silver_root, gold_root, version)
 
 

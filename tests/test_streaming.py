@@ -1,5 +1,7 @@
 """Landing -> Bronze as an availableNow stream: incremental and equal to batch."""
 
+from pyspark.sql import functions as F
+
 from playlake.operators.bronze import to_bronze
 from playlake.sources import eventmap, schemas
 from playlake.sources.landing import build_envelopes, read_landing, write_landing
@@ -47,3 +49,26 @@ def test_stream_counts_all_batches(spark, lake_dir):
     for e in schemas.ENDPOINTS:
         assert consumed[e] == read_landing(spark, e, f"{lake_dir}/landing").count()
     assert consumed[schemas.EVENTS] > 8
+
+
+def test_a_batch_is_kept_while_its_endpoints_are_upserted(spark, lake_dir, monkeypatch):
+    """Its files are parsed once, not once for each endpoint."""
+    from playlake.streaming import lake_stream
+
+    row = ("2024-01-01T00:00:00Z", "e1", "v1", "m1", "2024-02-01T06:00:00+00:00", "2024-02-01", schemas.EVENTS)
+    names = ["received_at", "event_key", "visitor_key", "media_id", "ingest_timestamp", "ingest_date", "__endpoint"]
+    columns = dict.fromkeys(f for e in schemas.ENDPOINTS for f in schemas.bronze_columns(e))
+    kinds = {f.name: f.dataType for e in schemas.ENDPOINTS for f in schemas.RECORD_SCHEMAS[e].fields}
+    batch = spark.createDataFrame([row], ", ".join(f"{n} string" for n in names))
+    batch = batch.select("*", *(F.lit(None).cast(kinds.get(c, "string")).alias(c) for c in columns if c not in names))
+    kept, advance_silver = [], lake_stream.advance_silver
+
+    def seen(*args):
+        kept.append(batch.storageLevel.useMemory)
+        return advance_silver(*args)
+
+    monkeypatch.setattr(lake_stream, "advance_silver", seen)
+    lake_stream.take_batch(batch, 0, f"{lake_dir}/silver", f"{lake_dir}/gold", 2)
+    assert kept == [True] and not batch.storageLevel.useMemory
+    lake_stream.take_batch(batch, 0, f"{lake_dir}/silver", f"{lake_dir}/gold", 2)  # published before
+    assert kept == [True]
