@@ -39,3 +39,9 @@ def ingest_recency(ingest_col: str = "ingest_timestamp", tiebreak: Sequence[str]
     ]
     order += [F.col(c).desc_nulls_last() for c in tiebreak]
     return order
+
+
+def ingest_rank(of: str, ingest_col: str = "ingest_timestamp", tiebreak: Sequence[str] = ()) -> Column:
+    """A value of the struct column ``of`` that is the greater, the sooner ``ingest_recency`` sorts its row."""
+    stamp = f"{of}.{ingest_col}"
+    return F.struct(parse_instant(stamp).alias("at"), F.col(stamp).alias("text"), *(F.col(f"{of}.{c}").alias(c) for c in tiebreak))

@@ -30,7 +30,8 @@ keys or rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +40,8 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 from playlake.functions.columns import utc_day
 from playlake.operators import gold as G
 from playlake.operators.bronze import to_bronze
-from playlake.operators.latest import latest_per_key
-from playlake.operators.silver import REFINEMENTS, latest, screen
+from playlake.operators.latest import ingest_rank, latest_per_key
+from playlake.operators.silver import REFINEMENTS, Refinement, latest, screen
 from playlake.plans.concurrent import run_all
 from playlake.plans.incremental import landed_runs
 from playlake.session import scratch_path, use_utc
@@ -66,15 +67,6 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join on keys that may be null."""
-    other = right.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return left.join(other, same, how)
-
-
 # --- Silver ---------------------------------------------------------------------
 
 
@@ -109,20 +101,40 @@ def _upsert(spark: SparkSession, bronze: DataFrame, endpoint: str, attempt: Atte
     fresh = read_layer(spark, stage, endpoint).select(*stored_columns)
     touched = sorted(r["bucket"] for r in fresh.select("bucket").distinct().collect())
     base = attempt.base
-    stored = silver_table(spark, base, endpoint, touched) if base else silver_table(spark, _empty(attempt), endpoint)
-    merged = latest(stored.select(*stored_columns).unionByName(fresh), spec).select(*spec.output, RECENCY)
-    new: list[Part] = []
-    if touched:
-        by = ("bucket", "day") if endpoint == EVENTS else ("bucket",)
-        new = _write_placed(_place(merged, endpoint, buckets), attempt, endpoint, by)
+    by = ("bucket", "day") if endpoint == EVENTS else ("bucket",)
+    if base and base.parts_of(endpoint, map(str, touched)):
+        stored = silver_table(spark, base, endpoint, touched).select(*stored_columns)
+        merged = _place(latest(stored.unionByName(fresh), spec).select(*spec.output, RECENCY), endpoint, buckets)
+        net = _net_changes(stored, fresh, spec)
+    else:  # nothing to weigh the new rows against: one of each key, all of them come
+        merged, net = fresh, fresh.select(*spec.output, F.lit(1).alias("n"))
+    done = run_all(
+        {
+            "rows": partial(_write_placed, merged, attempt, endpoint, by) if touched else list,
+            "changes": partial(write_layer, net, attempt.path, attempt.folder(changes_of(endpoint))),
+        }
+    )
     kept = [p for p in base.parts_of(endpoint) if p.part not in {str(b) for b in touched}] if base else []
-    # What came and what went, among the keys of the new rows.
-    now = Snapshot(attempt.root, attempt.version, attempt.attempt, attempt.id, None, None, tuple(new))
-    after = _same_key(silver_table(spark, now, endpoint), fresh, spec.key, "left_semi").select(*spec.output, F.lit(1).alias("n"))
-    before = _same_key(stored, fresh, spec.key, "left_semi").select(*spec.output, F.lit(-1).alias("n"))
-    net = after.unionByName(before).groupBy(*spec.output).agg(F.sum("n").cast("int").alias("n")).where("n <> 0")
-    changed = write_layer(net, attempt.path, attempt.folder(changes_of(endpoint)))
-    return [*kept, *new, *attempt.written(changes_of(endpoint))], changed
+    return [*kept, *done["rows"], *attempt.written(changes_of(endpoint))], done["changes"]
+
+
+def _net_changes(stored: DataFrame, fresh: DataFrame, spec: Refinement) -> DataFrame:
+    """What came (``n`` = 1) and what went (-1), by one join of the new rows with the stored rows of their
+    keys, of which both have one each. A row that differs in its recency alone neither comes nor goes."""
+    new, old = (df.select(F.struct(*spec.output, RECENCY).alias(side)) for df, side in ((fresh, "new"), (stored, "old")))
+
+    def same(columns: Sequence[str]) -> Column:
+        equal = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in columns]
+        return reduce(and_, equal)
+
+    newer = ingest_rank("new", RECENCY, spec.tiebreak()) > ingest_rank("old", RECENCY, spec.tiebreak())
+    pairs = new.join(old, same(spec.key), "left").where(F.col("old").isNull() | (newer & ~same(spec.output)))
+
+    def change(side: str, n: int) -> Column:
+        return F.struct(*(F.col(f"{side}.{c}").alias(c) for c in spec.output), F.lit(n).alias("n"))
+
+    came, went = change("new", 1), change("old", -1)
+    return pairs.select(F.inline(F.when(F.col("old").isNull(), F.array(came)).otherwise(F.array(came, went))))
 
 
 def _empty(attempt: Attempt) -> Snapshot:

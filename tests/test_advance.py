@@ -1,5 +1,6 @@
 """Incremental Silver and Gold: equal to the full computation after any sequence of loads, and pruned to what is new."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -250,3 +251,17 @@ def test_lake_follows_the_committed_runs(spark, lake_dir, monkeypatch):
     advance.advance_lake(spark, landing, state, silver, gold)
     assert sorted(r["event_key"] for r in advance.read_silver(spark, silver, schemas.EVENTS).collect()) == ["e19", "e20", "e21"]
     assert refresh.load_gold(spark, gold)[schemas.FACT_MEDIA_ENGAGEMENT].count() == 3
+
+
+def test_changes_come_from_one_join_of_new_and_stored_rows(spark):
+    """Null key parts match, a row that loses or differs in its recency alone is no change, nothing is read back."""
+    spec = advance.REFINEMENTS[schemas.BY_DATE]
+    kind = "media_id string, date date, load_count bigint, play_count bigint, hours_watched double, ingest_timestamp string"
+    old, new = "2024-02-01T06:00:00+00:00", "2024-02-02T06:00:00+00:00"
+    d = dt.date(2024, 1, 1)
+    stored = [("a", d, 1, 1, 0.5, old), ("b", None, 1, 1, None, old), ("c", d, 1, 1, 0.5, old), ("d", d, 1, 1, 0.5, new), ("e", d, 1, 1, 0.5, old)]
+    fresh = [("a", d, 2, 1, 0.5, new), ("b", None, 1, 1, 0.5, old), ("c", d, 1, 1, 0.5, new), ("d", d, 9, 1, 0.5, None), ("f", None, 1, 1, 0.5, new)]
+    net = advance._net_changes(spark.createDataFrame(stored, kind), spark.createDataFrame(fresh, kind), spec)
+    want = [(*fresh[0][:5], 1), (*stored[0][:5], -1), (*fresh[1][:5], 1), (*stored[1][:5], -1), (*fresh[4][:5], 1)]
+    assert _rows(net) == sorted(map(str, want))
+    assert net.columns == [*spec.output, "n"] and plan_text(net).count("Join") > 0 and "Aggregate" not in plan_text(net)
