@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlake.llm import _kernel as k
-from playlake.llm._ship import ship
+from playlake.llm._ship import lean, lean_group, ship, small_batches
 from playlake.session import scratch_path
 from playlake.sources.layers import remove
 
@@ -148,7 +148,7 @@ def sketches(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                 )
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, key binary, branch array<int>, compact binary"
+        lean(run), "doc_id long, n_shingles long, key binary, branch array<int>, compact binary"
     )
 
 
@@ -247,7 +247,7 @@ def _absorb(store: "_Scratch", large: DataFrame, reps: DataFrame, percent: int)
             )
 
     schema = "node long, key binary, branch array<int>, absorbed boolean, near binary"
-    return store.keep(members.select("node", "key", "branch", "compact", "leaders").mapInArrow(run, schema), "leaders")
+    return store.keep(members.select("node", "key", "branch", "compact", "leaders").mapInArrow(lean(run), schema), "leaders")
 
 
 def _leaves(
@@ -344,7 +344,7 @@ def _candidates(leaves: DataFrame, reps: DataFrame, percent: int, rows: int) ->
         x, y = np.where(swap, y, x), np.where(swap, x, y)
         return pa.table({"a": pa.array(x.tolist(), pa.binary()), "b": pa.array(y.tolist(), pa.binary())})
 
-    return full.groupBy("group").applyInArrow(run, "a binary, b binary").where("a != b").distinct()
+    return full.groupBy("group").applyInArrow(lean_group(run), "a binary, b binary").where("a != b").distinct()
 
 
 def _with_least(edges: DataFrame, at: str, other: str, most: int) -> DataFrame:
@@ -455,7 +455,7 @@ def _full_sets(docs: DataFrame, members: DataFrame, text_col: str, id_col: str,
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
                 yield pa.record_batch([_binary(_keys(values, bounds), np.diff(bounds) > 0), lists], names=["key", "shingles"])
 
-    sets = some.mapInArrow(run, "key binary, shingles array<long>")
+    sets = some.mapInArrow(lean(run), "key binary, shingles array<long>")
     return members.select("key", "min_doc").join(sets, "key").dropDuplicates(["key"])
 
 
@@ -486,7 +486,7 @@ def _confirm_clusters(sets: DataFrame, percent: int, shingles: int) -> DataFrame
         )
 
     grouped = sets.withColumn("group", F.pmod(F.xxhash64("cluster"), F.lit(groups)).cast("int"))
-    return grouped.groupBy("group").applyInArrow(run, "key binary, component_id long")
+    return grouped.groupBy("group").applyInArrow(lean_group(run), "key binary, component_id long")
 
 
 def links_between(values: np.ndarray, bounds: np.ndarray, label: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -600,7 +600,7 @@ def _links_of_families(store: _Scratch, sets: DataFrame, held: DataFrame, labels
         found = [sorted((keys[x], keys[y])) for x, y in links_between(values, bounds - bounds[0], label, percent)]
         return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
 
-    return rows.select("i", "j", "key", "root", "shingles").groupBy("i", "j").applyInArrow(run, "a binary, b binary")
+    return rows.select("i", "j", "key", "root", "shingles").groupBy("i", "j").applyInArrow(lean_group(run), "a binary, b binary")
 
 
 def _confirm_spread(store: _Scratch, sets: DataFrame, percent: int, hot: int, block: int) -> DataFrame:
@@ -642,6 +642,7 @@ def classes(
     """One row per document: doc_id, n_shingles, component_id, kept, and the key of its set (null: empty)."""
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     store = _Scratch(spark)
     all_ = store.keep(sketches(docs, text_col, id_col), "sketches")
     reps = all_.where("key is not null").groupBy("key").agg(
@@ -706,6 +707,6 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, _key_column(batch.column(at))[0]], names=[*batch.schema.names, own])
 
-    rows = docs.mapInArrow(run, schema).select(*docs.columns, *named(F.col(id_col), F.col(own)))
+    rows = docs.mapInArrow(lean(run), schema).select(*docs.columns, *named(F.col(id_col), F.col(own)))
     one = rows.where(F.col(keys[2]).isNotNull()).join(kept, keys, "left_semi").dropDuplicates(keys)
     return one.unionByName(rows.where(F.col(keys[2]).isNull())).drop(*keys)

@@ -24,6 +24,7 @@ Defined results
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.llm._ship import ship
+from playlake.llm._ship import lean, ship, small_batches
 
 #: Tokens in a sequence, and the mark at a document's end.
 LENGTH, END = 2048, 1
@@ -59,18 +60,26 @@ class Encoder:
 
     def __init__(self, name: str = "byte_bpe_50k"):
         import base64
-        import os
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.reference = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        self.name = name
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @functools.cached_property
+    def reference(self):
+        """The ``tokenizers`` library's own encoder, read when the first text needs it."""
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(public_tokenizers.path(f"{self.name}.json"))
+
     @staticmethod
     def common(text: str) -> bool:
         """A text that both libraries encode alike, in linear time."""
@@ -196,6 +205,7 @@ def pack(
     document's tokens with the end mark.
     """
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(vocabulary)
@@ -211,4 +221,4 @@ def pack(
         packer.recut(last=True)
         yield packer.taken()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), SCHEMA)
